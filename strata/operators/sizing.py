@@ -1,0 +1,24 @@
+"""Size checks that gate broadcast joins.
+
+A side is broadcast only when it is proven small: either its row count is at
+most ``limit`` (checked with a bounded ``limit(n + 1).count()`` that stops
+early), or the caller states a structural bound.  Above the limit the join is
+left to Spark's shuffle join (AQE may still convert it at run time).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_BROADCAST_ROWS = 2_000_000
+
+
+def fits(df: DataFrame, limit: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``limit`` rows (reads at most limit+1 rows)."""
+    return df.limit(limit + 1).count() <= limit
+
+
+def maybe_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when it passes :func:`fits`, else ``df`` unchanged."""
+    return F.broadcast(df) if fits(df, limit) else df
