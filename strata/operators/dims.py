@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.rows import row_changed
-from .keys import assign_keys, max_key
+from .keys import SMALL_KEY_ROWS, assign_keys, max_key
 from .merge import IN_S, IN_T, OP, S, T, align, merge
 from .sizing import DEFAULT_BROADCAST_ROWS, maybe_broadcast
 
@@ -51,7 +51,7 @@ def empty_dim(spark, schema: str) -> DataFrame:
 
 
 def lookup_dim(dim: DataFrame, values: DataFrame, key, sk_col: str, null_keys: str = "literal",
-               broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+               broadcast_rows: int = DEFAULT_BROADCAST_ROWS, small_rows: int = SMALL_KEY_ROWS) -> DataFrame:
     """Insert-only dimension (D-2 = W-2 -> M-3 -> D-4): new distinct values get new keys.
 
     ``null_keys='literal'`` inserts a null value again on every call (a null
@@ -63,7 +63,7 @@ def lookup_dim(dim: DataFrame, values: DataFrame, key, sk_col: str, null_keys: s
         src = _drop_null_keys(src, key)
     # the dimension is a written table: the planner's file statistics decide on broadcast
     new = src.join(dim.select(*key), key, "left_anti")
-    keyed = assign_keys(new, sk_col, key, start=max_key(dim, sk_col))
+    keyed = assign_keys(new, sk_col, key, start=max_key(dim, sk_col), small_rows=small_rows)
     return dim.unionByName(keyed.select(*dim.columns))
 
 
