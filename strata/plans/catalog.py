@@ -1,6 +1,6 @@
 """All registered test queries; importing this module fills the registry."""
 
-from . import q_cdc, q_dims, q_silver, q_star  # noqa: F401
+from . import q_cdc, q_dims, q_silver, q_star, q_versions  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
