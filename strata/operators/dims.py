@@ -51,9 +51,13 @@ def empty_dim(spark, schema: str) -> DataFrame:
 
 
 def lookup_dim(dim: DataFrame, values: DataFrame, key, sk_col: str, null_keys: str = "literal",
-               broadcast_rows: int = DEFAULT_BROADCAST_ROWS, small_rows: int = SMALL_KEY_ROWS) -> DataFrame:
+               broadcast_rows: int = DEFAULT_BROADCAST_ROWS, small_rows: int = SMALL_KEY_ROWS,
+               changes_only: bool = False) -> DataFrame:
     """Insert-only dimension (D-2 = W-2 -> M-3 -> D-4): new distinct values get new keys.
 
+    ``changes_only`` returns just the new rows with ``_op`` (what a versioned
+    table appends) instead of the whole new dimension.
+
     ``null_keys='literal'`` inserts a null value again on every call (a null
     never matches, as in SQL); ``'reject'`` leaves null values out.
     """
@@ -64,11 +68,14 @@ def lookup_dim(dim: DataFrame, values: DataFrame, key, sk_col: str, null_keys: s
     # the dimension is a written table: the planner's file statistics decide on broadcast
     new = src.join(dim.select(*key), key, "left_anti")
     keyed = assign_keys(new, sk_col, key, start=max_key(dim, sk_col), small_rows=small_rows)
+    if changes_only:
+        return keyed.select(*dim.columns).withColumn(OP, F.lit("INSERT"))
     return dim.unionByName(keyed.select(*dim.columns))
 
 
 def scd1(dim: DataFrame, batch: DataFrame, key, attrs, sk_col: str, null_keys: str = "literal",
-         on_conflict: str = "raise", broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+         on_conflict: str = "raise", broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+         changes_only: bool = False) -> DataFrame:
     """Type-1 dimension (D-1 = W-3 -> M-1 -> D-4): attributes are overwritten in place.
 
     Two attribute sets for one key in a batch raise (``on_conflict='raise'``)
@@ -87,12 +94,16 @@ def scd1(dim: DataFrame, batch: DataFrame, key, attrs, sk_col: str, null_keys: s
     kept = merged.filter(F.col(OP).isNull() | (F.col(OP) != "INSERT")).drop(OP)
     new = merged.filter(F.col(OP) == "INSERT").drop(OP, sk_col)
     keyed = assign_keys(new, sk_col, key, start=max_key(dim, sk_col))
+    if changes_only:
+        upd = merged.filter(F.col(OP) == "UPDATE")
+        return upd.unionByName(keyed.select(*dim.columns).withColumn(OP, F.lit("INSERT")))
     return kept.unionByName(keyed.select(*dim.columns))
 
 
 def scd2(dim: DataFrame, batch: DataFrame, key, tracked, run_date, sk_col: str,
          effective: str = "effective_date", expiry: str = "expiry_date", current: str = "current_flag",
-         null_keys: str = "literal", broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+         null_keys: str = "literal", broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+         changes_only: bool = False) -> DataFrame:
     """Type-2 dimension (D-3), one batch at ``run_date``.
 
     1. expire: the current row of a key whose tracked columns differ (null-safe)
@@ -123,8 +134,14 @@ def scd2(dim: DataFrame, batch: DataFrame, key, tracked, run_date, sk_col: str,
          F.lit(None).cast("date").alias(c) if c == expiry else
          F.lit(True).alias(c) if c == current else F.col(c)) for c in dim.columns])
     types = {f.name: f.dataType for f in dim.schema.fields}
-    return (hist.unionByName(old).unionByName(keyed)
-            .select(*[F.col(c).cast(types[c]).alias(c) for c in dim.columns]))
+    typed = [F.col(c).cast(types[c]).alias(c) for c in dim.columns]
+    if changes_only:
+        expired = j.filter(changed).select(*[
+            (rd.alias(c) if c == expiry else F.lit(False).alias(c) if c == current else T(c).alias(c))
+            for c in dim.columns])
+        return (expired.select(*typed).withColumn(OP, F.lit("UPDATE"))
+                .unionByName(keyed.select(*typed).withColumn(OP, F.lit("INSERT"))))
+    return (hist.unionByName(old).unionByName(keyed).select(*typed))
 
 
 def scd2_from_history(log: DataFrame, key, tracked, order_by: str, tie_break, period: Column | None = None,
