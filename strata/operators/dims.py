@@ -85,7 +85,7 @@ def scd1(dim: DataFrame, batch: DataFrame, key, attrs, sk_col: str, null_keys: s
     if null_keys == "reject":
         batch = _drop_null_keys(batch, key)
     if on_conflict == "raise":
-        src = unique_source(batch, key, attrs, "scd1")
+        src = unique_source(batch, key, attrs, "scd1").persist()
     else:  # 'first': the smallest attribute set wins
         src = (batch.groupBy(*key).agg(F.min(F.struct(*attrs)).alias("__lo"))
                .select(*key, *[F.col(f"__lo.{a}").alias(a) for a in attrs]))
@@ -116,7 +116,7 @@ def scd2(dim: DataFrame, batch: DataFrame, key, tracked, run_date, sk_col: str,
     rd = run_date if isinstance(run_date, Column) else F.lit(run_date).cast("date")
     if null_keys == "reject":
         batch = _drop_null_keys(batch, key)
-    src = unique_source(batch, key, tracked, "scd2")
+    src = unique_source(batch, key, tracked, "scd2").persist()  # one batch's rows: bounded by the batch
     is_cur = F.coalesce(F.col(current), F.lit(False))
     hist = dim.filter(~is_cur)
     cur = dim.filter(is_cur)

@@ -48,10 +48,12 @@ def assign_keys(rows: DataFrame, sk_col: str, order_by, start: int = 0,
     range-partition path below runs.
     """
     order = _order_cols(order_by)
-    if small_rows and fits(rows, small_rows):
-        # bounded by the check above: one task sorts at most ``small_rows`` rows
-        w = Window.orderBy(*order)
-        return rows.withColumn(sk_col, (F.lit(start) + F.row_number().over(w)).cast(key_type))
+    if small_rows:
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # the size check computes it once
+        if fits(rows, small_rows):
+            # bounded by the check above: one task sorts at most ``small_rows`` rows
+            w = Window.orderBy(*order)
+            return rows.withColumn(sk_col, (F.lit(start) + F.row_number().over(w)).cast(key_type))
     return _assign_keys_ranged(rows, sk_col, order, start, num_partitions, key_type)
 
 
