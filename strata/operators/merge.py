@@ -49,28 +49,41 @@ def _prefixed(df: DataFrame, p: str, flag: str) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{p}__{c}") for c in df.columns], F.lit(True).alias(flag))
 
 
+def _any_null(cols) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
+
+
 def align(target: DataFrame, source: DataFrame, on, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
           small_source: bool | None = None) -> DataFrame:
     """Pair every target row with its matching source row(s), plus unmatched source rows.
 
-    Columns: ``t__*``, ``s__*``, ``__in_t``, ``__in_s``.  Null keys never match.
+    Columns: ``t__*``, ``s__*``, ``__in_t``, ``__in_s``.  A null key never
+    matches, so rows with a null key bypass the join: they cannot pile up in
+    one shuffle partition (a full outer join gets no AQE skew split).
     """
     on = _keys(on)
-    t = _prefixed(target, "t", IN_T)
-    s = _prefixed(source, "s", IN_S)
+    t_all = _prefixed(target, "t", IN_T)
+    s_all = _prefixed(source, "s", IN_S)
+    t_null = _any_null([f"t__{k}" for k in on])
+    s_null = _any_null([f"s__{k}" for k in on])
+    t, s = t_all.filter(~t_null), s_all.filter(~s_null)
+    s_cols = [F.lit(None).cast(f.dataType).alias(f.name) for f in s_all.schema.fields]
+    t_cols = [F.lit(None).cast(f.dataType).alias(f.name) for f in t_all.schema.fields]
+    nulls = (t_all.filter(t_null).select("*", *s_cols)
+             .unionByName(s_all.filter(s_null).select(*t_cols, "*")))
     cond = reduce(lambda a, b: a & b, [F.col(f"t__{k}") == F.col(f"s__{k}") for k in on])
     if small_source is None:
         small_source = fits(source, broadcast_rows)
     if not small_source:
-        return t.join(s, cond, "full_outer")
+        return t.join(s, cond, "full_outer").unionByName(nulls)
     matched_side = t.join(F.broadcast(s), cond, "left")
     # keys of the source that exist in the target: bounded by the source size
     src_keys = F.broadcast(source.select(*on).distinct())
     hit = target.select(*on).join(src_keys, on, "left_semi").distinct()
-    unmatched = source.join(F.broadcast(hit), on, "left_anti")
+    unmatched = source.na.drop(subset=on).join(F.broadcast(hit), on, "left_anti")
     u = _prefixed(unmatched, "s", IN_S)
-    u = u.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in t.schema.fields], *u.columns)
-    return matched_side.unionByName(u)
+    u = u.select(*t_cols, *u.columns)
+    return matched_side.unionByName(u).unionByName(nulls)
 
 
 def merge(target: DataFrame, source: DataFrame, on, *, update="all", insert="all",
