@@ -31,7 +31,8 @@ from ..operators.latest import latest_per_key
 
 ROW_ID, OP, VERSION = "_row_id", "_op", "version"
 COMMIT_SCHEMA = ("version int, batch_id string, committed_at timestamp_ntz, table_name string, rows bigint, "
-                 "schema_json string, clone_of string, clone_version int, offsets_json string")
+                 "schema_json string, clone_of string, clone_version int, offsets_json string, snapshot boolean")
+SNAPSHOT = "SNAPSHOT"
 
 
 class CommitConflict(RuntimeError):
@@ -85,7 +86,7 @@ class VersionedTables:
         return json.loads(r[0][0]) if r and r[0][0] else {}
 
     def commit(self, batch_id: str, writes: dict, ts, offsets: dict | None = None,
-               clones: dict | None = None, fail_before_commit: bool = False) -> int:
+               clones: dict | None = None, fail_before_commit: bool = False, snapshots=()) -> int:
         """Publish ``writes`` {table: change rows with _row_id and _op} as one version.
 
         A batch id already in the log makes the call a no-op (replay after a
@@ -107,35 +108,54 @@ class VersionedTables:
                 meta.append((name, schema.json(), parent, pv))
         if fail_before_commit:
             raise RuntimeError(f"simulated crash before commit of version {v}")
-        rows = [(v, batch_id, name, sj, co, cv, json.dumps(offsets or {})) for name, sj, co, cv in meta]
+        rows = [(v, batch_id, name, sj, co, cv, json.dumps(offsets or {}), name in snapshots)
+                for name, sj, co, cv in meta]
         rec = self.spark.createDataFrame(
             rows, "version int, batch_id string, table_name string, schema_json string, clone_of string, "
-                  "clone_version int, offsets_json string")
+                  "clone_version int, offsets_json string, snapshot boolean")
         rec = rec.select(VERSION, "batch_id", F.lit(ts).cast("timestamp_ntz").alias("committed_at"),
                          "table_name", F.lit(None).cast("bigint").alias("rows"), "schema_json",
-                         "clone_of", "clone_version", "offsets_json")
+                         "clone_of", "clone_version", "offsets_json", "snapshot")
         rec.coalesce(1).write.mode("overwrite").json(f"{self.root}/commits/{v}")
         return v
 
     # ---- reads ------------------------------------------------------------
-    def log(self, table: str, upto: int | None = None) -> DataFrame:
-        """Committed change rows of ``table`` with their version (a clone starts
-        with its parent's state at the clone version, as version 0)."""
-        head = self.head()
-        upto = head if upto is None else min(upto, head)
+    def _last_snapshot(self, table: str, upto: int) -> int:
+        v = (self.commits().filter((F.col("table_name") == table) & F.coalesce(F.col("snapshot"), F.lit(False))
+                                   & (F.col(VERSION) <= upto)).agg(F.max(VERSION)).first()[0])
+        return int(v or 0)
+
+    def _scan(self, table: str, lo: int, hi: int, with_base: bool = True) -> DataFrame:
+        """Committed change rows of versions lo..hi (partition pruning on ``version``)."""
         schema, (parent, pv) = self._table_meta(table)
         full = StructType(schema.fields + [StructField(VERSION, IntegerType())])
         try:
             own = (self.spark.read.schema(full).parquet(f"{self.root}/{table}")
-                   .filter(F.col(VERSION) <= upto))  # partition pruning: unfinished versions are above head
+                   .filter((F.col(VERSION) >= lo) & (F.col(VERSION) <= hi)))
         except AnalysisException:
             own = self.spark.createDataFrame([], full)
-        if parent is not None:
+        if parent is not None and with_base:
             # the parent's state at the clone version, as version 0 (no data copied)
             base = self.read(parent, pv, keep_meta=True).withColumn(VERSION, F.lit(0))
             own = base.unionByName(own)
         return own
 
+    def log(self, table: str, upto: int | None = None) -> DataFrame:
+        """Committed change rows of ``table`` needed for its state at ``upto``: from
+        its last snapshot (see :meth:`compact`) on; a clone without one of its own
+        starts with its parent's state at the clone version, as version 0.
+        Versions above the head are unfinished attempts and never read."""
+        head = self.head()
+        upto = head if upto is None else min(upto, head)
+        snap = self._last_snapshot(table, upto)
+        return self._scan(table, snap, upto, with_base=snap == 0)
+
+    def compact(self, table: str, batch_id: str, ts) -> int:
+        """Write the current state as a snapshot version: later reads scan the
+        snapshot and the versions after it only."""
+        cur = self.read(table).withColumn(OP, F.lit(SNAPSHOT))
+        return self.commit(batch_id, {table: cur}, ts, snapshots=(table,))
+
     def read(self, table: str, version: int | None = None, ts=None, before: bool = False,
              keep_meta: bool = False) -> DataFrame:
         """State of ``table`` as of a version or a commit time (T-1)."""
@@ -152,7 +172,8 @@ class VersionedTables:
 
     def changes(self, table: str, from_version: int, to_version: int | None = None) -> DataFrame:
         """Net change feed of ``table`` between two versions (B-1), keyed by row id."""
-        lg = self.log(table, to_version).filter(F.col(VERSION) > from_version)
+        hi = self.head() if to_version is None else min(to_version, self.head())
+        lg = self._scan(table, from_version + 1, hi, with_base=False).filter(F.col(OP) != SNAPSHOT)
         touched = lg.select(ROW_ID).distinct()
         last = latest_per_key(lg, ROW_ID, VERSION, [OP])
         after = last.filter(F.col(OP) != "DELETE").drop(OP, VERSION)

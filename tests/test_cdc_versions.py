@@ -55,3 +55,17 @@ def test_versioned_crash_replay_clone(spark):
     assert rows(vt.data("t")) == [(2, "b")]                     # the parent is untouched
     feed = vt.changes("t", 1, 2)
     assert rows(feed, "k", "_action") == srt([(1, "DELETE")])
+
+
+def test_compaction_keeps_state_and_feed(spark):
+    vt = VersionedTables(spark, scratch_path(spark, "t-compact"))
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], S)
+    vt.commit("b1", {"t": vt.new_rows(None, df, "k")}, "2024-01-01 00:00:00")
+    vt.commit("b2", {"t": vt.update_rows("t", {"v": F.lit("z")}, F.col("k") == 1)}, "2024-01-02 00:00:00")
+    before = rows(vt.data("t"))
+    vt.compact("t", "c1", "2024-01-03 00:00:00")
+    vt.commit("b3", {"t": vt.delete_rows("t", F.col("k") == 2)}, "2024-01-04 00:00:00")
+    assert rows(vt.data("t", 3)) == before
+    assert rows(vt.data("t")) == srt([(1, "z"), (3, "c")])
+    assert rows(vt.data("t", 1)) == srt([(1, "a"), (2, "b"), (3, "c")])
+    assert rows(vt.changes("t", 2, 4), "k", "_action") == [(2, "DELETE")]
