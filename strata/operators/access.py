@@ -7,6 +7,12 @@ from pyspark.sql import functions as F
 
 # Roles the original row access policy lets see every row.
 POLICY_ROLES = ("SYSADMIN", "ACCOUNTADMIN", "AIRLINE_ROLE", "DATA_ANALYST")
+# Read grants per layer (role, layer) of the original set-up.
+LAYER_GRANTS = (("AIRLINE_ROLE", "bronze"), ("AIRLINE_ROLE", "silver"), ("AIRLINE_ROLE", "gold"))
+
+
+def grants_frame(spark, grants=LAYER_GRANTS):
+    return spark.createDataFrame(list(grants), "role string, table_name string")
 
 
 def role_policy(role: str, allowed=POLICY_ROLES) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.casts import try_cast_date, try_cast_int
 from ..functions.rows import row_changed
-from ..operators.access import row_access
+from ..operators.access import grants_frame, layer_access, row_access
 from ..operators.audit import audit_success
 from ..operators.latest import latest_per_key
 from ..operators.merge import merge, merge_counts
@@ -167,6 +167,17 @@ def q_row_access_denied(spark, sf_dir):
     return row_access(o, "PUBLIC")
 
 
+@query("layer_access", ACCESS_SQL + " UNION ALL " + ACCESS_SQL + " WHERE FALSE")
+def q_layer_access(spark, sf_dir):
+    """Layer grants (G-8) then the row policy (G-7): AIRLINE_ROLE may read the gold
+    layer and passes the policy; DATA_ANALYST has no grant on bronze."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    g = grants_frame(spark)
+    seen = row_access(layer_access(o, "AIRLINE_ROLE", "gold", g), "AIRLINE_ROLE")
+    denied = row_access(layer_access(o, "DATA_ANALYST", "bronze", g), "DATA_ANALYST")
+    return seen.unionByName(denied)
+
+
 INT_SRC = """CASE c_custkey % 6 WHEN 0 THEN CAST(c_custkey AS VARCHAR)
   WHEN 1 THEN CAST(c_custkey AS VARCHAR) || '.7' WHEN 2 THEN '-' || CAST(c_custkey AS VARCHAR) || '.5'
   WHEN 3 THEN 'x' || CAST(c_custkey AS VARCHAR) WHEN 4 THEN '' ELSE '99999999999' END"""
