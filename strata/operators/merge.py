@@ -58,32 +58,32 @@ def align(target: DataFrame, source: DataFrame, on, broadcast_rows: int = DEFAUL
     """Pair every target row with its matching source row(s), plus unmatched source rows.
 
     Columns: ``t__*``, ``s__*``, ``__in_t``, ``__in_s``.  A null key never
-    matches, so rows with a null key bypass the join: they cannot pile up in
-    one shuffle partition (a full outer join gets no AQE skew split).
+    matches.  In the shuffle join, rows with a null key get a content-hash
+    salt as an extra join key, so they spread over partitions instead of
+    piling up in one (a full outer join gets no AQE skew split); the inputs
+    are read once.
     """
     on = _keys(on)
-    t_all = _prefixed(target, "t", IN_T)
-    s_all = _prefixed(source, "s", IN_S)
-    t_null = _any_null([f"t__{k}" for k in on])
-    s_null = _any_null([f"s__{k}" for k in on])
-    t, s = t_all.filter(~t_null), s_all.filter(~s_null)
-    s_cols = [F.lit(None).cast(f.dataType).alias(f.name) for f in s_all.schema.fields]
-    t_cols = [F.lit(None).cast(f.dataType).alias(f.name) for f in t_all.schema.fields]
-    nulls = (t_all.filter(t_null).select("*", *s_cols)
-             .unionByName(s_all.filter(s_null).select(*t_cols, "*")))
+    t = _prefixed(target, "t", IN_T)
+    s = _prefixed(source, "s", IN_S)
     cond = reduce(lambda a, b: a & b, [F.col(f"t__{k}") == F.col(f"s__{k}") for k in on])
     if small_source is None:
         small_source = fits(source, broadcast_rows)
     if not small_source:
-        return t.join(s, cond, "full_outer").unionByName(nulls)
+        def salted(df, p):
+            salt = F.when(_any_null([f"{p}__{k}" for k in on]), F.xxhash64(*[F.col(c) for c in df.columns]))
+            return df.withColumn(f"__salt_{p}", F.coalesce(salt, F.lit(0).cast("bigint")))
+        j = salted(t, "t").join(salted(s, "s"), cond & (F.col("__salt_t") == F.col("__salt_s")), "full_outer")
+        return j.drop("__salt_t", "__salt_s")
+    # the target streams through a broadcast hash join: never shuffled
     matched_side = t.join(F.broadcast(s), cond, "left")
     # keys of the source that exist in the target: bounded by the source size
     src_keys = F.broadcast(source.select(*on).distinct())
     hit = target.select(*on).join(src_keys, on, "left_semi").distinct()
-    unmatched = source.na.drop(subset=on).join(F.broadcast(hit), on, "left_anti")
+    unmatched = source.join(F.broadcast(hit), on, "left_anti")   # null keys are never hit: kept
+    t_cols = [F.lit(None).cast(f.dataType).alias(f.name) for f in t.schema.fields]
     u = _prefixed(unmatched, "s", IN_S)
-    u = u.select(*t_cols, *u.columns)
-    return matched_side.unionByName(u).unionByName(nulls)
+    return matched_side.unionByName(u.select(*t_cols, *u.columns))
 
 
 def merge(target: DataFrame, source: DataFrame, on, *, update="all", insert="all",
