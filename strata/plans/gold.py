@@ -123,9 +123,13 @@ FACT_SKS = ["passenger_sk", "departure_airport_sk", "arrival_airport_sk", "pilot
 
 
 def load_fact(state: dict, batch: DataFrame, cfg: StarConfig, run_ts,
-              broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Fact MERGE of one batch (D-5); returns the merged fact with ``_op``."""
-    src = fact_source(state, batch, cfg, broadcast_rows).distinct()
+              broadcast_rows: int = DEFAULT_BROADCAST_ROWS, src: DataFrame | None = None) -> DataFrame:
+    """Fact MERGE of one batch (D-5); returns the merged fact with ``_op``.
+
+    ``src`` may pass a (persisted) :func:`fact_source` ``.distinct()`` of the batch.
+    """
+    if src is None:
+        src = fact_source(state, batch, cfg, broadcast_rows).distinct()
     if cfg.reschedule:
         keys = {cfg.passenger_key: cfg.passenger_key, "departure_airport_sk": "departure_airport_sk"}
         tie = [cfg.flight_status] + FACT_SKS
@@ -149,8 +153,14 @@ def load_gold(state: dict, batch: DataFrame, cfg: StarConfig, run_ts, run_date,
     table of the new state is a written table under it.
     """
     s = load_dims(state, batch, cfg, run_date, broadcast_rows, root)
-    merged = load_fact(s, batch, cfg, run_ts, broadcast_rows)
-    if root is not None:
-        merged = write_table(merged, f"{root}/fact_flight_data")
+    # one batch's lookups: computed once for the size check and the merge, released after the write
+    src = fact_source(s, batch, cfg, broadcast_rows).distinct().persist()
+    try:
+        merged = load_fact(s, batch, cfg, run_ts, broadcast_rows, src=src)
+        if root is not None:
+            merged = write_table(merged, f"{root}/fact_flight_data")
+    finally:
+        if root is not None:
+            src.unpersist()
     s["fact_flight_data"] = merged.drop("_op")
     return s, merged

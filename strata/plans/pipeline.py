@@ -52,6 +52,7 @@ class PipelineConfig:
     star: StarConfig = field(default_factory=StarConfig)
     run_by: str = "etl_user"
     skip_unchanged: bool = False       # literal: a matched row is rewritten even when equal (Q13)
+    release_cache: bool = True         # drop the batch's cached frames once it is published
 
 
 class Pipeline:
@@ -211,7 +212,7 @@ class Pipeline:
                     new_state[name] = (state[name].join(ch.select(sk), sk, "left_anti")
                                        .unionByName(ch.drop(OP)))
                 from ..operators.fact import fact_merge
-                src = fact_source(new_state, batch, sc).distinct()
+                src = fact_source(new_state, batch, sc).distinct().persist()
                 keys = {sc.passenger_key: sc.passenger_key, "departure_airport_sk": "departure_airport_sk",
                         "original_departure_date": sc.date_col}
                 merged = fact_merge(state["fact_flight_data"], src, keys, sc.date_col, ts,
@@ -232,6 +233,7 @@ class Pipeline:
                     return counts
                 finally:
                     merged.unpersist()
+                    src.unpersist()
             finally:
                 batch.unpersist()
 
@@ -239,9 +241,13 @@ class Pipeline:
 
     def run_batch(self, raw: DataFrame, batch_id: str, ts, run_date):
         """Bronze, silver, gold in order for one arrival of files."""
-        self.load_bronze(raw, batch_id, ts)
-        self.load_silver(batch_id, ts)
-        self.load_gold(batch_id, ts, run_date)
+        try:
+            self.load_bronze(raw, batch_id, ts)
+            self.load_silver(batch_id, ts)
+            self.load_gold(batch_id, ts, run_date)
+        finally:
+            if self.cfg.release_cache:  # batch-bounded caches of the operators: nothing outlives the batch
+                self.spark.catalog.clearCache()
 
     def audit_log(self) -> DataFrame:
         if not self._exists("audit_log"):
