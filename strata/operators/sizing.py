@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_ROWS = 500_000
 
 
 def fits(df: DataFrame, limit: int = DEFAULT_BROADCAST_ROWS) -> bool:

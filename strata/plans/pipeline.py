@@ -65,7 +65,7 @@ class Pipeline:
 
     # ---- helpers -------------------------------------------------------------
     def _exists(self, table: str) -> bool:
-        return self.vt.commits().filter(F.col("table_name") == table).limit(1).count() > 0
+        return self.vt.has_table(table)
 
     def _audit(self, df: DataFrame, batch_id: str, ts):
         self.vt.commit(f"audit:{batch_id}", {"audit_log": df.withColumn(ROW_ID, F.col("id")).withColumn(

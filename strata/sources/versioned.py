@@ -18,6 +18,7 @@ deletes (a window with a partial top-1 before the shuffle).
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +43,7 @@ class CommitConflict(RuntimeError):
 class VersionedTables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._log = None
 
     # ---- commit log -------------------------------------------------------
     def commits(self) -> DataFrame:
@@ -50,40 +52,50 @@ class VersionedTables:
         except AnalysisException:
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
 
+    def _entries(self) -> list:
+        """The commit log as a list of small metadata rows (one per table and
+        version), read once and kept until the next commit or :meth:`refresh`:
+        the analogue of a table format's log replay.  It holds no table data."""
+        if self._log is None:
+            self._log = [r.asDict() for r in self.commits().collect()]
+        return self._log
+
+    def refresh(self) -> None:
+        """Forget the cached commit log (another writer may have committed)."""
+        self._log = None
+
     def head(self) -> int:
-        """Last committed version (0 when empty): a scalar aggregate of the log."""
-        v = self.commits().agg(F.max(VERSION)).first()[0]
-        return int(v or 0)
+        """Last committed version (0 when empty)."""
+        return max((e[VERSION] for e in self._entries()), default=0)
 
     def version_at(self, ts, before: bool = False) -> int:
         """Last version committed at or before ``ts`` (strictly before with ``before``)."""
-        t = F.lit(ts).cast("timestamp_ntz")
-        c = self.commits()
-        c = c.filter(F.col("committed_at") < t) if before else c.filter(F.col("committed_at") <= t)
-        v = c.agg(F.max(VERSION)).first()[0]
-        return int(v or 0)
+        t = ts if isinstance(ts, dt.datetime) else dt.datetime.fromisoformat(str(ts))
+        ok = [e[VERSION] for e in self._entries()
+              if e["committed_at"] is not None and (e["committed_at"] < t if before else e["committed_at"] <= t)]
+        return max(ok, default=0)
+
+    def _of(self, table: str) -> list:
+        return sorted((e for e in self._entries() if e["table_name"] == table), key=lambda e: e[VERSION])
 
     def _table_meta(self, table: str):
-        rows = (self.commits().filter(F.col("table_name") == table)
-                .orderBy(F.col(VERSION).desc()).select("schema_json", "clone_of", "clone_version")
-                .limit(1).collect())
-        if not rows:
+        es = self._of(table)
+        if not es:
             raise KeyError(f"no committed table {table!r} under {self.root}")
-        r = rows[0]
-        first = (self.commits().filter((F.col("table_name") == table) & F.col("clone_of").isNotNull())
-                 .select("clone_of", "clone_version").limit(1).collect())
-        src = (first[0]["clone_of"], first[0]["clone_version"]) if first else (None, None)
-        return StructType.fromJson(json.loads(r["schema_json"])), src
+        clone = next((e for e in es if e["clone_of"] is not None), None)
+        src = (clone["clone_of"], clone["clone_version"]) if clone else (None, None)
+        return StructType.fromJson(json.loads(es[-1]["schema_json"])), src
 
     def committed_batch(self, batch_id: str):
-        r = self.commits().filter(F.col("batch_id") == batch_id).select(VERSION).limit(1).collect()
-        return r[0][0] if r else None
+        return next((e[VERSION] for e in self._entries() if e["batch_id"] == batch_id), None)
 
     def offsets(self, consumer_table: str) -> dict:
         """Offsets recorded with the last commit that wrote ``consumer_table`` (B-3)."""
-        r = (self.commits().filter(F.col("table_name") == consumer_table)
-             .orderBy(F.col(VERSION).desc()).select("offsets_json").limit(1).collect())
-        return json.loads(r[0][0]) if r and r[0][0] else {}
+        es = self._of(consumer_table)
+        return json.loads(es[-1]["offsets_json"]) if es and es[-1]["offsets_json"] else {}
+
+    def has_table(self, table: str) -> bool:
+        return bool(self._of(table))
 
     def commit(self, batch_id: str, writes: dict, ts, offsets: dict | None = None,
                clones: dict | None = None, fail_before_commit: bool = False, snapshots=()) -> int:
@@ -117,13 +129,12 @@ class VersionedTables:
                          "table_name", F.lit(None).cast("bigint").alias("rows"), "schema_json",
                          "clone_of", "clone_version", "offsets_json", "snapshot")
         rec.coalesce(1).write.mode("overwrite").json(f"{self.root}/commits/{v}")
+        self._log = None
         return v
 
     # ---- reads ------------------------------------------------------------
     def _last_snapshot(self, table: str, upto: int) -> int:
-        v = (self.commits().filter((F.col("table_name") == table) & F.coalesce(F.col("snapshot"), F.lit(False))
-                                   & (F.col(VERSION) <= upto)).agg(F.max(VERSION)).first()[0])
-        return int(v or 0)
+        return max((e[VERSION] for e in self._of(table) if e["snapshot"] and e[VERSION] <= upto), default=0)
 
     def _scan(self, table: str, lo: int, hi: int, with_base: bool = True) -> DataFrame:
         """Committed change rows of versions lo..hi (partition pruning on ``version``)."""
