@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.rows import row_changed
 from .keys import SMALL_KEY_ROWS, assign_keys, max_key
 from .merge import IN_S, IN_T, OP, S, T, align, merge
-from .sizing import DEFAULT_BROADCAST_ROWS, maybe_broadcast
+from .sizing import DEFAULT_BROADCAST_ROWS
 
 
 def _list(x):

@@ -18,14 +18,15 @@ from pyspark.sql.types import LongType, StructField, StructType, TimestampNTZTyp
 from ..functions.casts import try_cast_date, try_cast_int
 from ..operators.audit import AUDIT_SCHEMA, audit_failure, audit_success
 from ..operators.cdc import after_images
-from ..operators.dims import lookup_dim, scd1, scd2
+from ..functions.rows import row_changed
+from ..operators.fact import fact_merge
 from ..operators.keys import assign_keys, max_key
 from ..operators.latest import latest_per_key
-from ..operators.merge import OP, merge, merge_counts
+from ..operators.merge import OP, S, T, merge, merge_counts
 from ..sources.csv import FILE, classify, good_rows, reject_rows, shape_raw, stamp
 from ..sources.tables import run_concurrently
 from ..sources.versioned import ROW_ID, VersionedTables
-from .gold import FACT_SKS, SK, StarConfig, empty_state, fact_source
+from .gold import FACT_SKS, StarConfig, empty_state, fact_source, load_dims
 
 # The bronze contract -- column order of the delimited files and
 # the declared widths of the raw table (VARCHAR(n); unlisted columns are unbounded).
@@ -145,8 +146,6 @@ class Pipeline:
             now = F.lit(ts).cast("timestamp_ntz")
             upd_if = None
             if c.skip_unchanged:
-                from ..functions.rows import row_changed
-                from ..operators.merge import S, T
                 upd_if = row_changed([T(x) for x in cols if x != c.key], [S(x) for x in cols if x != c.key])
             merged = merge(target, src, c.key, update_if=upd_if, set_on_update={"_last_updated": now},
                            set_on_insert={"_last_updated": now}).persist()
@@ -190,28 +189,17 @@ class Pipeline:
                     return None
                 state = self._gold_state(batch.schema)
                 rd = F.lit(run_date).cast("date")
-                arr = batch.select(F.col(sc.arrival_key).alias("airport_code"))
-                tasks = {
-                    "dim_airport": lambda: scd1(state["dim_airport"], batch, sc.airport_key, sc.airport_attrs,
-                                                SK["airport"], changes_only=True),
-                    "dim_arrival_airport": lambda: lookup_dim(state["dim_arrival_airport"], arr, "airport_code",
-                                                              SK["arrival"], changes_only=True),
-                    "dim_passenger": lambda: scd2(state["dim_passenger"], batch, sc.passenger_key,
-                                                  sc.passenger_attrs, rd, SK["passenger"], changes_only=True),
-                }
-                for name, key, sk in (("dim_pilot", sc.pilot_key, SK["pilot"]),
-                                      ("dim_ticket_type", sc.ticket_key, SK["ticket"]),
-                                      ("dim_passenger_status", sc.status_key, SK["status"])):
-                    tasks[name] = (lambda name=name, key=key, sk=sk: lookup_dim(
-                        state[name], batch, key, sk, changes_only=True))
-                dim_changes = {k: v.checkpoint(eager=True) for k, v in run_concurrently(tasks).items()}
+                dims = {k: v for k, v in state.items() if k.startswith("dim_")}
+                changed = load_dims(dims, batch, sc, rd, changes_only=True)
+                # fixed before the fact reads them (checkpoint in the shared folder)
+                dim_changes = run_concurrently({k: (lambda v=v: v.checkpoint(eager=True))
+                                                for k, v in changed.items() if k.startswith("dim_")})
                 # new dimension states for the fact lookups: old rows overlaid with the changes
                 new_state = dict(state)
                 for name, ch in dim_changes.items():
                     sk = [x for x in ch.columns if x.endswith("_sk")][0]
                     new_state[name] = (state[name].join(ch.select(sk), sk, "left_anti")
                                        .unionByName(ch.drop(OP)))
-                from ..operators.fact import fact_merge
                 src = fact_source(new_state, batch, sc).distinct().persist()
                 keys = {sc.passenger_key: sc.passenger_key, "departure_airport_sk": "departure_airport_sk",
                         "original_departure_date": sc.date_col}

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..operators.dims import scd1
 from ..session import scratch_path
-from ..sources.csv import CORRUPT
 from ..sources.versioned import OP, ROW_ID, VersionedTables
 from ..streaming.autoload import run_available, stream_to_bronze
 from .pipeline import AIRLINE_COLUMNS, Pipeline, PipelineConfig

@@ -10,7 +10,6 @@ The batch grain is one line item.  Change logs come from ``events`` (key
 
 from __future__ import annotations
 
-import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
