@@ -29,7 +29,8 @@ def test_insert_only_one_batch_equals_many(spark, values):
     vals = spark.createDataFrame([(v,) for v in values], "v string")
     one = lookup_dim(empty, vals, "v", "sk")
     half = len(values) // 2
-    d = lookup_dim(empty, spark.createDataFrame([(v,) for v in values[:half]] or [], "v string"), "v", "sk")
+    d = lookup_dim(empty, spark.createDataFrame([(v,) for v in values[:half]] or [], "v string"), "v",
+                   "sk").checkpoint(eager=True)
     d = lookup_dim(d, spark.createDataFrame([(v,) for v in values[half:]], "v string"), "v", "sk")
     assert sorted(r.v for r in one.collect()) == sorted(r.v for r in d.collect()) == sorted(set(values))
     assert sorted(r.sk for r in d.collect()) == list(range(1, len(set(values)) + 1))
@@ -75,7 +76,9 @@ def test_scd2_incremental_equals_history(spark, log):
     from strata.operators.latest import latest_per_key
     for d in sorted({d for _, d, _ in log}):
         day = df.filter(F.to_date("ts") == F.lit(dt.date(2024, 1, 1 + d)))
-        dim = scd2(dim, latest_per_key(day, "id", "ts", ["eid"]), "id", ["v"], dt.date(2024, 1, 1 + d), "sk")
+        # each batch ends in a written table, as in the pipeline: lineage stays one batch deep
+        dim = scd2(dim, latest_per_key(day, "id", "ts", ["eid"]), "id", ["v"], dt.date(2024, 1, 1 + d),
+                   "sk").checkpoint(eager=True)
     a = rows(dim, "id", "v", "effective_date", "expiry_date", "current_flag")
     b = rows(hist, "id", "v", "effective_date", "expiry_date", "current_flag")
     assert a == b
