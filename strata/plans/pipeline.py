@@ -129,6 +129,8 @@ class Pipeline:
                 return None
             head = self.vt.head()
             start = self.vt.offsets("silver").get("bronze", 0)
+            if not self.vt.has_changes_since("bronze", start):  # B-2 from the commit log: no job
+                return None
             feed = after_images(self.vt.changes("bronze", start, head))
             if feed.limit(1).count() == 0:  # B-2 / G-4: "NO DATA"
                 return None
@@ -183,6 +185,8 @@ class Pipeline:
                 return None
             head = self.vt.head()
             start = self.vt.offsets("fact_flight_data").get("silver", 0)
+            if not self.vt.has_changes_since("silver", start):  # B-2 from the commit log: no job
+                return None
             batch = after_images(self.vt.changes("silver", start, head)).persist()
             try:
                 if batch.limit(1).count() == 0:

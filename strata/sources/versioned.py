@@ -97,6 +97,15 @@ class VersionedTables:
     def has_table(self, table: str) -> bool:
         return bool(self._of(table))
 
+    def last_version(self, table: str) -> int:
+        """Last version that wrote ``table`` (0 if none): metadata only."""
+        es = self._of(table)
+        return es[-1][VERSION] if es else 0
+
+    def has_changes_since(self, table: str, offset: int) -> bool:
+        """B-2 from metadata alone: was ``table`` written after ``offset``?"""
+        return self.last_version(table) > offset
+
     def commit(self, batch_id: str, writes: dict, ts, offsets: dict | None = None,
                clones: dict | None = None, fail_before_commit: bool = False, snapshots=()) -> int:
         """Publish ``writes`` {table: change rows with _row_id and _op} as one version.
