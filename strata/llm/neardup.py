@@ -5,11 +5,14 @@
    an inverse document frequency (a logarithm) hardly feels; its size does not grow with the corpus.
 2. Each text gets ``bands * rows`` consistent samples of its weighted shingles: two texts share a
    sample with the probability of their weighted Jaccard similarity.  ``rows`` samples make a band.
-3. Equal texts are one node.  In each bucket of a band all nodes are compared with one hub of the
-   bucket; those that the hub doesn't match go on among themselves with a next hub, until none is left.
-   So a bucket of n near copies costs n comparisons, and no pair list of a group is ever made.
-4. A comparison computes the weighted Jaccard similarity of the whole texts.  Links of at least the
-   threshold make connected components: the classes.
+3. Equal texts are one node.  In each bucket of a band all nodes are compared with one hub, that which
+   shares buckets with most nodes (of a group of edited copies, the original).  So a bucket of n nodes
+   costs n comparisons, and no pair list of a group is ever made.
+4. A comparison computes the weighted Jaccard similarity of the whole texts.  Where it is too low, two nodes
+   that are like each other, yet unlike their hub, differ from the hub in the same shingles.  So the comparison also
+   samples what sets a node and its hub apart (the weights' differences); nodes with equal samples there
+   make the buckets of the next round, until no bucket has two nodes that are neither compared nor joined.
+5. Links of at least the threshold make connected components: the classes.
 """
 
 from __future__ import annotations
@@ -27,8 +30,13 @@ from strata.llm.common import col, field, map_text, ship, without, written
 
 SHINGLE = 5
 DF_BITS = 16
-#: Draws of the sampling tables, levels of a weight per doubling, and the greatest level.
-_DRAWS_BITS, _PER_OCTAVE, _LEVELS = 14, 2, 48
+#: What fewer than this share of the documents have is rare.
+RARE = 0.1
+#: Draws of the sampling tables, levels of a weight per doubling, their number, and the level of weight 1.
+_DRAWS_BITS, _PER_OCTAVE, _LEVELS, _LOWEST = 14, 2, 48, 8
+#: Bands and rows of the samples of differences: two nodes whose differences from the hub are alike to 0.4 share
+#: a band with probability 0.93, to 0.5 with 0.995.
+DIFF_BANDS, DIFF_ROWS = 40, 3
 
 
 def _weighted(texts: pa.Array, k: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -75,11 +83,14 @@ def document_frequencies(docs: DataFrame, text: str = "text", k: int = SHINGLE)
 
 
 def idf_table(docs: int, df: np.ndarray) -> np.ndarray:
-    """Inverse document frequency by cell: log2(1 + documents / estimate), where an estimate is the cell's load above
-    the mean, and at least what the noise of a cell's load lets one tell (once the square root of the mean)."""
+    """Inverse document frequency by cell, log2(1 + documents / estimate).  The estimate is the cell's load above the mean; all that
+    a share ``RARE`` of the documents have, or that the noise of a load hides (three times the square root of the mean), counts as rare.
+
+    So boilerplate weighs less, but the shingles of a group of near copies weigh as much as their edits, up to a large group.
+    """
     mean = df.sum() / len(df)
-    floor = max(1.0, 3 * np.sqrt(mean))
-    return np.log2(1 + max(docs, 1) / np.maximum(df - mean, floor)).astype(np.float64)
+    floor = max(1.0, RARE * docs, 3 * np.sqrt(mean))
+    return np.log2(1 + max(docs, 1) / np.maximum(df - mean, floor))
 
 
 class Sampler:
@@ -90,7 +101,7 @@ class Sampler:
         rng = np.random.default_rng(seed)
         draws = 1 << _DRAWS_BITS
         r, c, beta = rng.gamma(2, 1, draws), rng.gamma(2, 1, draws), rng.uniform(0, 1, draws)
-        level = (np.arange(_LEVELS) / _PER_OCTAVE * np.log(2))[:, None]
+        level = ((np.arange(_LEVELS) - _LOWEST) / _PER_OCTAVE * np.log(2))[:, None]
         t = np.floor(level / r + beta)
         self.table = (np.log(c) - r * (t - beta) - r).astype(np.float32).ravel()
         self.odd = W.mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(2654435761) + np.uint64(seed)) | np.uint64(1)
@@ -99,9 +110,9 @@ class Sampler:
     def weights(self, sh: np.ndarray, tf: np.ndarray) -> np.ndarray:
         return tf * self.idf[(sh >> np.uint64(64 - DF_BITS)).astype(np.int64)]
 
-    def samples(self, sh: np.ndarray, tf: np.ndarray, at: np.ndarray) -> np.ndarray:
+    def samples(self, sh: np.ndarray, weights: np.ndarray, at: np.ndarray) -> np.ndarray:
         """For each text with shingles (rows) and each sample the chosen shingle's hash; shingles come sorted by text and hash."""
-        level = np.clip(np.rint(np.log2(np.maximum(self.weights(sh, tf), 1e-9)) * _PER_OCTAVE), 0, _LEVELS - 1)
+        level = np.clip(np.rint(np.log2(np.maximum(weights, 1e-9)) * _PER_OCTAVE) + _LOWEST, 0, _LEVELS - 1)
         base = (level.astype(np.int64) << _DRAWS_BITS).astype(np.int64)
         some = np.flatnonzero(np.diff(at) > 0)
         begin, sizes = at[:-1][some], np.diff(at)[some]
@@ -117,6 +128,21 @@ class Sampler:
         return out
 
 
+    def band_keys(self, sh: np.ndarray, weights: np.ndarray, at: np.ndarray, rows: int) -> np.ndarray:
+        """For each text with shingles a key for each band of ``rows`` samples."""
+        s = self.samples(sh, weights, at)
+        s = s.reshape(len(s), -1, rows)
+        mixed = np.zeros(s.shape[:2], np.uint64)
+        for r in range(rows):
+            mixed = W.mix(mixed + s[:, :, r] * np.uint64(0x9E3779B97F4A7C15))
+        return mixed.view(np.int64)
+
+
+def _node(text: str):
+    """A text's hash: 128 bits of its SHA-256 (a null's as the empty text's)."""
+    return F.substring(F.sha2(F.coalesce(col(text).cast("string"), F.lit("")), 256), 1, 32)
+
+
 def signatures(docs: DataFrame, idf, text: str, k: int, bands: int, rows: int, carry: list[str]) -> DataFrame:
     """Columns ``carry`` with ``node`` (text's hash), ``n_shingles`` and ``band_keys`` (none without words)."""
 
@@ -130,75 +156,80 @@ def signatures(docs: DataFrame, idf, text: str, k: int, bands: int, rows: int, c
                 sizes.extend(np.diff(at).tolist())
                 got = [None] * (j - i)
                 if some.any():
-                    s = sampler.samples(sh, tf, at).reshape(int(some.sum()), bands, rows)
-                    mixed = np.zeros(s.shape[:2], np.uint64)
-                    for r in range(rows):
-                        mixed = W.mix(mixed + s[:, :, r] * np.uint64(0x9E3779B97F4A7C15))
-                    for t, key in zip(np.flatnonzero(some), mixed.view(np.int64), strict=True):
+                    mixed = sampler.band_keys(sh, sampler.weights(sh, tf), at, rows)
+                    for t, key in zip(np.flatnonzero(some), mixed, strict=True):
                         got[t] = key
                 keys.extend(x if x is not None else [] for x in got)
             return [pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
         return run
 
-    named = docs.withColumn("node", F.coalesce(F.sha2(col(text).cast("string"), 256), F.lit("")))
+    named = docs.withColumn("node", _node(text))
     return map_text(named, text, [field("n_shingles", "long"), field("band_keys", "array<long>")], make, [*carry, "node"])
 
 
-def _similar(pairs: DataFrame, idf, k: int) -> DataFrame:
-    """Pairs of texts ``ta`` and ``tb`` become the weighted Jaccard similarity ``sim``, computed over whole texts."""
-    carry = [c for c in pairs.columns if c not in ("ta", "tb")]
-    schema = T.StructType([pairs.schema[c] for c in carry] + [field("sim", "double")])
-
+def _compared(pairs: DataFrame, idf, k: int, threshold: float) -> DataFrame:
+    """Pairs ``node``, ``hub`` with their texts ``tn`` and ``th`` become ``link`` (whether their weighted Jaccard similarity over the whole
+    texts reaches the threshold) and the ``keys`` of what sets them apart."""
     def run(batches):
-        sampler = Sampler(1, idf.value)
-        last: dict[str, tuple] = {}
+        sampler = Sampler(DIFF_BANDS * DIFF_ROWS, idf.value, seed=7)
+        held: dict[str, tuple] = {}
 
         def vectors(texts):
-            """Weighted shingles of each text; a text equal to the one before (a hub's) is not cut again."""
-            out, todo = [last.get(x) for x in texts], []
-            for x, v in zip(texts, out, strict=True):
-                if v is None and x not in todo[-1:]:
-                    todo.append(x)
-            fresh = {}
-            if todo:
-                for i, j, sh, tf, at in _weighted(pa.array(todo), k):
-                    w = sampler.weights(sh, tf)
-                    for t in range(j - i):
-                        fresh[todo[i + t]] = (sh[at[t]:at[t + 1]], w[at[t]:at[t + 1]])
-            out = [v if v is not None else fresh[x] for x, v in zip(texts, out, strict=True)]
-            return out
+            """Weighted shingles of each text; the last hub's are held, as it mostly comes again."""
+            todo = list(dict.fromkeys(x for x in texts if x not in held))
+            fresh = dict(held)
+            for i, j, sh, tf, at in _weighted(pa.array(todo, pa.string()), k):
+                w = sampler.weights(sh, tf)
+                for t in range(j - i):
+                    fresh[todo[i + t]] = (sh[at[t]:at[t + 1]], w[at[t]:at[t + 1]])
+            return [fresh[x] for x in texts]
 
         for b in batches:
-            sims = []
-            for i in range(0, b.num_rows, 64):
-                ta, tb = (b.column(b.num_columns - c).slice(i, 64).to_pylist() for c in (2, 1))
-                va, vb = vectors(ta), vectors(tb)
-                if tb:
-                    last.clear()
-                    last[tb[-1]] = vb[-1]
-                for (sa, wa), (sb, wb) in zip(va, vb, strict=True):
-                    _, x, y = np.intersect1d(sa, sb, assume_unique=True, return_indices=True)
-                    both = float(np.minimum(wa[x], wb[y]).sum())
-                    either = float(wa.sum() + wb.sum()) - both
-                    sims.append(both / either if either > 0 else 0.0)
-            yield pa.RecordBatch.from_arrays([*b.columns[:-2], pa.array(sims, pa.float64())], names=schema.names)
-
-    return pairs.select(*carry, "ta", "tb").mapInArrow(run, schema)
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """``node`` and ``root`` (the least node) of each node with an edge ``a``, ``b``; all steps are joins and grouped minima."""
-    both = written(edges.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(
-        edges.select(F.col("b").alias("x"), F.col("a").alias("y"))).distinct())
-    label = written(both.groupBy(F.col("x").alias("node")).agg(F.least(F.min("y"), F.first("x")).alias("root")))
+            links, keys = [], []
+            for i in range(0, b.num_rows, 32):
+                tn, th = (b.column(c).slice(i, 32).to_pylist() for c in (2, 3))
+                vn, vh = vectors(tn), vectors(th)
+                held.clear()
+                held[th[-1]] = vh[-1]
+                apart, sizes = [], []
+                for (sa, wa), (sb, wb) in zip(vn, vh, strict=True):
+                    sh, back = np.unique(np.concatenate([sa, sb]), return_inverse=True)
+                    a, h = np.zeros(len(sh)), np.zeros(len(sh))
+                    a[back[:len(sa)]], h[back[len(sa):]] = wa, wb
+                    either = np.maximum(a, h).sum()
+                    links.append(bool(either > 0 and np.minimum(a, h).sum() >= threshold * either))
+                    some = a != h
+                    # a shingle too many and one too few are different things
+                    odd = W.mix(sh[some] ^ np.where(a[some] > h[some], np.uint64(0), np.uint64(0x5851F42D4C957F2D)))
+                    order = np.argsort(odd)
+                    apart.append((odd[order], np.abs(a - h)[some][order]))
+                    sizes.append(len(odd))
+                at = np.concatenate(([0], np.cumsum(sizes)))
+                got = iter(sampler.band_keys(np.concatenate([x for x, _ in apart]), np.concatenate([x for _, x in apart]), at, DIFF_ROWS)
+                           if at[-1] else [])
+                keys += [next(got) if n else [] for n in sizes]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(links, pa.bool_()), pa.array(keys, pa.list_(pa.int64()))],
+                                             names=["node", "hub", "link", "keys"])
+
+    return pairs.select("node", "hub", "tn", "th").mapInArrow(run, "node string, hub string, link boolean, keys array<long>")
+
+
+def _spread(label: DataFrame, both: DataFrame) -> DataFrame:
+    """``label`` (``node``, ``root``) after each node took the least root of its neighbours in ``both`` (``x``, ``y``), and that root's own root;
+    ``was`` is the root before.  Joins and grouped minima only."""
+    near = both.join(label, F.col("y") == F.col("node")).groupBy("x").agg(F.min("root").alias("near"))
+    step = label.join(near, F.col("node") == F.col("x"), "left").select(
+        "node", F.least("root", "near").alias("root"), F.col("root").alias("was"))
+    jump = step.select(F.col("node").alias("mid"), F.col("root").alias("far"))
+    return written(step.join(jump, F.col("root") == F.col("mid"), "left").select(
+        "node", F.least("root", "far").alias("root"), "was"))
+
+
+def components(label: DataFrame, links: DataFrame) -> DataFrame:
+    """``node`` and ``root``, one for each connected component; ``label`` may already be on the way there."""
+    both = written(links.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(links.select(F.col("b").alias("x"), F.col("a").alias("y"))))
     while True:
-        near = both.join(label, F.col("y") == F.col("node")).groupBy("x").agg(F.min("root").alias("near"))
-        step = label.join(near, F.col("node") == F.col("x")).select(
-            "node", F.least("root", "near").alias("root"), F.col("root").alias("was"))
-        jump = step.select(F.col("node").alias("mid"), F.col("root").alias("far"))
-        step = step.join(jump, F.col("root") == F.col("mid"), "left").select(
-            "node", F.least("root", F.coalesce("far", "root")).alias("root"), "was")
-        label = written(step)
+        label = _spread(label.select("node", "root"), both)
         if label.filter("root <> was").isEmpty():
             return label.select("node", "root")
 
@@ -221,8 +252,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     sig = written(signatures(docs, idf, text, k, bands, rows, without(docs.select(*[col(c) for c in carry]), ["node", "n_shingles", "band_keys"])))
     nodes = sig.groupBy("node").agg(F.max(F.struct("n_shingles", "band_keys")).alias("s"), F.min(doc_id).alias("least"), F.count("*").alias("size"))
     nodes = written(nodes.select("node", "least", "size", F.col("s.band_keys").alias("band_keys")))
-    links = _links(docs, nodes, idf, doc_id, text, k, threshold)
-    root = components(links)
+    links, root = _links(docs, nodes, idf, doc_id, text, k, threshold)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     member = written(nodes.drop("band_keys").join(root, "node", "left").join(degree, "node", "left").select(
         "node", "least", "size", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
@@ -234,36 +264,46 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         *[col(c) for c in kept], "node", "class_key", "class_id", "class_size", "n_links")
 
 
-def _links(docs: DataFrame, nodes: DataFrame, idf, doc_id: str, text: str, k: int, threshold: float) -> DataFrame:
-    """Verified links ``a``, ``b`` between texts."""
+def _links(docs: DataFrame, nodes: DataFrame, idf, doc_id: str, text: str, k: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Verified links ``a``, ``b`` between texts, and the component (``root``) of each ``node`` that was compared.
+
+    Two nodes that links have joined already aren't compared any more.
+    """
     slots = nodes.select("node", F.posexplode("band_keys").alias("band", "key"))
-    # each bucket goes by its band and key; odd bands take their hubs from the other end of the order
-    slots = slots.select("node", F.xxhash64("band", "key").alias("bucket"),
-                         F.when(F.col("band") % 2 == 0, F.xxhash64("node")).otherwise(-F.shiftright(F.xxhash64("node"), 1)).alias("rank"))
-    crowd = slots.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
+    slots = slots.select("node", F.xxhash64("band", "key").alias("bucket"))
+    crowd = slots.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     slots = written(slots.join(crowd, "bucket"))
+    # how many nodes a node meets in all its buckets
+    central = written(slots.groupBy("node").agg(F.sum("n").alias("meets")))
+    label = central.select("node", F.col("node").alias("root"))
     # one row's text for each node: the id beside the hash keeps the copies of a text apart in the shuffle
-    wanted = slots.select("node").distinct().join(nodes.select("node", F.col("least").alias("__least")), "node")
-    texts = docs.select(col(doc_id).alias("__id"), F.sha2(col(text).cast("string"), 256).alias("__n"), col(text).cast("string").alias("t"))
+    wanted = central.select("node").join(nodes.select("node", F.col("least").alias("__least")), "node")
+    texts = docs.select(col(doc_id).alias("__id"), _node(text).alias("__n"), col(text).cast("string").alias("t"))
     texts = texts.join(wanted, (F.col("__n") == F.col("node")) & F.col("__id").eqNullSafe(F.col("__least")))
     texts = written(texts.groupBy("node").agg(F.first("t").alias("t")))
-    done = None
+    rounds: list[DataFrame] = []
     while True:
-        hubs = slots.groupBy("bucket").agg(F.min_by("node", F.struct("rank", "node")).alias("hub"), F.count("*").alias("n")).filter("n > 1")
-        met = slots.join(hubs.select("bucket", "hub"), "bucket").filter("node <> hub")
-        met = written(met.select("bucket", "node", "rank", "hub"))
-        pairs = met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        if done is not None:
-            pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
-        both = pairs.join(texts.select(F.col("node").alias("a"), F.col("t").alias("ta")), "a") \
-            .join(texts.select(F.col("node").alias("b"), F.col("t").alias("tb")), "b")
-        fresh = _similar(both, idf, k).select("a", "b", (F.col("sim") >= threshold).alias("link"))
-        done = written(fresh if done is None else done.unionByName(fresh))
-        rest = met.withColumns({"a": F.least("node", "hub"), "b": F.greatest("node", "hub")}).join(
-            done.filter("link").select("a", "b"), ["a", "b"], "left_anti").select("bucket", "node", "rank")
-        slots = written(rest)
-        if slots.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
-            return done.filter("link").select("a", "b")
+        member = slots.select("bucket", "node").join(central, "node").join(label, "node")
+        hubs = member.groupBy("bucket").agg(F.max_by(F.struct("node", "root"), F.struct("meets", "node")).alias("h"), F.min("root").alias("r0"),
+                                            F.max("root").alias("r1")).filter("r0 <> r1").select("bucket", F.col("h.node").alias("hub"), F.col("h.root").alias("hub_root"))
+        pairs = member.join(hubs, "bucket").filter("root <> hub_root").select("node", "hub").distinct()
+        for seen in rounds:
+            pairs = pairs.join(seen.select("node", "hub").unionByName(seen.select(F.col("hub").alias("node"), F.col("node").alias("hub"))),
+                               ["node", "hub"], "left_anti")
+        pairs = written(pairs)
+        if pairs.isEmpty():
+            break
+        both = pairs.join(texts.select("node", F.col("t").alias("tn")), "node").join(texts.select(F.col("node").alias("hub"), F.col("t").alias("th")), "hub")
+        rounds.append(written(_compared(both, idf, k, threshold)))
+        linked = rounds[-1].filter("link")
+        label = _spread(label, linked.select(F.col("node").alias("x"), F.col("hub").alias("y")).unionByName(
+            linked.select(F.col("hub").alias("x"), F.col("node").alias("y")))).select("node", "root")
+        slots = rounds[-1].select("node", "hub", F.posexplode("keys").alias("band", "key")).select(F.xxhash64("hub", "band", "key").alias("bucket"), "node")
+    found = pairs.withColumn("link", F.lit(True))
+    for part in rounds:
+        found = found.unionByName(part.select("node", "hub", "link"))
+    links = written(found.filter("link").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
+    return links, components(label, links)
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -275,7 +315,7 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
     first = F.struct(col(doc_id).isNull(), col(doc_id), F.col("node"))
     keep = found.groupBy("class_key").agg(F.min(first).alias("k")).select(
         F.col(f"k.{doc_id}").alias("__id"), F.col("k.node").alias("__node"))
-    rows = docs.withColumn("__node_of", F.coalesce(F.sha2(col(text).cast("string"), 256), F.lit("")))
+    rows = docs.withColumn("__node_of", _node(text))
     kept = rows.join(keep, (F.col("__node_of") == F.col("__node")) & col(doc_id).eqNullSafe(F.col("__id")), "left_semi")
     others = [c for c in docs.columns if c != doc_id]
     return kept.groupBy("__node_of", doc_id).agg(F.first(F.struct(*[col(c) for c in others])).alias("__row")).select(
