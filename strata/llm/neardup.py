@@ -10,8 +10,8 @@
    costs n comparisons, and no pair list of a group is ever made.
 4. A comparison computes the weighted Jaccard similarity of the whole texts.  Where it is too low, two nodes
    that are like each other, yet unlike their hub, differ from the hub in the same shingles.  So the comparison also
-   samples what sets a node and its hub apart (the weights' differences); nodes with equal samples there
-   make the buckets of the next round, until no bucket has two nodes that are neither compared nor joined.
+   samples what sets a node and its hub apart (the weights' differences); unlinked nodes with equal samples there
+   make the buckets of the next round, until no bucket has two nodes left that weren't compared.
 5. Links of at least the threshold make connected components: the classes.
 """
 
@@ -34,9 +34,9 @@ DF_BITS = 16
 RARE = 0.1
 #: Draws of the sampling tables, levels of a weight per doubling, their number, and the level of weight 1.
 _DRAWS_BITS, _PER_OCTAVE, _LEVELS, _LOWEST = 14, 2, 48, 8
-#: Bands and rows of the samples of differences: two nodes whose differences from the hub are alike to 0.4 share
-#: a band with probability 0.93, to 0.5 with 0.995.
-DIFF_BANDS, DIFF_ROWS = 40, 3
+#: Bands and rows of the samples of differences: two nodes whose differences from the hub are alike to 0.5 share
+#: a band with probability 0.92, to 0.6 with 0.996.
+DIFF_BANDS, DIFF_ROWS = 40, 4
 
 
 def _weighted(texts: pa.Array, k: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -267,7 +267,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def _links(docs: DataFrame, nodes: DataFrame, idf, doc_id: str, text: str, k: int, threshold: float) -> tuple[DataFrame, DataFrame]:
     """Verified links ``a``, ``b`` between texts, and the component (``root``) of each ``node`` that was compared.
 
-    Two nodes that links have joined already aren't compared any more.
+    A node that its hub matches leaves the bucket; it still meets others in its buckets with other hubs.
     """
     slots = nodes.select("node", F.posexplode("band_keys").alias("band", "key"))
     slots = slots.select("node", F.xxhash64("band", "key").alias("bucket"))
@@ -275,35 +275,33 @@ def _links(docs: DataFrame, nodes: DataFrame, idf, doc_id: str, text: str, k: in
     slots = written(slots.join(crowd, "bucket"))
     # how many nodes a node meets in all its buckets
     central = written(slots.groupBy("node").agg(F.sum("n").alias("meets")))
-    label = central.select("node", F.col("node").alias("root"))
     # one row's text for each node: the id beside the hash keeps the copies of a text apart in the shuffle
     wanted = central.select("node").join(nodes.select("node", F.col("least").alias("__least")), "node")
     texts = docs.select(col(doc_id).alias("__id"), _node(text).alias("__n"), col(text).cast("string").alias("t"))
     texts = texts.join(wanted, (F.col("__n") == F.col("node")) & F.col("__id").eqNullSafe(F.col("__least")))
     texts = written(texts.groupBy("node").agg(F.first("t").alias("t")))
-    rounds: list[DataFrame] = []
+    links, seen = [], None
     while True:
-        member = slots.select("bucket", "node").join(central, "node").join(label, "node")
-        hubs = member.groupBy("bucket").agg(F.max_by(F.struct("node", "root"), F.struct("meets", "node")).alias("h"), F.min("root").alias("r0"),
-                                            F.max("root").alias("r1")).filter("r0 <> r1").select("bucket", F.col("h.node").alias("hub"), F.col("h.root").alias("hub_root"))
-        pairs = member.join(hubs, "bucket").filter("root <> hub_root").select("node", "hub").distinct()
-        for seen in rounds:
-            pairs = pairs.join(seen.select("node", "hub").unionByName(seen.select(F.col("hub").alias("node"), F.col("node").alias("hub"))),
-                               ["node", "hub"], "left_anti")
+        member = slots.join(central, "node")
+        hubs = member.groupBy("bucket").agg(F.max_by("node", F.struct("meets", "node")).alias("hub"), F.count("*").alias("n")).filter("n > 1")
+        pairs = member.join(hubs, "bucket").filter("node <> hub").select("node", "hub").distinct()
+        if seen is not None:
+            pairs = pairs.join(seen, ["node", "hub"], "left_anti")
         pairs = written(pairs)
         if pairs.isEmpty():
             break
         both = pairs.join(texts.select("node", F.col("t").alias("tn")), "node").join(texts.select(F.col("node").alias("hub"), F.col("t").alias("th")), "hub")
-        rounds.append(written(_compared(both, idf, k, threshold)))
-        linked = rounds[-1].filter("link")
-        label = _spread(label, linked.select(F.col("node").alias("x"), F.col("hub").alias("y")).unionByName(
-            linked.select(F.col("hub").alias("x"), F.col("node").alias("y")))).select("node", "root")
-        slots = rounds[-1].select("node", "hub", F.posexplode("keys").alias("band", "key")).select(F.xxhash64("hub", "band", "key").alias("bucket"), "node")
-    found = pairs.withColumn("link", F.lit(True))
-    for part in rounds:
-        found = found.unionByName(part.select("node", "hub", "link"))
-    links = written(found.filter("link").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
-    return links, components(label, links)
+        met = written(_compared(both, idf, k, threshold))
+        links.append(met.filter("link").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")))
+        pairs = pairs.unionByName(pairs.select(F.col("hub").alias("node"), F.col("node").alias("hub")))
+        seen = written(pairs if seen is None else seen.unionByName(pairs))
+        apart = met.filter("not link").select("node", F.explode(F.transform("keys", lambda key, band: F.xxhash64("hub", band, key))).alias("bucket"))
+        slots = written(apart.distinct())
+    found = pairs.select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    for part in links:
+        found = found.unionByName(part)
+    found = written(found.distinct())
+    return found, components(central.select("node", F.col("node").alias("root")), found)
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
