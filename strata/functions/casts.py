@@ -14,12 +14,14 @@ def _c(c) -> Column:
 
 
 def try_cast_int(c) -> Column:
-    """String -> INT; a decimal rounds half away from zero ('12.7' -> 13).
+    """String -> INT; a decimal rounds half away from zero ('12.7' -> 13, '12.4999999' -> 12).
 
-    'abc', '' and out-of-range values become null.
+    In plain notation the first fraction digit decides, so the others are left out before
+    the one rounding; an exponent form goes by its value.  'abc', '' and out-of-range values become null.
     """
-    dec = F.trim(_c(c)).try_cast("decimal(38,6)")
-    return F.round(dec, 0).try_cast("int")
+    s = F.trim(_c(c))
+    plain = F.regexp_replace(s, r"^([+-]?\d*\.\d)\d+$", "$1")
+    return F.round(plain.try_cast("decimal(38,6)"), 0).try_cast("int")
 
 
 def try_cast_date(c, formats=DEFAULT_DATE_FORMATS) -> Column:

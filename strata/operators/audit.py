@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import traceback
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,6 +44,5 @@ def audited(spark: SparkSession, sink, proc_name: str, run_by: str, run_ts, audi
     try:
         yield
     except Exception as e:  # noqa: BLE001 - recorded, then re-raised
-        msg = f"{type(e).__name__}: {e}".splitlines()[0][:2000] or traceback.format_exc(limit=1)
-        sink(audit_failure(spark, proc_name, run_by, run_ts, msg, audit_id))
+        sink(audit_failure(spark, proc_name, run_by, run_ts, f"{type(e).__name__}: {e}", audit_id))
         raise

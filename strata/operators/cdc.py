@@ -29,7 +29,7 @@ def diff_snapshots(old: DataFrame, new: DataFrame, key, columns=None) -> DataFra
     key = _list(key)
     cols = columns or new.columns
     vals = [c for c in cols if c not in key]
-    j = align(old.select(*cols), new.select(*cols), key, small_source=False)
+    j = align(old.select(*cols), new.select(*cols), key)
     in_o, in_n = F.col(IN_T).isNotNull(), F.col(IN_S).isNotNull()
     both = in_o & in_n
     changed = both & row_changed([T(c) for c in vals], [S(c) for c in vals])

@@ -6,9 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.rows import row_changed
-from .keys import SMALL_KEY_ROWS, assign_keys, max_key
+from .keys import assign_keys, max_key
 from .merge import IN_S, IN_T, OP, S, T, align, merge
-from .sizing import DEFAULT_BROADCAST_ROWS
 
 
 def _list(x):
@@ -51,7 +50,6 @@ def empty_dim(spark, schema: str) -> DataFrame:
 
 
 def lookup_dim(dim: DataFrame, values: DataFrame, key, sk_col: str, null_keys: str = "literal",
-               broadcast_rows: int = DEFAULT_BROADCAST_ROWS, small_rows: int = SMALL_KEY_ROWS,
                changes_only: bool = False) -> DataFrame:
     """Insert-only dimension (D-2 = W-2 -> M-3 -> D-4): new distinct values get new keys.
 
@@ -67,15 +65,14 @@ def lookup_dim(dim: DataFrame, values: DataFrame, key, sk_col: str, null_keys: s
         src = _drop_null_keys(src, key)
     # the dimension is a written table: the planner's file statistics decide on broadcast
     new = src.join(dim.select(*key), key, "left_anti")
-    keyed = assign_keys(new, sk_col, key, start=max_key(dim, sk_col), small_rows=small_rows)
+    keyed = assign_keys(new, sk_col, key, start=max_key(dim, sk_col))
     if changes_only:
         return keyed.select(*dim.columns).withColumn(OP, F.lit("INSERT"))
     return dim.unionByName(keyed.select(*dim.columns))
 
 
 def scd1(dim: DataFrame, batch: DataFrame, key, attrs, sk_col: str, null_keys: str = "literal",
-         on_conflict: str = "raise", broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-         changes_only: bool = False) -> DataFrame:
+         on_conflict: str = "raise", changes_only: bool = False) -> DataFrame:
     """Type-1 dimension (D-1 = W-3 -> M-1 -> D-4): attributes are overwritten in place.
 
     Two attribute sets for one key in a batch raise (``on_conflict='raise'``)
@@ -90,7 +87,7 @@ def scd1(dim: DataFrame, batch: DataFrame, key, attrs, sk_col: str, null_keys: s
         src = (batch.groupBy(*key).agg(F.min(F.struct(*attrs)).alias("__lo"))
                .select(*key, *[F.col(f"__lo.{a}").alias(a) for a in attrs]))
     merged = merge(dim, src, key, update={a: S(a) for a in attrs}, insert="all",
-                   check_unique=False, broadcast_rows=broadcast_rows)
+                   check_unique=False, source_unique=True)
     kept = merged.filter(F.col(OP).isNull() | (F.col(OP) != "INSERT")).drop(OP)
     new = merged.filter(F.col(OP) == "INSERT").drop(OP, sk_col)
     keyed = assign_keys(new, sk_col, key, start=max_key(dim, sk_col))
@@ -102,8 +99,7 @@ def scd1(dim: DataFrame, batch: DataFrame, key, attrs, sk_col: str, null_keys: s
 
 def scd2(dim: DataFrame, batch: DataFrame, key, tracked, run_date, sk_col: str,
          effective: str = "effective_date", expiry: str = "expiry_date", current: str = "current_flag",
-         null_keys: str = "literal", broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-         changes_only: bool = False) -> DataFrame:
+         null_keys: str = "literal", changes_only: bool = False) -> DataFrame:
     """Type-2 dimension (D-3), one batch at ``run_date``.
 
     1. expire: the current row of a key whose tracked columns differ (null-safe)
@@ -120,7 +116,7 @@ def scd2(dim: DataFrame, batch: DataFrame, key, tracked, run_date, sk_col: str,
     is_cur = F.coalesce(F.col(current), F.lit(False))
     hist = dim.filter(~is_cur)
     cur = dim.filter(is_cur)
-    j = align(cur, src, key, broadcast_rows)
+    j = align(cur, src, key)
     in_t, in_s = F.col(IN_T).isNotNull(), F.col(IN_S).isNotNull()
     changed = in_t & in_s & row_changed([T(c) for c in tracked], [S(c) for c in tracked])
     old = j.filter(in_t).select(*[

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .merge import S, T, merge
-from .sizing import DEFAULT_BROADCAST_ROWS, maybe_broadcast
 
 
 @dataclass
@@ -22,14 +21,14 @@ class Lookup:
     extra: list = field(default_factory=list)  # more dimension columns to carry along
 
 
-def star_lookup(batch: DataFrame, lookups, broadcast_rows: int | None = None) -> DataFrame:
+def star_lookup(batch: DataFrame, lookups) -> DataFrame:
     """Left-join the batch to each dimension on natural keys (J-1).
 
     A value missing from a dimension gives a null key.  Dimensions are written
     tables, so by default the planner's file-size statistics
     (``autoBroadcastJoinThreshold``) and AQE's run-time sizes decide whether a
     dimension is broadcast; a large one (growing with the customers) gets a
-    shuffle join.  ``broadcast_rows`` forces a row-count check instead.
+    shuffle join.
     """
     out = batch
     for lk in lookups:
@@ -38,8 +37,6 @@ def star_lookup(batch: DataFrame, lookups, broadcast_rows: int | None = None) ->
             d = d.filter(F.coalesce(F.col(lk.current_only), F.lit(False)))  # J-2: filter first
         d = d.select(*[F.col(dc).alias(bc) for bc, dc in lk.on.items()],
                      F.col(lk.sk).alias(lk.alias or lk.sk), *lk.extra)
-        if broadcast_rows:
-            d = maybe_broadcast(d, broadcast_rows)
         out = out.join(d, list(lk.on.keys()), "left")
     return out
 
@@ -47,8 +44,7 @@ def star_lookup(batch: DataFrame, lookups, broadcast_rows: int | None = None) ->
 def fact_merge(fact: DataFrame, source: DataFrame, keys: dict, date_col: str, run_ts, *,
                carry, status_col: str = "flight_status", orig: str = "original_departure_date",
                cur: str = "current_departure_date", count_col: str = "update_count",
-               ts_col: str = "last_record_update", check_unique: bool = False,
-               broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+               ts_col: str = "last_record_update", source_unique: bool = False) -> DataFrame:
     """Conditional MERGE of a fact source (M-2, D-5).
 
     keys   {fact column: source column} of the ON clause.
@@ -68,5 +64,4 @@ def fact_merge(fact: DataFrame, source: DataFrame, keys: dict, date_col: str, ru
     return merge(
         fact, src, on,
         update={cur: d, status_col: S(status_col), count_col: T(count_col) + 1, ts_col: ts},
-        update_if=T(cur) != d, insert=insert, check_unique=check_unique,
-        broadcast_rows=broadcast_rows)
+        update_if=T(cur) != d, insert=insert, source_unique=source_unique)

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
-from .sizing import fits
 
 _LOW = (1 << 33) - 1
 
@@ -34,30 +33,10 @@ def _order_cols(order_by):
     return out
 
 
-SMALL_KEY_ROWS = 1_000_000
-
-
 def assign_keys(rows: DataFrame, sk_col: str, order_by, start: int = 0,
-                num_partitions: int | None = None, key_type: str = "bigint",
-                small_rows: int = SMALL_KEY_ROWS) -> DataFrame:
-    """Number ``rows`` start+1, start+2, ... in ``order_by`` order.
-
-    ``order_by`` should be unique on ``rows`` for a reproducible numbering.
-    When the new rows are proven few (at most ``small_rows``, checked by a
-    bounded count) one ordered window numbers them; otherwise the distributed
-    range-partition path below runs.
-    """
+                num_partitions: int | None = None, key_type: str = "bigint") -> DataFrame:
+    """Number ``rows`` start+1, start+2, ... in ``order_by`` order, which should be unique on ``rows``."""
     order = _order_cols(order_by)
-    if small_rows:
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # the size check computes it once
-        if fits(rows, small_rows):
-            # bounded by the check above: one task sorts at most ``small_rows`` rows
-            w = Window.orderBy(*order)
-            return rows.withColumn(sk_col, (F.lit(start) + F.row_number().over(w)).cast(key_type))
-    return _assign_keys_ranged(rows, sk_col, order, start, num_partitions, key_type)
-
-
-def _assign_keys_ranged(rows, sk_col, order, start, num_partitions, key_type):
     spark = rows.sparkSession
     checkpoint_root(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -5,13 +5,8 @@ the target with an ``_op`` column (``'UPDATE'``, ``'INSERT'`` or null for an
 untouched row).  ``changes(...)`` keeps only the touched rows, which is what a
 versioned table appends.
 
-Join strategy
--------------
-* Source proven small (row count <= ``broadcast_rows``): the target is
-  *streamed* through a broadcast hash join (``target LEFT JOIN broadcast(source)``)
-  and unmatched source rows are found against the (small) set of matched keys.
-  The target is never shuffled.
-* Otherwise: one ``full_outer`` shuffle join on the key.
+One ``full_outer`` join on the key aligns target and source; Spark's statistics and
+AQE choose its physical form.
 
 Inside expressions, refer to target columns with :func:`T` and source columns
 with :func:`S`.
@@ -25,7 +20,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .quality import assert_unique
-from .sizing import DEFAULT_BROADCAST_ROWS, fits
 
 OP = "_op"
 IN_T, IN_S = "__in_t", "__in_s"
@@ -53,43 +47,43 @@ def _any_null(cols) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
 
 
-def align(target: DataFrame, source: DataFrame, on, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-          small_source: bool | None = None) -> DataFrame:
+def align(target: DataFrame, source: DataFrame, on) -> DataFrame:
     """Pair every target row with its matching source row(s), plus unmatched source rows.
 
     Columns: ``t__*``, ``s__*``, ``__in_t``, ``__in_s``.  A null key never
-    matches.  In the shuffle join, rows with a null key get a content-hash
-    salt as an extra join key, so they spread over partitions instead of
-    piling up in one (a full outer join gets no AQE skew split); the inputs
-    are read once.
+    matches.  Rows with a null key get a content-hash salt as an extra join key,
+    so they spread over partitions instead of piling up in one (a full outer
+    join gets no AQE skew split); the inputs are read once.
     """
     on = _keys(on)
     t = _prefixed(target, "t", IN_T)
     s = _prefixed(source, "s", IN_S)
     cond = reduce(lambda a, b: a & b, [F.col(f"t__{k}") == F.col(f"s__{k}") for k in on])
-    if small_source is None:
-        small_source = fits(source, broadcast_rows)
-    if not small_source:
-        def salted(df, p):
-            salt = F.when(_any_null([f"{p}__{k}" for k in on]), F.xxhash64(*[F.col(c) for c in df.columns]))
-            return df.withColumn(f"__salt_{p}", F.coalesce(salt, F.lit(0).cast("bigint")))
-        j = salted(t, "t").join(salted(s, "s"), cond & (F.col("__salt_t") == F.col("__salt_s")), "full_outer")
-        return j.drop("__salt_t", "__salt_s")
-    # the target streams through a broadcast hash join: never shuffled
-    matched_side = t.join(F.broadcast(s), cond, "left")
-    # keys of the source that exist in the target: bounded by the source size
-    src_keys = F.broadcast(source.select(*on).distinct())
-    hit = target.select(*on).join(src_keys, on, "left_semi").distinct()
-    unmatched = source.join(F.broadcast(hit), on, "left_anti")   # null keys are never hit: kept
-    t_cols = [F.lit(None).cast(f.dataType).alias(f.name) for f in t.schema.fields]
-    u = _prefixed(unmatched, "s", IN_S)
-    return matched_side.unionByName(u.select(*t_cols, *u.columns))
+
+    def salted(df, p):
+        salt = F.when(_any_null([f"{p}__{k}" for k in on]), F.xxhash64(*[F.col(c) for c in df.columns]))
+        return df.withColumn(f"__salt_{p}", F.coalesce(salt, F.lit(0).cast("bigint")))
+    j = salted(t, "t").join(salted(s, "s"), cond & (F.col("__salt_t") == F.col("__salt_s")), "full_outer")
+    return j.drop("__salt_t", "__salt_s")
+
+
+def _one_per_target(target: DataFrame, source: DataFrame, on, do_upd: Column) -> DataFrame:
+    """As :func:`align`, with one row for each target row: of several matches one that would
+    update it (``__hits`` counts those).  Partial aggregation keeps a row with many matches cheap."""
+    j = align(target.withColumn("__id", F.monotonically_increasing_id()),
+              source.withColumn("__id", F.monotonically_increasing_id()), on).withColumn("__q", do_upd)
+    sides = {p: [c for c in j.columns if c.startswith(f"{p}__")] + [flag] for p, flag in (("t", IN_T), ("s", IN_S))}
+    alone = F.when(F.col("t____id").isNull(), F.col("s____id"))
+    g = j.groupBy(F.col("t____id").alias("__tid"), alone.alias("__sid")).agg(
+        F.first(F.struct(*sides["t"])).alias("__tr"), F.max_by(F.struct(*sides["s"]), F.col("__q")).alias("__sr"),
+        F.sum(F.col("__q").cast("int")).alias("__hits"))
+    return g.select("__tr.*", "__sr.*", "__hits")
 
 
 def merge(target: DataFrame, source: DataFrame, on, *, update="all", insert="all",
           update_if: Column | None = None, set_on_update: dict | None = None,
           set_on_insert: dict | None = None, check_unique: bool = True,
-          broadcast_rows: int = DEFAULT_BROADCAST_ROWS, small_source: bool | None = None) -> DataFrame:
+          source_unique: bool = False) -> DataFrame:
     """MERGE ``source`` into ``target`` on the key columns ``on``.
 
     update      'all' (every non-key target column present in the source), a dict
@@ -98,12 +92,16 @@ def merge(target: DataFrame, source: DataFrame, on, *, update="all", insert="all
                 dict {col: Column over S(...)}, or None.
     update_if   extra condition of the matched branch (M-2).
     set_on_update / set_on_insert  constant or computed columns (timestamps, counters).
-    check_unique  raise before anything is written when two source rows match
-                one target row (M-4).
+    check_unique  raise before anything is written when two source rows would update
+                one target row (M-4); without a condition by a check beforehand, with
+                one inside the merge itself.
+    source_unique  the caller knows that no key comes twice in the source.
+    A target row that several source rows match stays one row.
     """
     on = _keys(on)
-    if check_unique and update is not None:
+    if check_unique and not source_unique and update is not None and update_if is None:
         assert_unique(source, on, target=target)
+        source_unique = True
     tcols = target.columns
     ttypes = {f.name: f.dataType for f in target.schema.fields}
     scols = set(source.columns)
@@ -124,12 +122,12 @@ def merge(target: DataFrame, source: DataFrame, on, *, update="all", insert="all
             ins = dict(insert)
         ins.update(set_on_insert or {})
 
-    j = align(target, source, on, broadcast_rows, small_source)
     in_t = F.col(IN_T).isNotNull()
     in_s = F.col(IN_S).isNotNull()
     do_upd = in_t & in_s if update is not None else F.lit(False)
     if update_if is not None:
         do_upd = do_upd & F.coalesce(update_if, F.lit(False))
+    j = align(target, source, on) if source_unique else _one_per_target(target, source, on, do_upd)
     if insert is None:
         j = j.filter(in_t)
 
@@ -142,6 +140,9 @@ def merge(target: DataFrame, source: DataFrame, on, *, update="all", insert="all
             e = F.when(in_t, e).otherwise(iv.cast(ttypes[c]))
         out.append(e.cast(ttypes[c]).alias(c))
     op = F.when(do_upd, F.lit("UPDATE"))
+    if check_unique and not source_unique and update is not None:
+        several = F.raise_error(F.lit(f"merge source is not unique on {on}: several rows would update one")).cast("string")
+        op = F.when(F.col("__hits") > 1, several).otherwise(op)
     if insert is not None:
         op = F.when(~in_t, F.lit("INSERT")).otherwise(op)
     return j.select(*out, op.alias(OP))
@@ -160,11 +161,9 @@ def merge_counts(merged: DataFrame) -> DataFrame:
         F.count_if(F.col(OP).isNotNull()).alias("affected"))
 
 
-def update_from(target: DataFrame, source: DataFrame, on, set_cols: dict, where: Column | None = None,
-                broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def update_from(target: DataFrame, source: DataFrame, on, set_cols: dict, where: Column | None = None) -> DataFrame:
     """UPDATE target SET ... FROM source WHERE key match [AND where] (M-5, J-4)."""
-    return merge(target, source, on, update=set_cols, insert=None, update_if=where,
-                 broadcast_rows=broadcast_rows)
+    return merge(target, source, on, update=set_cols, insert=None, update_if=where)
 
 
 def update_where(target: DataFrame, set_cols: dict, where: Column | None = None) -> DataFrame:

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sizing import maybe_broadcast
-
 
 class AmbiguousMergeError(ValueError):
     """Two source rows would update one target row."""
@@ -47,13 +45,11 @@ def assert_unique(source: DataFrame, on, target: DataFrame | None = None) -> Non
         raise AmbiguousMergeError(f"merge source is not unique on {on}: {row[0].asDict()}")
 
 
-def orphans(fact: DataFrame, dim: DataFrame, fk, pk=None, broadcast_rows: int | None = None) -> DataFrame:
+def orphans(fact: DataFrame, dim: DataFrame, fk, pk=None) -> DataFrame:
     """Fact rows whose non-null foreign key has no dimension row."""
     fk = [fk] if isinstance(fk, str) else list(fk)
     pk = fk if pk is None else ([pk] if isinstance(pk, str) else list(pk))
     keys = dim.select(*[F.col(p).alias(f) for p, f in zip(pk, fk)]).distinct()
-    if broadcast_rows:
-        keys = maybe_broadcast(keys, broadcast_rows)
     nonnull = fact
     for f in fk:
         nonnull = nonnull.filter(F.col(f).isNotNull())

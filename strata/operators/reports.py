@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sizing import maybe_broadcast
 
 
 @dataclass
@@ -19,7 +18,7 @@ class ReportJoin:
 
 
 def status_report(fact: DataFrame, status: str, joins, *, status_col: str = "flight_status",
-                  fact_cols=(), broadcast_rows: int | None = None) -> DataFrame:
+                  fact_cols=()) -> DataFrame:
     """Rows of ``fact`` with ``status`` named through dimensions (left joins: a
     missing dimension row gives nulls, the fact row stays)."""
     out = fact.filter(F.col(status_col) == status)
@@ -27,8 +26,6 @@ def status_report(fact: DataFrame, status: str, joins, *, status_col: str = "fli
     for i, j in enumerate(joins):
         k = f"__k{i}"
         d = j.dim.select(F.col(j.dim_sk).alias(k), *[F.col(c).alias(a) for c, a in j.columns.items()])
-        if broadcast_rows:  # else: written dimension, the planner's size statistics decide
-            d = maybe_broadcast(d, broadcast_rows)
         out = out.join(d, out[j.fact_fk] == F.col(k), "left").drop(k)
         names += list(j.columns.values())
     return out.select(*names, *fact_cols)

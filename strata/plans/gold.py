@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from ..operators.dims import lookup_dim, scd1, scd2
 from ..operators.fact import Lookup, fact_merge, star_lookup
 from ..operators.latest import latest_per_key
-from ..operators.sizing import DEFAULT_BROADCAST_ROWS
 from ..sources.tables import run_concurrently, write_table
 
 
@@ -70,8 +69,7 @@ def empty_state(spark, batch_schema, cfg: StarConfig) -> dict:
 
 
 def load_dims(state: dict, batch: DataFrame, cfg: StarConfig, run_date,
-              broadcast_rows: int = DEFAULT_BROADCAST_ROWS, root: str | None = None,
-              changes_only: bool = False) -> dict:
+              root: str | None = None, changes_only: bool = False) -> dict:
     """The six dimension loads of one batch.
 
     They do not depend on one another, so they run as concurrent Spark jobs
@@ -80,7 +78,7 @@ def load_dims(state: dict, batch: DataFrame, cfg: StarConfig, run_date,
     returns each dimension's changed rows with ``_op`` instead of its new state.
     """
     arr = batch.select(F.col(cfg.arrival_key).alias("airport_code"))
-    kw = {"null_keys": cfg.null_keys, "broadcast_rows": broadcast_rows, "changes_only": changes_only}
+    kw = {"null_keys": cfg.null_keys, "changes_only": changes_only}
     tasks = {
         "dim_airport": lambda: scd1(state["dim_airport"], batch, cfg.airport_key, cfg.airport_attrs,
                                     SK["airport"], **kw),
@@ -100,8 +98,7 @@ def load_dims(state: dict, batch: DataFrame, cfg: StarConfig, run_date,
     return s
 
 
-def fact_source(state: dict, batch: DataFrame, cfg: StarConfig,
-                broadcast_rows: int = DEFAULT_BROADCAST_ROWS, keep=()) -> DataFrame:
+def fact_source(state: dict, batch: DataFrame, cfg: StarConfig, keep=()) -> DataFrame:
     """Star lookups of the batch (J-1; passenger via its current SCD2 row, J-2/D-6)."""
     lookups = [
         Lookup(state["dim_passenger"], {cfg.passenger_key: cfg.passenger_key}, SK["passenger"],
@@ -113,7 +110,7 @@ def fact_source(state: dict, batch: DataFrame, cfg: StarConfig,
         Lookup(state["dim_ticket_type"], {cfg.ticket_key: cfg.ticket_key}, SK["ticket"]),
         Lookup(state["dim_passenger_status"], {cfg.status_key: cfg.status_key}, SK["status"]),
     ]
-    looked = star_lookup(batch, lookups, broadcast_rows)
+    looked = star_lookup(batch, lookups)
     return looked.select(*keep, "passenger_sk", "departure_airport_sk", "arrival_airport_sk", "pilot_sk",
                          "ticket_sk", "pass_status_sk", cfg.date_col, cfg.flight_status, cfg.passenger_key)
 
@@ -123,40 +120,40 @@ FACT_SKS = ["passenger_sk", "departure_airport_sk", "arrival_airport_sk", "pilot
 
 
 def load_fact(state: dict, batch: DataFrame, cfg: StarConfig, run_ts,
-              broadcast_rows: int = DEFAULT_BROADCAST_ROWS, src: DataFrame | None = None) -> DataFrame:
+              src: DataFrame | None = None) -> DataFrame:
     """Fact MERGE of one batch (D-5); returns the merged fact with ``_op``.
 
     ``src`` may pass a (persisted) :func:`fact_source` ``.distinct()`` of the batch.
     """
     if src is None:
-        src = fact_source(state, batch, cfg, broadcast_rows).distinct()
+        src = fact_source(state, batch, cfg).distinct()
     if cfg.reschedule:
         keys = {cfg.passenger_key: cfg.passenger_key, "departure_airport_sk": "departure_airport_sk"}
         tie = [cfg.flight_status] + FACT_SKS
         src = latest_per_key(src, list(keys.values()), cfg.date_col, tie)
-        check = True
+        unique = True
     else:
         keys = {cfg.passenger_key: cfg.passenger_key, "departure_airport_sk": "departure_airport_sk",
                 "original_departure_date": cfg.date_col}
-        check = False  # the matched branch can never fire (current = original on insert)
+        unique = False  # a key may come with several pilots or tickets: a matched fact row stays one row
     return fact_merge(state["fact_flight_data"], src, keys, cfg.date_col, run_ts,
                       carry=FACT_SKS + [cfg.passenger_key], status_col=cfg.flight_status,
-                      check_unique=check, broadcast_rows=broadcast_rows)
+                      source_unique=unique)
 
 
 def load_gold(state: dict, batch: DataFrame, cfg: StarConfig, run_ts, run_date,
-              broadcast_rows: int = DEFAULT_BROADCAST_ROWS, root: str | None = None) -> tuple[dict, DataFrame]:
+              root: str | None = None) -> tuple[dict, DataFrame]:
     """One gold batch: the batch's INSERT images -> six dimensions -> fact.
 
     Returns the new state (fact without ``_op``) and the merged fact with ``_op``
     (its counts are the affected rows of the audit record).  With ``root`` every
     table of the new state is a written table under it.
     """
-    s = load_dims(state, batch, cfg, run_date, broadcast_rows, root)
-    # one batch's lookups: computed once for the size check and the merge, released after the write
-    src = fact_source(s, batch, cfg, broadcast_rows).distinct().persist()
+    s = load_dims(state, batch, cfg, run_date, root)
+    # one batch's lookups: computed once, released after the write
+    src = fact_source(s, batch, cfg).distinct().persist()
     try:
-        merged = load_fact(s, batch, cfg, run_ts, broadcast_rows, src=src)
+        merged = load_fact(s, batch, cfg, run_ts, src=src)
         if root is not None:
             merged = write_table(merged, f"{root}/fact_flight_data")
     finally:

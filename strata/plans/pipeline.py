@@ -82,9 +82,9 @@ class Pipeline:
         try:
             counts = fn()
         except Exception as e:
-            msg = f"{type(e).__name__}: {e}".splitlines()[0][:2000]
-            self._audit(audit_failure(self.spark, proc, self.cfg.run_by, ts, msg, self._next_audit_id()),
-                        f"{proc}:{batch_id}", ts)
+            audit_id = self._next_audit_id()  # each failure is a record of its own
+            self._audit(audit_failure(self.spark, proc, self.cfg.run_by, ts, f"{type(e).__name__}: {e}", audit_id),
+                        f"{proc}:{batch_id}:failed:{audit_id}", ts)
             raise
         if counts is not None:
             self._audit(audit_success(counts, proc, self.cfg.run_by, ts, self._next_audit_id()),
@@ -149,7 +149,7 @@ class Pipeline:
             upd_if = None
             if c.skip_unchanged:
                 upd_if = row_changed([T(x) for x in cols if x != c.key], [S(x) for x in cols if x != c.key])
-            merged = merge(target, src, c.key, update_if=upd_if, set_on_update={"_last_updated": now},
+            merged = merge(target, src, c.key, update_if=upd_if, source_unique=True, set_on_update={"_last_updated": now},
                            set_on_insert={"_last_updated": now}).persist()
             try:
                 upd = merged.filter(F.col(OP) == "UPDATE")

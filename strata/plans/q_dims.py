@@ -34,7 +34,7 @@ def q_surrogate_keys(spark, sf_dir):
     split = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
     dim = spark.createDataFrame([], "line_sk bigint, l_orderkey bigint, l_linenumber int")
     for b in (li.filter(F.col("l_shipdate") < split), li.filter(F.col("l_shipdate") >= split)):
-        dim = lookup_dim(dim, b, ["l_orderkey", "l_linenumber"], "line_sk", small_rows=0).checkpoint(eager=True)
+        dim = lookup_dim(dim, b, ["l_orderkey", "l_linenumber"], "line_sk").checkpoint(eager=True)
     return dim
 
 

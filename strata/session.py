@@ -31,7 +31,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) do we set our own.
+    Only a plain local session (tests) that has none gets one of our own; a cluster must name it.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -39,6 +39,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="strata-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir()

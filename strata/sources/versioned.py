@@ -2,15 +2,15 @@
 
 Layout under ``root`` (a directory in the shared folder)::
 
-    <table>/version=N/part-*.parquet   changed rows only: data, _row_id, _op
+    <table>/attempt=ID/version=N/part-*.parquet   changed rows only: data, _row_id, _op
     commits/N/part-*.json              one row per table of batch N
 
 The commit record is written last, by one Spark job whose output becomes
 visible only when the job commits; it is at once the all-or-nothing publish
 (G-3), the consumer offsets (B-3), the time-travel index (T-1) and the feed
-boundary (B-1).  One writer at a time: versions are numbered head+1, so a
-version directory above the head is an unfinished attempt -- readers never
-look at it and the next attempt overwrites it.
+boundary (B-1).  Each attempt at a batch writes to folders of its own, which
+its commit record names; readers open only those, so what a failed attempt
+left is never read.  One writer at a time; a second one raises CommitConflict.
 
 Current state = last image per ``_row_id`` over committed versions, minus
 deletes (a window with a partial top-1 before the shuffle).
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,9 +31,9 @@ from ..operators.cdc import diff_snapshots
 from ..operators.keys import assign_keys, max_key
 from ..operators.latest import latest_per_key
 
-ROW_ID, OP, VERSION = "_row_id", "_op", "version"
+ROW_ID, OP, VERSION, ATTEMPT = "_row_id", "_op", "version", "attempt"
 COMMIT_SCHEMA = ("version int, batch_id string, committed_at timestamp_ntz, table_name string, rows bigint, "
-                 "schema_json string, clone_of string, clone_version int, offsets_json string, snapshot boolean")
+                 "schema_json string, clone_of string, clone_version int, offsets_json string, snapshot boolean, attempt string")
 SNAPSHOT = "SNAPSHOT"
 
 
@@ -49,7 +50,9 @@ class VersionedTables:
     def commits(self) -> DataFrame:
         try:
             return self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.root}/commits/*")
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":  # only a root without a commit is empty
+                raise
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
 
     def _entries(self) -> list:
@@ -117,26 +120,30 @@ class VersionedTables:
         if done is not None:
             return done
         v = self.head() + 1
+        attempt = uuid.uuid4().hex  # a failed attempt's folder is never read and never used again
         meta = []
         for name, df in writes.items():
-            df.write.mode("overwrite").parquet(f"{self.root}/{name}/{VERSION}={v}")
+            df.write.parquet(f"{self.root}/{name}/{ATTEMPT}={attempt}/{VERSION}={v}")
             data_schema = StructType([f for f in df.schema.fields])
             src = (clones or {}).get(name, (None, None))
-            meta.append((name, data_schema.json(), src[0], src[1]))
+            meta.append((name, data_schema.json(), src[0], src[1], attempt))
         for name, (parent, pv) in (clones or {}).items():
             if name not in writes:
                 schema, _ = self._table_meta(parent)
-                meta.append((name, schema.json(), parent, pv))
+                meta.append((name, schema.json(), parent, pv, None))
         if fail_before_commit:
             raise RuntimeError(f"simulated crash before commit of version {v}")
-        rows = [(v, batch_id, name, sj, co, cv, json.dumps(offsets or {}), name in snapshots)
-                for name, sj, co, cv in meta]
+        self.refresh()
+        if self.head() >= v:
+            raise CommitConflict(f"version {v} was committed by another writer")
+        rows = [(v, batch_id, name, sj, co, cv, json.dumps(offsets or {}), name in snapshots, at)
+                for name, sj, co, cv, at in meta]
         rec = self.spark.createDataFrame(
             rows, "version int, batch_id string, table_name string, schema_json string, clone_of string, "
-                  "clone_version int, offsets_json string, snapshot boolean")
+                  "clone_version int, offsets_json string, snapshot boolean, attempt string")
         rec = rec.select(VERSION, "batch_id", F.lit(ts).cast("timestamp_ntz").alias("committed_at"),
                          "table_name", F.lit(None).cast("bigint").alias("rows"), "schema_json",
-                         "clone_of", "clone_version", "offsets_json", "snapshot")
+                         "clone_of", "clone_version", "offsets_json", "snapshot", "attempt")
         rec.coalesce(1).write.mode("overwrite").json(f"{self.root}/commits/{v}")
         self._log = None
         return v
@@ -149,11 +156,11 @@ class VersionedTables:
         """Committed change rows of versions lo..hi (partition pruning on ``version``)."""
         schema, (parent, pv) = self._table_meta(table)
         full = StructType(schema.fields + [StructField(VERSION, IntegerType())])
-        try:
-            own = (self.spark.read.schema(full).parquet(f"{self.root}/{table}")
-                   .filter((F.col(VERSION) >= lo) & (F.col(VERSION) <= hi)))
-        except AnalysisException:
-            own = self.spark.createDataFrame([], full)
+        # only the folders that the log names: what a failed batch left behind is never part of a table
+        paths = [f"{self.root}/{table}/{ATTEMPT}={e[ATTEMPT]}/{VERSION}={e[VERSION]}" for e in self._of(table)
+                 if e[ATTEMPT] and lo <= e[VERSION] <= hi]
+        own = (self.spark.read.schema(full).option("basePath", f"{self.root}/{table}").parquet(*paths).select(*full.names)
+               if paths else self.spark.createDataFrame([], full))
         if parent is not None and with_base:
             # the parent's state at the clone version, as version 0 (no data copied)
             base = self.read(parent, pv, keep_meta=True).withColumn(VERSION, F.lit(0))

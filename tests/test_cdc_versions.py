@@ -69,3 +69,17 @@ def test_compaction_keeps_state_and_feed(spark):
     assert rows(vt.data("t")) == srt([(1, "z"), (3, "c")])
     assert rows(vt.data("t", 1)) == srt([(1, "a"), (2, "b"), (3, "c")])
     assert rows(vt.changes("t", 2, 4), "k", "_action") == [(2, "DELETE")]
+
+
+def test_failed_batch_leaves_nothing_behind(spark):
+    """A batch dies after its first table, an unrelated table commits, then the batch is replayed."""
+    vt = VersionedTables(spark, scratch_path(spark, "leak"))
+    row = lambda i: spark.createDataFrame([(i, "x", "INSERT")], "_row_id bigint, v string, _op string")
+    vt.commit("b0", {"dim": row(1)}, "2024-01-01 00:00:00")
+    with pytest.raises(RuntimeError):
+        vt.commit("b1", {"dim": row(2), "fact": row(2)}, "2024-01-02 00:00:00", fail_before_commit=True)
+    vt.commit("other", {"audit": row(9)}, "2024-01-03 00:00:00")
+    assert [r[0] for r in vt.read("dim").select("_row_id").collect()] == [1]
+    vt.commit("b1", {"dim": row(2), "fact": row(2)}, "2024-01-04 00:00:00")
+    assert sorted(r[0] for r in vt.read("dim").select("_row_id").collect()) == [1, 2]
+    assert vt.log("dim").count() == 2

@@ -30,3 +30,8 @@ def test_row_changed_is_null_safe(spark):
 def test_clean_strings_null_markers(spark):
     df = spark.createDataFrame([("",), ("NULL",), (" x ",), (None,), ("null",)], "s string")
     assert [r[0] for r in clean_strings(df).collect()] == [None, None, "x", None, "null"]
+
+
+def test_int_cast_rounds_once(spark):
+    df = spark.createDataFrame([("12.4999999",), ("12.5",), ("-12.4999999999",), ("-12.50",), (".49999999",), ("1e2",), ("7",)], "s string")
+    assert [r[0] for r in df.select(try_cast_int("s")).collect()] == [12, 13, -12, -13, 0, 100, 7]

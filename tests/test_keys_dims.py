@@ -15,7 +15,7 @@ DIM2 = ("sk bigint, id string, nat string, effective_date date, expiry_date date
 
 def test_ranged_keys_equal_global_order(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 10007).alias("k")).distinct()
-    ranged = assign_keys(df, "sk", "k", start=10, num_partitions=7, small_rows=0)
+    ranged = assign_keys(df, "sk", "k", start=10, num_partitions=7)
     small = assign_keys(df, "sk", "k", start=10)
     expect = sorted((i + 11, k) for i, k in enumerate(sorted(r[0] for r in df.collect())))
     assert sorted((r.sk, r.k) for r in ranged.collect()) == expect

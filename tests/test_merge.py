@@ -9,20 +9,18 @@ from strata.operators.quality import AmbiguousMergeError, duplicate_keys, orphan
 TGT = "k bigint, v string, n int"
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_upsert_update_all_and_insert(spark, small):
+def test_upsert_update_all_and_insert(spark):
     t = spark.createDataFrame([(1, "a", 0), (2, "b", 0)], TGT)
     s = spark.createDataFrame([(2, "B"), (3, "C")], "k bigint, v string")
-    m = merge(t, s, "k", small_source=small)
+    m = merge(t, s, "k")
     assert rows(m) == srt([(1, "a", 0, None), (2, "B", 0, "UPDATE"), (3, "C", None, "INSERT")])
     assert rows(merge_counts(m)) == srt([(1, 1, 2)])
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_null_key_never_matches(spark, small):
+def test_null_key_never_matches(spark):
     t = spark.createDataFrame([(None, "old", 0)], TGT)
     s = spark.createDataFrame([(None, "new")], "k bigint, v string")
-    m = merge(t, s, "k", small_source=small)
+    m = merge(t, s, "k")
     assert rows(m, "k", "v", "_op") == srt([(None, "new", "INSERT"), (None, "old", None)])
 
 
@@ -68,3 +66,15 @@ def test_pk_and_fk_checks(spark):
     dim = spark.createDataFrame([(1,), (2,)], "id bigint")
     fact = spark.createDataFrame([(1,), (3,), (None,)], "fk bigint")
     assert rows(orphans(fact, dim, "fk", "id")) == srt([(3,)])
+
+
+def test_target_row_with_several_matches_stays_one_row(spark):
+    t = spark.createDataFrame([(1, "a", 10), (1, "a", 10), (2, "b", 5)], TGT)
+    s = spark.createDataFrame([(1, "x", 10), (1, "y", 10), (3, "z", 1)], TGT)
+    none = merge(t, s, "k", update_if=T("n") != S("n"))
+    assert rows(none) == srt([(1, "a", 10, None), (1, "a", 10, None), (2, "b", 5, None), (3, "z", 1, "INSERT")])
+    assert rows(merge(t, s, "k", update=None)) == rows(none)
+    one = merge(t, spark.createDataFrame([(1, "x", 10), (1, "y", 11)], TGT), "k", update_if=T("n") != S("n"))
+    assert rows(one) == srt([(1, "y", 11, "UPDATE"), (1, "y", 11, "UPDATE"), (2, "b", 5, None)])
+    with pytest.raises(Exception, match="not unique"):
+        merge(t, spark.createDataFrame([(1, "x", 12), (1, "y", 11)], TGT), "k", update_if=T("n") != S("n")).collect()

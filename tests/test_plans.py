@@ -38,21 +38,11 @@ def test_dedup_and_key_checks_aggregate_map_side(spark):
         assert "partial_" in p, p
 
 
-def test_small_source_merge_does_not_shuffle_target(spark):
-    target = spark.range(100000).select(F.col("id").alias("k"), F.lit("a").alias("v"))
-    source = spark.range(10).select((F.col("id") * 3).alias("k"), F.lit("b").alias("v"))
-    m = merge(target, source, "k")
-    p = plan(m)
-    assert "BroadcastHashJoin" in p
-    assert "SortMergeJoin" not in p
-    assert m.filter("_op = 'UPDATE'").count() == 10
-
-
 def test_large_source_merge_spreads_null_keys(spark):
     target = spark.range(1000).select(F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.col("id")).alias("k"),
                                       F.lit("a").alias("v"))
     source = target.withColumn("v", F.lit("b"))
-    m = merge(target, source, "k", small_source=False, check_unique=False)
+    m = merge(target, source, "k", check_unique=False, source_unique=True)
     assert "__salt_t" in plan(m)
     got = {r["_op"]: r["n"] for r in m.groupBy("_op").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert got == {"UPDATE": 500, None: 500, "INSERT": 500}
