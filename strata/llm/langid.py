@@ -62,22 +62,24 @@ class Model:
 
     def __init__(self, langs: list[str], tri: np.ndarray, word: np.ndarray, script: np.ndarray, docs: np.ndarray):
         self.langs = langs
-        n = max(len(langs), 1)
+        n = len(langs)
         def table(c):
+            if not n:
+                return np.zeros((len(c) + 1, 0), np.float32)
             p = np.log((c + 0.5) / (c.sum(0) + 0.5 * len(c)))
             p -= p.mean(1, keepdims=True)
             p[c.sum(1) == 0] = 0  # nothing known: no word for or against
             return np.vstack([p, np.zeros((1, n))]).astype(np.float32)
         self.tri, self.word = table(tri), table(word)
-        self.allowed = script / np.maximum(script.sum(0), 1) >= 0.005
+        self.allowed = np.asarray(script / np.maximum(script.sum(0), 1) >= 0.005)
         self.allowed[0] = True
         self.allowed[~self.allowed.any(1)] = True
         self.prior = int(np.argmax(docs)) if len(langs) else -1
         self.barred = np.where(self.allowed, 0, -50).astype(np.float32)
 
     def word_scores(self, tri, starts, word, script, letters) -> np.ndarray:
-        if not len(starts):
-            return np.zeros((0, len(self.langs)), np.float32)
+        if not len(starts) or not self.langs:
+            return np.zeros((len(starts), len(self.langs)), np.float32)
         s = np.add.reduceat(self.tri[tri], starts, axis=0) + self.word[word]
         s = np.clip(s, -8, 8) + self.barred[script]
         s[letters == 0] = 0

@@ -62,4 +62,20 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_quality, op2_decontaminate, op3_mix_sources, op4_language, op5_token_counts, op6_quality_rules,
                                    op7_near_duplicates, op8_main_text, op9_shard, op10_licenses)}
 
-ORACLES: dict[str, str] = {}
+_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+ORACLES = {
+    "op2_decontaminate": f"""
+        WITH b AS (SELECT CAST(item_id AS VARCHAR) AS id, {_WORDS.format('text')} AS w FROM benchmark WHERE text IS NOT NULL),
+        bi AS (SELECT id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS i FROM b WHERE len(w) > 0),
+        bw AS (SELECT DISTINCT id, least(10, len(w)) AS n, w[i:i + least(10, len(w)) - 1] AS g FROM bi),
+        d AS (SELECT doc_id, coalesce({_WORDS.format('text')}, []) AS w FROM documents),
+        di AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM bw)),
+        hit AS (SELECT doc_id, i, n, id FROM (SELECT doc_id, i, n, w[i:i + n - 1] AS g FROM di) JOIN bw USING (n, g)),
+        spans AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+        items AS (SELECT doc_id, count(DISTINCT id) AS n_items, string_agg(DISTINCT id, ',' ORDER BY id) AS ids FROM hit GROUP BY doc_id)
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN spans USING (doc_id) LEFT JOIN items USING (doc_id)""",
+}
