@@ -174,7 +174,10 @@ def fit_quality(found: DataFrame, labels: DataFrame, doc_id: str = "doc_id", lab
     """
     rows = found.select(col(doc_id).alias("i"), "features").join(labels.select(col(doc_id).alias("j"), col(label).alias("y")).filter("y in (0, 1)"),
                                                                 F.col("i") == F.col("j"))
-    got = rows.select("i", "features", "y").orderBy(F.xxhash64("i", F.lit(seed)), "i", "y").limit(max_rows).collect()
+    n = rows.count()
+    u = F.pmod(F.xxhash64("i", F.lit(seed)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    rows = rows.filter(u < min(1.0, 1.1 * max_rows / max(n, 1)))  # so that no task sends many more rows than are taken
+    got = rows.select("i", "features", "y").orderBy(u, "i", "y").limit(max_rows).collect()
     return fit(np.array([r["features"] for r in got]).reshape(len(got), len(FEATURES)), np.array([r["y"] for r in got], float))
 
 
