@@ -23,13 +23,13 @@ COMMON_WORDS = {
     "pt": "de a o que e do da em um para com não uma os no se na por mais as",
     "nl": "de van het een en in is dat op te zijn met voor die niet aan er om ook als",
 }
-#: Character classes in the order of the histogram, each with the letter that stands for it while counting.
+#: Character classes in the order of the histogram (common ones first), each with the letter that stands for it while counting.
 CLASSES = {
-    "upper": ("U", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
-    "vowel": ("v", "aeiou"),
     "consonant": ("c", "bcdfghjklmnpqrstvwxyz"),
-    "digit": ("0", "0123456789"),
+    "vowel": ("v", "aeiou"),
     "space": (" ", " \t\x0b\x0c\r"),
+    "upper": ("U", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+    "digit": ("0", "0123456789"),
     "newline": ("\n", "\n"),
     "symbol": ("#", "#*$%&|<>"),
     "punctuation": (".", "!\"'()+,-./:;=?@[\\]^_`{}~"),
@@ -42,8 +42,17 @@ MIN_SHARE = 0.001
 _LETTERS = "abcdefghijklmnopqrst"
 
 
-def _count(mapped: Column, letter: str) -> Column:
-    return F.octet_length(mapped) - F.octet_length(F.replace(mapped, F.lit(letter), F.lit("")))
+def _counted(df: DataFrame, mapped: str, letters: list[str], name: str) -> DataFrame:
+    """``df`` with array ``name``: how often each of ``letters`` stands in ``mapped``.
+
+    Each is taken out before the next is counted, so that the string gets shorter; the most frequent come first.
+    """
+    counts = []
+    for i, letter in enumerate(letters):
+        rest = f"{mapped}{i}"
+        df = df.withColumn(rest, F.replace(F.col(mapped if not i else f"{mapped}{i - 1}"), F.lit(letter), F.lit("")))
+        counts.append(F.octet_length(mapped if not i else f"{mapped}{i - 1}") - F.octet_length(rest))
+    return df.withColumn(name, F.array(*counts)).drop(*[f"{mapped}{i}" for i in range(len(letters))])
 
 
 def _key(lang: str) -> Column:
@@ -62,11 +71,12 @@ def _profile(docs: DataFrame, text: str, lang: str) -> DataFrame:
     d = d.withColumn("__mapped", F.translate("__t", source, target))
     d = d.withColumn("__words", F.filter(F.split("__t", "[\\x20\\x09-\\x0D]+"), lambda w: w != F.lit("")))
     longest = max(len(w.encode()) for v in COMMON_WORDS.values() for w in v.split())
-    d = d.withColumn("__ranks", F.array_join(F.transform("__words", lambda w: F.when(
-        F.octet_length(w) > longest, F.lit("-")).otherwise(F.element_at(letters, (
-            F.coalesce(F.array_position("__list", F.lower(w)), F.lit(0)) + 1).cast("int")))), ""))
-    d = d.withColumn("__known", F.array(*[_count(F.col("__mapped"), a) for a, _ in CLASSES.values()]))
-    d = d.withColumn("__hits", F.array(*[_count(F.col("__ranks"), c) for c in _LETTERS]))
+    every = sorted({w for v in COMMON_WORDS.values() for w in v.split()})
+    short = F.transform(F.filter("__words", lambda w: F.octet_length(w) <= longest), F.lower)
+    d = d.withColumn("__ranks", F.array_join(F.transform(F.filter(short, lambda w: w.isin(every)), lambda w: F.element_at(
+        letters, (F.coalesce(F.array_position("__list", w), F.lit(0)) + 1).cast("int"))), ""))
+    d = _counted(d, "__mapped", [a for a, _ in CLASSES.values()], "__known")
+    d = _counted(d, "__ranks", list(_LETTERS), "__hits")
     total = lambda a: F.aggregate(a, F.lit(0), lambda s, x: s + x)
     return d.withColumns({"__chars": F.concat("__known", F.array(F.length("__t") - total("__known"))),
                           "__common": F.concat("__hits", F.array(F.size("__words") - total("__hits")))})
@@ -114,15 +124,15 @@ def _shares(counts: Column) -> Column:
 def _repeat_words(words: str) -> tuple[dict, Column]:
     """Columns to add first, and the count of words inside three-word windows that stand in the text twice or more.
 
-    Windows are sorted by hash and position packed into one long (so many low bits as positions
-    need); equal neighbours are repeats; each repeat adds the words that the one before left uncovered.
+    A text whose windows all differ has none.  In others windows are sorted by hash and position packed into one long (so many
+    low bits as positions need); equal neighbours are repeats; each repeat adds the words that the one before left uncovered.
     """
     n = F.size(words)
     bits = F.length(F.bin(n))
-    packed = F.transform(
-        F.slice(words, 1, F.greatest(n - 2, F.lit(0))),
-        lambda w, i: F.call_function("shiftleft", F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)), F.col("__bits"))
-        .bitwiseOR(i.cast("long")))
+    windows = F.transform(F.slice(words, 1, F.greatest(n - 2, F.lit(0))),
+                          lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))
+    packed = F.transform("__windows", lambda h, i: F.call_function("shiftleft", h, F.col("__bits")).bitwiseOR(i.cast("long")))
+    some = F.size(F.array_distinct("__windows")) < F.size("__windows")
     same = lambda g, i: F.coalesce(
         F.call_function("shiftright", F.get("__sorted", i), F.col("__bits")) == F.call_function("shiftright", g, F.col("__bits")),
         F.lit(False))
@@ -132,7 +142,8 @@ def _repeat_words(words: str) -> tuple[dict, Column]:
     start = F.struct(F.lit(-3).cast("long").alias("last"), F.lit(0).cast("long").alias("n"))
     covered = F.aggregate(found, start, lambda a, p: F.struct(
         p.alias("last"), (a["n"] + F.least(F.lit(3).cast("long"), p - a["last"])).alias("n")), lambda a: a["n"])
-    return [{"__bits": bits}, {"__low": low, "__sorted": F.sort_array(packed)}], covered
+    return [{"__bits": bits, "__windows": windows}, {"__low": low, "__sorted": F.when(some, F.sort_array(packed)).otherwise(
+        F.array().cast("array<bigint>"))}], covered
 
 
 def features(docs: DataFrame, text: str = "text", lang: str = "lang", carry: list[str] | None = None) -> DataFrame:
