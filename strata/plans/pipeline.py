@@ -154,7 +154,7 @@ class Pipeline:
             try:
                 upd = merged.filter(F.col(OP) == "UPDATE")
                 ins = merged.filter(F.col(OP) == "INSERT").drop(ROW_ID)
-                ins = assign_keys(ins, ROW_ID, c.key, start=max_key(target, ROW_ID))
+                ins = assign_keys(ins, ROW_ID, c.key, start=self.vt.max_row_id("silver"))
                 counts = merge_counts(merged).checkpoint(eager=True)
                 self.vt.commit(f"silver:{batch_id}", {"silver": upd.unionByName(ins)}, ts,
                                offsets={"bronze": head})
@@ -216,7 +216,7 @@ class Pipeline:
                                       ["passenger_sk", "departure_airport_sk", "original_departure_date",
                                        "arrival_airport_sk", "pilot_sk", "ticket_sk", "pass_status_sk",
                                        sc.flight_status],
-                                      start=max_key(state["fact_flight_data"], ROW_ID))
+                                      start=self.vt.max_row_id("fact_flight_data"))
                     counts = merge_counts(merged).checkpoint(eager=True)
                     writes = {k: v.withColumn(ROW_ID, F.col([x for x in v.columns if x.endswith("_sk")][0]))
                               for k, v in dim_changes.items()}

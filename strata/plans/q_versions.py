@@ -75,19 +75,32 @@ def q_restore_rows_literal(spark, sf_dir):
     return vt.data("orders")
 
 
-@query("restore_column", f"SELECT {O_SQL} FROM orders WHERE o_orderstatus <> 'F'")
+@query("restore_column", """
+SELECT 3 AS version, o_orderkey, 'Unknown' AS o_orderpriority, -1 AS o_custkey FROM orders WHERE o_orderstatus <> 'F'
+UNION ALL SELECT 4, o_orderkey, o_orderpriority, -1 FROM orders WHERE o_orderstatus <> 'F'""")
 def q_restore_column(spark, sf_dir):
-    """UPDATE cur SET col = old.col FROM (table AT v2) old WHERE key match (T-4, J-7)."""
-    vt = orders_versions(spark, sf_dir, upto=3)
+    """UPDATE cur SET col = old.col FROM (table AT v2) old WHERE key match (T-4, J-7): v3 overwrites two
+    columns (M-6, P-13), v4 restores one of them; both states are returned."""
+    vt = orders_versions(spark, sf_dir, upto=2)
+    lost = {"o_orderpriority": F.lit("Unknown"), "o_custkey": F.lit(-1)}
+    vt.commit("b3", {"orders": vt.update_rows("orders", lost)}, RUN_TS[2])
     fixed = restore_column(vt.read("orders"), vt.read("orders", 2), ROW_ID, "o_orderpriority")
     vt.commit("restore", {"orders": fixed.filter(F.col(OP).isNotNull())}, RUN_TS[2])
-    return vt.data("orders")
-
-
-@query("atomic_publish")
+    states = [vt.data("orders", v).select(F.lit(v).alias("version"), "o_orderkey", "o_orderpriority",
+                                          F.col("o_custkey").cast("int").alias("o_custkey")) for v in (3, 4)]
+    return states[0].unionByName(states[1])
+
+
+@query("atomic_publish", """
+SELECT 'orders' AS table_name, CAST(o_orderkey AS BIGINT) AS k,
+       (SELECT count(*) FROM orders) + (SELECT count(*) FROM customer) AS rows_before_commit
+FROM orders WHERE o_orderstatus <> 'F'
+UNION ALL SELECT 'customer', CAST(c_custkey AS BIGINT), (SELECT count(*) FROM orders) + (SELECT count(*) FROM customer)
+FROM customer WHERE c_mktsegment <> 'BUILDING'
+UNION ALL SELECT 'nation', CAST(n_nationkey AS BIGINT), (SELECT count(*) FROM orders) + (SELECT count(*) FROM customer) FROM nation""")
 def q_atomic_publish(spark, sf_dir):
-    """A batch writing two tables crashes before its commit: readers still see
-    the previous version of both; the replay publishes once (G-3, rows-only)."""
+    """A batch writing two tables crashes before its commit and an unrelated table commits: readers still
+    see the previous version of both; the replay publishes once (G-3, S-2)."""
     vt = VersionedTables(spark, scratch_path(spark, "publish"))
     o = table(spark, sf_dir, "orders").select(*O_COLS)
     c = table(spark, sf_dir, "customer")
@@ -99,10 +112,12 @@ def q_atomic_publish(spark, sf_dir):
         vt.commit("b2", writes, RUN_TS[1], fail_before_commit=True)
     except RuntimeError:
         pass
+    vt.commit("other", {"nation": vt.new_rows(None, table(spark, sf_dir, "nation"), "n_nationkey")}, RUN_TS[1])
     seen = [vt.read(t).count() for t in ("orders", "customer")]
     v = vt.commit("b2", writes, RUN_TS[1])
     again = vt.commit("b2", writes, RUN_TS[1])  # replay: no-op
-    assert again == v == 2, (again, v)
-    state = vt.read("orders").select(F.lit("orders").alias("table_name"), F.col("o_orderkey").alias("k")) \
-        .unionByName(vt.read("customer").select(F.lit("customer").alias("table_name"), F.col("c_custkey").alias("k")))
+    assert again == v == 3, (again, v)
+    key = {"orders": "o_orderkey", "customer": "c_custkey", "nation": "n_nationkey"}
+    states = [vt.read(t).select(F.lit(t).alias("table_name"), F.col(k).cast("bigint").alias("k")) for t, k in key.items()]
+    state = states[0].unionByName(states[1]).unionByName(states[2])
     return state.withColumn("rows_before_commit", F.lit(seen[0] + seen[1]))

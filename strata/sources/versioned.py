@@ -27,13 +27,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
-from ..operators.cdc import diff_snapshots
-from ..operators.keys import assign_keys, max_key
+from ..operators.cdc import ACTION, IS_UPDATE, diff_snapshots
+from ..operators.keys import assign_keys
 from ..operators.latest import latest_per_key
 
 ROW_ID, OP, VERSION, ATTEMPT = "_row_id", "_op", "version", "attempt"
 COMMIT_SCHEMA = ("version int, batch_id string, committed_at timestamp_ntz, table_name string, rows bigint, "
-                 "schema_json string, clone_of string, clone_version int, offsets_json string, snapshot boolean, attempt string")
+                 "schema_json string, clone_of string, clone_version int, offsets_json string, snapshot boolean, attempt string, "
+                 "ops string, max_row_id bigint")
 SNAPSHOT = "SNAPSHOT"
 
 
@@ -105,6 +106,12 @@ class VersionedTables:
         es = self._of(table)
         return es[-1][VERSION] if es else 0
 
+    def max_row_id(self, table: str, upto: int | None = None) -> int:
+        """The largest row id that ``table`` ever had, also of rows deleted since (0 if none): metadata only."""
+        es = [e for e in self._of(table) if upto is None or e[VERSION] <= upto]
+        top = max((e["max_row_id"] or 0 for e in es), default=0)
+        return max([top, *[self.max_row_id(e["clone_of"], e["clone_version"]) for e in es if e["clone_of"] is not None]])
+
     def has_changes_since(self, table: str, offset: int) -> bool:
         """B-2 from metadata alone: was ``table`` written after ``offset``?"""
         return self.last_version(table) > offset
@@ -123,27 +130,31 @@ class VersionedTables:
         attempt = uuid.uuid4().hex  # a failed attempt's folder is never read and never used again
         meta = []
         for name, df in writes.items():
-            df.write.parquet(f"{self.root}/{name}/{ATTEMPT}={attempt}/{VERSION}={v}")
+            path = f"{self.root}/{name}/{ATTEMPT}={attempt}/{VERSION}={v}"
+            df.write.parquet(path)
             data_schema = StructType([f for f in df.schema.fields])
             src = (clones or {}).get(name, (None, None))
-            meta.append((name, data_schema.json(), src[0], src[1], attempt))
+            # two columns of the new files: the feed and the next row ids need no look at older ones
+            n, ops, top = self.spark.read.schema(data_schema).parquet(path).agg(
+                F.count(F.lit(1)), F.array_join(F.array_sort(F.collect_set(OP)), ","), F.max(ROW_ID).cast("bigint")).first()
+            meta.append((name, data_schema.json(), src[0], src[1], attempt, n, ops, top))
         for name, (parent, pv) in (clones or {}).items():
             if name not in writes:
                 schema, _ = self._table_meta(parent)
-                meta.append((name, schema.json(), parent, pv, None))
+                meta.append((name, schema.json(), parent, pv, None, 0, "", None))
         if fail_before_commit:
             raise RuntimeError(f"simulated crash before commit of version {v}")
         self.refresh()
         if self.head() >= v:
             raise CommitConflict(f"version {v} was committed by another writer")
-        rows = [(v, batch_id, name, sj, co, cv, json.dumps(offsets or {}), name in snapshots, at)
-                for name, sj, co, cv, at in meta]
+        rows = [(v, batch_id, name, sj, co, cv, json.dumps(offsets or {}), name in snapshots, at, n, ops, top)
+                for name, sj, co, cv, at, n, ops, top in meta]
         rec = self.spark.createDataFrame(
             rows, "version int, batch_id string, table_name string, schema_json string, clone_of string, "
-                  "clone_version int, offsets_json string, snapshot boolean, attempt string")
+                  "clone_version int, offsets_json string, snapshot boolean, attempt string, rows bigint, ops string, max_row_id bigint")
         rec = rec.select(VERSION, "batch_id", F.lit(ts).cast("timestamp_ntz").alias("committed_at"),
-                         "table_name", F.lit(None).cast("bigint").alias("rows"), "schema_json",
-                         "clone_of", "clone_version", "offsets_json", "snapshot", "attempt")
+                         "table_name", "rows", "schema_json",
+                         "clone_of", "clone_version", "offsets_json", "snapshot", "attempt", "ops", "max_row_id")
         rec.coalesce(1).write.mode("overwrite").json(f"{self.root}/commits/{v}")
         self._log = None
         return v
@@ -198,8 +209,14 @@ class VersionedTables:
         return self.read(table, version, ts, before).drop(ROW_ID)
 
     def changes(self, table: str, from_version: int, to_version: int | None = None) -> DataFrame:
-        """Net change feed of ``table`` between two versions (B-1), keyed by row id."""
+        """Net change feed of ``table`` between two versions (B-1), keyed by row id.
+
+        Where the log says that the versions in between only inserted, their files are the feed; only
+        updates and deletes need the images before them."""
         hi = self.head() if to_version is None else min(to_version, self.head())
+        if all(e["ops"] in ("", "INSERT", SNAPSHOT) for e in self._of(table) if from_version < e[VERSION] <= hi):
+            new = self._scan(table, from_version + 1, hi, with_base=False).filter(F.col(OP) == "INSERT")
+            return new.drop(OP, VERSION).withColumns({ACTION: F.lit("INSERT"), IS_UPDATE: F.lit(False)})
         lg = self._scan(table, from_version + 1, hi, with_base=False).filter(F.col(OP) != SNAPSHOT)
         touched = lg.select(ROW_ID).distinct()
         last = latest_per_key(lg, ROW_ID, VERSION, [OP])
@@ -209,13 +226,8 @@ class VersionedTables:
 
     # ---- DML that returns the change rows to commit -----------------------
     def new_rows(self, table: str | None, df: DataFrame, order_by) -> DataFrame:
-        """INSERT rows with fresh row ids after the table's current maximum (D-4)."""
-        start = 0
-        if table is not None:
-            try:
-                start = max_key(self.log(table), ROW_ID)
-            except KeyError:
-                start = 0
+        """INSERT rows with row ids that ``table`` never had (D-4)."""
+        start = 0 if table is None else self.max_row_id(table)
         return assign_keys(df, ROW_ID, order_by, start=start).withColumn(OP, F.lit("INSERT"))
 
     def delete_rows(self, table: str, pred) -> DataFrame:

@@ -26,13 +26,13 @@ def raw_stream(spark: SparkSession, landing: str, columns, multi_line: bool = Tr
 
 
 def run_available(spark: SparkSession, landing: str, checkpoint: str, columns, on_batch,
-                  multi_line: bool = True, name: str | None = None):
+                  multi_line: bool = True, name: str | None = None, max_files_per_trigger: int | None = None):
     """Process every file that arrived since the last run, then stop.
 
     ``on_batch(df, batch_id)`` receives the shaped raw rows (data columns,
-    ``_corrupt_record``, ``_file``).
+    ``_corrupt_record``, ``_file``); a backlog comes in batches of ``max_files_per_trigger`` files.
     """
-    src = raw_stream(spark, landing, columns, multi_line)
+    src = raw_stream(spark, landing, columns, multi_line, max_files_per_trigger)
     shaped = shape_raw(src, columns)
 
     def handle(df, batch_id):

@@ -83,3 +83,19 @@ def test_failed_batch_leaves_nothing_behind(spark):
     vt.commit("b1", {"dim": row(2), "fact": row(2)}, "2024-01-04 00:00:00")
     assert sorted(r[0] for r in vt.read("dim").select("_row_id").collect()) == [1, 2]
     assert vt.log("dim").count() == 2
+
+
+def test_insert_only_feed_reads_only_its_versions(spark, tmp_path):
+    vt = VersionedTables(spark, str(tmp_path / "feed"))
+    for i in (1, 2, 3):
+        vt.commit(f"b{i}", {"t": vt.new_rows("t", spark.createDataFrame([(i, "a"), (i + 10, "b")], "k int, v string"), "k")},
+                  f"2024-01-0{i} 00:00:00")
+    feed = vt.changes("t", 2)
+    assert all("version=3" in f for f in feed.inputFiles())
+    assert rows(feed, "k", "_action", "_is_update") == srt([(3, "INSERT", False), (13, "INSERT", False)])
+    assert [r["rows"] for r in vt.commits().orderBy("version").collect()] == [2, 2, 2]
+    vt.commit("d", {"t": vt.delete_rows("t", F.col("k") >= 3)}, "2024-01-04 00:00:00")
+    assert rows(vt.changes("t", 3), "k", "_action") == srt([(3, "DELETE"), (11, "DELETE"), (12, "DELETE"), (13, "DELETE")])
+    vt.compact("t", "c", "2024-01-05 00:00:00")
+    vt.commit("b4", {"t": vt.new_rows("t", spark.createDataFrame([(99, "z")], "k int, v string"), "k")}, "2024-01-06 00:00:00")
+    assert vt.max_row_id("t") == 7  # ids of deleted rows aren't given again
