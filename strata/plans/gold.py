@@ -119,6 +119,15 @@ FACT_SKS = ["passenger_sk", "departure_airport_sk", "arrival_airport_sk", "pilot
             "pass_status_sk"]
 
 
+def fact_keys(src: DataFrame, cfg: StarConfig) -> tuple[DataFrame, dict, bool]:
+    """The rows to merge into the fact, the keys {fact column: source column} to match on, and whether these are unique."""
+    keys = {cfg.passenger_key: cfg.passenger_key, "departure_airport_sk": "departure_airport_sk"}
+    if cfg.reschedule:
+        return latest_per_key(src, list(keys.values()), cfg.date_col, [cfg.flight_status] + FACT_SKS), keys, True
+    # a key may come with several pilots or tickets: a matched fact row stays one row
+    return src, keys | {"original_departure_date": cfg.date_col}, False
+
+
 def load_fact(state: dict, batch: DataFrame, cfg: StarConfig, run_ts,
               src: DataFrame | None = None) -> DataFrame:
     """Fact MERGE of one batch (D-5); returns the merged fact with ``_op``.
@@ -127,15 +136,7 @@ def load_fact(state: dict, batch: DataFrame, cfg: StarConfig, run_ts,
     """
     if src is None:
         src = fact_source(state, batch, cfg).distinct()
-    if cfg.reschedule:
-        keys = {cfg.passenger_key: cfg.passenger_key, "departure_airport_sk": "departure_airport_sk"}
-        tie = [cfg.flight_status] + FACT_SKS
-        src = latest_per_key(src, list(keys.values()), cfg.date_col, tie)
-        unique = True
-    else:
-        keys = {cfg.passenger_key: cfg.passenger_key, "departure_airport_sk": "departure_airport_sk",
-                "original_departure_date": cfg.date_col}
-        unique = False  # a key may come with several pilots or tickets: a matched fact row stays one row
+    src, keys, unique = fact_keys(src, cfg)
     return fact_merge(state["fact_flight_data"], src, keys, cfg.date_col, run_ts,
                       carry=FACT_SKS + [cfg.passenger_key], status_col=cfg.flight_status,
                       source_unique=unique)

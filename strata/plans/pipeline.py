@@ -3,8 +3,9 @@
 Each layer consumes the change feed of the layer below from the offset stored
 with its own last commit (B-3) and publishes all its tables, with the new
 offset, as one commit (G-3).  A batch id already committed makes the step a
-no-op, so a replayed micro-batch publishes once.  A failing step writes a
-FAILED audit row and re-raises (G-2); a successful one a SUCCESS row (G-1).
+no-op, so a replayed micro-batch publishes once.  A successful step's SUCCESS
+audit row is part of that commit (G-1), so neither is there without the other;
+a failing step writes a FAILED row of its own and re-raises (G-2).
 """
 
 from __future__ import annotations
@@ -16,17 +17,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType, TimestampNTZType
 
 from ..functions.casts import try_cast_date, try_cast_int
+from ..operators.access import LAYER_GRANTS, grants_frame, layer_access, row_access
 from ..operators.audit import AUDIT_SCHEMA, audit_failure, audit_success
 from ..operators.cdc import after_images
 from ..functions.rows import row_changed
 from ..operators.fact import fact_merge
-from ..operators.keys import assign_keys, max_key
+from ..operators.keys import assign_keys
 from ..operators.latest import latest_per_key
 from ..operators.merge import OP, S, T, merge, merge_counts
 from ..sources.csv import FILE, classify, good_rows, reject_rows, shape_raw, stamp
 from ..sources.tables import run_concurrently
 from ..sources.versioned import ROW_ID, VersionedTables
-from .gold import FACT_SKS, StarConfig, empty_state, fact_source, load_dims
+from .gold import FACT_SKS, StarConfig, empty_state, fact_keys, fact_source, load_dims
 
 # The bronze contract -- column order of the delimited files and
 # the declared widths of the raw table (VARCHAR(n); unlisted columns are unbounded).
@@ -68,28 +70,26 @@ class Pipeline:
     def _exists(self, table: str) -> bool:
         return self.vt.has_table(table)
 
-    def _audit(self, df: DataFrame, batch_id: str, ts):
-        self.vt.commit(f"audit:{batch_id}", {"audit_log": df.withColumn(ROW_ID, F.col("id")).withColumn(
-            OP, F.lit("INSERT"))}, ts)
-
     def _next_audit_id(self) -> int:
-        if not self._exists("audit_log"):
-            return 1
-        return max_key(self.vt.read("audit_log"), "id") + 1
+        return self.vt.max_row_id("audit_log") + 1  # the row id of a record is its id: no job
+
+    @staticmethod
+    def _audit_rows(df: DataFrame) -> dict:
+        return {"audit_log": df.withColumn(ROW_ID, F.col("id")).withColumn(OP, F.lit("INSERT"))}
+
+    def success(self, counts: DataFrame, proc: str, ts) -> dict:
+        """The SUCCESS record, to be written by the commit that publishes the data it tells of (G-1)."""
+        return self._audit_rows(audit_success(counts, proc, self.cfg.run_by, ts, self._next_audit_id()))
 
     def audited(self, proc: str, batch_id: str, ts, fn):
-        """Run ``fn() -> counts DataFrame | None``; audit SUCCESS or FAILED (then re-raise)."""
+        """Run ``fn()``, whose own commit holds its :meth:`success` record; on an exception audit FAILED, then re-raise."""
         try:
-            counts = fn()
+            return fn()
         except Exception as e:
             audit_id = self._next_audit_id()  # each failure is a record of its own
-            self._audit(audit_failure(self.spark, proc, self.cfg.run_by, ts, f"{type(e).__name__}: {e}", audit_id),
-                        f"{proc}:{batch_id}:failed:{audit_id}", ts)
+            self.vt.commit(f"audit:{proc}:{batch_id}:failed:{audit_id}", self._audit_rows(audit_failure(
+                self.spark, proc, self.cfg.run_by, ts, f"{type(e).__name__}: {e}", audit_id)), ts)
             raise
-        if counts is not None:
-            self._audit(audit_success(counts, proc, self.cfg.run_by, ts, self._next_audit_id()),
-                        f"{proc}:{batch_id}", ts)
-        return counts
 
     # ---- bronze --------------------------------------------------------------
     def load_bronze(self, raw: DataFrame, batch_id: str, ts) -> int:
@@ -156,8 +156,8 @@ class Pipeline:
                 ins = merged.filter(F.col(OP) == "INSERT").drop(ROW_ID)
                 ins = assign_keys(ins, ROW_ID, c.key, start=self.vt.max_row_id("silver"))
                 counts = merge_counts(merged).checkpoint(eager=True)
-                self.vt.commit(f"silver:{batch_id}", {"silver": upd.unionByName(ins)}, ts,
-                               offsets={"bronze": head})
+                self.vt.commit(f"silver:{batch_id}", {"silver": upd.unionByName(ins)} | self.success(counts, "load_silver", ts),
+                               ts, offsets={"bronze": head})
                 return counts
             finally:
                 merged.unpersist()
@@ -205,10 +205,10 @@ class Pipeline:
                     new_state[name] = (state[name].join(ch.select(sk), sk, "left_anti")
                                        .unionByName(ch.drop(OP)))
                 src = fact_source(new_state, batch, sc).distinct().persist()
-                keys = {sc.passenger_key: sc.passenger_key, "departure_airport_sk": "departure_airport_sk",
-                        "original_departure_date": sc.date_col}
-                merged = fact_merge(state["fact_flight_data"], src, keys, sc.date_col, ts,
-                                    carry=FACT_SKS + [sc.passenger_key], status_col=sc.flight_status).persist()
+                rows, keys, unique = fact_keys(src, sc)
+                merged = fact_merge(state["fact_flight_data"], rows, keys, sc.date_col, ts,
+                                    carry=FACT_SKS + [sc.passenger_key], status_col=sc.flight_status,
+                                    source_unique=unique).persist()
                 try:
                     fchg = merged.filter(F.col(OP).isNotNull())
                     upd = fchg.filter(F.col(OP) == "UPDATE")
@@ -221,6 +221,7 @@ class Pipeline:
                     writes = {k: v.withColumn(ROW_ID, F.col([x for x in v.columns if x.endswith("_sk")][0]))
                               for k, v in dim_changes.items()}
                     writes["fact_flight_data"] = upd.unionByName(ins)
+                    writes |= self.success(counts, "load_gold", ts)
                     self.vt.commit(f"gold:{batch_id}", writes, ts, offsets={"silver": head})
                     return counts
                 finally:
@@ -246,8 +247,15 @@ class Pipeline:
             return self.spark.createDataFrame([], AUDIT_SCHEMA)
         return self.vt.read("audit_log").drop(ROW_ID)
 
-    def table(self, name: str) -> DataFrame:
-        return self.vt.data(name)
+    def table(self, name: str, role: str | None = None, grants=LAYER_GRANTS) -> DataFrame:
+        """A table's current rows; with ``role`` those that it may see: of layers granted to it (G-8), and of the
+        fact what the row policy lets through as well (G-7).  Without one the job's own, unrestricted read."""
+        df = self.vt.data(name)
+        if role is None:
+            return df
+        layer = "gold" if name == "fact_flight_data" or name.startswith("dim_") else name.removesuffix("_rejects")
+        df = layer_access(df, role, layer, grants_frame(self.spark, grants))
+        return row_access(df, role) if name == "fact_flight_data" else df
 
 
 def shape_batch(df: DataFrame, cfg: PipelineConfig) -> DataFrame:
