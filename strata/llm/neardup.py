@@ -11,8 +11,12 @@
 4. A comparison computes the weighted Jaccard similarity of the whole texts.  Where it is too low, two nodes
    that are like each other, yet unlike their hub, differ from the hub in the same shingles.  So the comparison also
    samples what sets a node and its hub apart (the weights' differences); unlinked nodes with equal samples there
-   make the buckets of the next round, until no bucket has two nodes left that weren't compared.
-5. Links of at least the threshold make connected components: the classes.
+   make the buckets of the next round.  This is quick, but finds links with a high probability only.
+5. Links of at least the threshold make connected components.  What the rounds left open is then settled exactly: where
+   the nodes of a first bucket, its hub aside, lie in two components or more, a join over the signed differences from the
+   hub (``_open_pairs``) gives every pair that may reach the threshold; the others are excluded by their sums.
+   So two nodes that share a bucket of a band are linked if they are alike, whatever the rounds met.
+6. The components of all links are the classes.
 """
 
 from __future__ import annotations
@@ -37,6 +41,8 @@ _DRAWS_BITS, _PER_OCTAVE, _LEVELS, _LOWEST = 14, 2, 48, 8
 #: Bands and rows of the samples of differences: two nodes whose differences from the hub are alike to 0.5 share
 #: a band with probability 0.92, to 0.6 with 0.996.
 DIFF_BANDS, DIFF_ROWS = 40, 4
+#: Sums of weights are rounded; bounds give way by this share.
+_EPS = 1e-6
 
 
 def _weighted(texts: pa.Array, k: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -167,9 +173,11 @@ def signatures(docs: DataFrame, idf, text: str, k: int, bands: int, rows: int, c
     return map_text(named, text, [field("n_shingles", "long"), field("band_keys", "array<long>")], make, [*carry, "node"])
 
 
-def _compared(pairs: DataFrame, idf, k: int, threshold: float) -> DataFrame:
+def _compared(pairs: DataFrame, idf, k: int, threshold: float, keys: bool = True) -> DataFrame:
     """Pairs ``node``, ``hub`` with their texts ``tn`` and ``th`` become ``link`` (whether their weighted Jaccard similarity over the whole
-    texts reaches the threshold) and the ``keys`` of what sets them apart."""
+    texts reaches the threshold) and the ``keys`` of what sets them apart (none unless asked for)."""
+    with_keys = keys
+
     def run(batches):
         sampler = Sampler(DIFF_BANDS * DIFF_ROWS, idf.value, seed=7)
         held: dict[str, tuple] = {}
@@ -206,14 +214,76 @@ def _compared(pairs: DataFrame, idf, k: int, threshold: float) -> DataFrame:
                     sizes.append(len(odd))
                 at = np.concatenate(([0], np.cumsum(sizes)))
                 got = iter(sampler.band_keys(np.concatenate([x for x, _ in apart]), np.concatenate([x for _, x in apart]), at, DIFF_ROWS)
-                           if at[-1] else [])
-                keys += [next(got) if n else [] for n in sizes]
+                           if at[-1] and with_keys else [])
+                keys += [next(got) if n and with_keys else [] for n in sizes]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(links, pa.bool_()), pa.array(keys, pa.list_(pa.int64()))],
                                              names=["node", "hub", "link", "keys"])
 
     return pairs.select("node", "hub", "tn", "th").mapInArrow(run, "node string, hub string, link boolean, keys array<long>")
 
 
+def _differences(pairs: DataFrame, idf, k: int, threshold: float) -> DataFrame:
+    """Pairs ``node``, ``hub`` with ``root`` and texts ``tn`` and ``th`` become a row for each signed difference (``odd``: a shingle too many or too few) that
+    another node may have to share: ``cost`` of the node, ``budget`` of the hub (the node matches it where cost <= budget) and ``left``, the differences'
+    weight from this one on.
+
+    Let H be the hub's weight, and a node's cost what it lacks of it plus threshold times what it has besides.  Two nodes a and b that share differences of
+    weight S reach the threshold where (1 + threshold) S >= cost(a) + cost(b) - (1 - threshold) H.  In a fixed order of the differences (what is
+    too much first, which is the rarer), the first that both share has S <= left of either.  At least one of two nodes of different components
+    doesn't match the hub; so the bounds here leave out only differences that can't be the first of a link.
+    """
+    def run(batches):
+        sampler = Sampler(1, idf.value)
+        for b in batches:
+            cols = [[] for _ in range(7)]
+            for i in range(0, b.num_rows, 32):
+                node, hub, root, tn, th = (b.column(c).slice(i, 32).to_pylist() for c in range(5))
+                todo, vec = list(dict.fromkeys(tn + th)), {}
+                for x, _, sh, tf, at in _weighted(pa.array(todo, pa.string()), k):
+                    w = sampler.weights(sh, tf)
+                    for t in range(len(at) - 1):
+                        vec[todo[x + t]] = (sh[at[t]:at[t + 1]], w[at[t]:at[t + 1]])
+                for n, h, r, (sa, wa), (sb, wb) in zip(node, hub, root, (vec[x] for x in tn), (vec[x] for x in th), strict=True):
+                    sh, back = np.unique(np.concatenate([sa, sb]), return_inverse=True)
+                    d = np.zeros(len(sh))
+                    np.add.at(d, back, np.concatenate([wa, -wb]))
+                    cost = -d[d < 0].sum() + threshold * d[d > 0].sum()
+                    budget = (1 - threshold) * wb.sum()
+                    some = np.flatnonzero(d)
+                    some = some[np.lexsort((sh[some], d[some] < 0))]
+                    size = np.abs(d[some])
+                    left = np.cumsum(size[::-1])[::-1]
+                    # a node that doesn't match needs its excess shared at least, one that does the part that its own cost asks for
+                    keep = left * (1 + _EPS) >= (cost - budget if cost > budget else cost / (1 + threshold))
+                    odd = W.mix(sh[some][keep] ^ np.where(d[some][keep] > 0, np.uint64(0), np.uint64(0x5851F42D4C957F2D))).view(np.int64)
+                    for c, v in zip(cols, ([h] * len(odd), [n] * len(odd), [r] * len(odd), odd, left[keep], [cost] * len(odd), [budget] * len(odd)), strict=True):
+                        c.extend(v)
+            kinds = [pa.string()] * 3 + [pa.int64()] + [pa.float64()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)],
+                                             names=["hub", "node", "root", "odd", "left", "cost", "budget"])
+
+    return pairs.select("node", "hub", "root", "tn", "th").mapInArrow(
+        run, "hub string, node string, root string, odd long, left double, cost double, budget double")
+
+
+def _open_pairs(member: DataFrame, label: DataFrame, texts: DataFrame, idf, k: int, threshold: float) -> DataFrame:
+    """Pairs ``node``, ``hub`` of different components that share a bucket (and so its hub) and may reach the threshold; ``member`` has ``bucket``,
+    ``node`` and ``hub``.  Pairs with the hub itself were compared in the first round."""
+    others = member.filter("node <> hub").join(label, "node").select("bucket", "node", "hub", "root")
+    crowd = others.groupBy("bucket").agg((F.min("root") < F.max("root")).alias("open")).filter("open")
+    pairs = others.join(crowd, "bucket", "left_semi").select("node", "hub", "root").distinct()
+    both = pairs.join(texts.select("node", F.col("t").alias("tn")), "node").join(texts.select(F.col("node").alias("hub"), F.col("t").alias("th")), "hub")
+    part = written(_differences(both, idf, k, threshold))
+    # a difference that only one component has makes no pair
+    shared = part.groupBy("hub", "odd").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 < r1").select("hub", "odd")
+    part = written(part.join(shared, ["hub", "odd"], "left_semi"))
+    a = part.filter("cost > budget")
+    b = part.select("hub", "odd", *[F.col(c).alias(f"{c}2") for c in ("node", "root", "left", "cost")])
+    need = (F.col("cost") + F.col("cost2") - F.col("budget")) / (1 + threshold)
+    met = a.join(b, ["hub", "odd"]).filter((F.col("root") != F.col("root2")) & (F.least("left", "left2") * (1 + _EPS) >= need) & (F.col("cost2") > F.col("budget")))
+    return met.select(F.least("node", "node2").alias("node"), F.greatest("node", "node2").alias("hub")).distinct()
+
+
 def _spread(label: DataFrame, both: DataFrame) -> DataFrame:
     """``label`` (``node``, ``root``) after each node took the least root of its neighbours in ``both`` (``x``, ``y``), and that root's own root;
     ``was`` is the root before.  Joins and grouped minima only."""
@@ -267,7 +337,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def _links(docs: DataFrame, nodes: DataFrame, idf, doc_id: str, text: str, k: int, threshold: float) -> tuple[DataFrame, DataFrame]:
     """Verified links ``a``, ``b`` between texts, and the component (``root``) of each ``node`` that was compared.
 
-    A node that its hub matches leaves the bucket; it still meets others in its buckets with other hubs.
+    In the rounds a node that its hub matches leaves the bucket; what is like it, yet not its hub, is found when the rounds are over.
     """
     slots = nodes.select("node", F.posexplode("band_keys").alias("band", "key"))
     slots = slots.select("node", F.xxhash64("band", "key").alias("bucket"))
@@ -280,11 +350,14 @@ def _links(docs: DataFrame, nodes: DataFrame, idf, doc_id: str, text: str, k: in
     texts = docs.select(col(doc_id).alias("__id"), _node(text).alias("__n"), col(text).cast("string").alias("t"))
     texts = texts.join(wanted, (F.col("__n") == F.col("node")) & F.col("__id").eqNullSafe(F.col("__least")))
     texts = written(texts.groupBy("node").agg(F.first("t").alias("t")))
-    links, seen = [], None
+    links, seen, first = [], None, None
     while True:
         member = slots.join(central, "node")
         hubs = member.groupBy("bucket").agg(F.max_by("node", F.struct("meets", "node")).alias("hub"), F.count("*").alias("n")).filter("n > 1")
-        pairs = member.join(hubs, "bucket").filter("node <> hub").select("node", "hub").distinct()
+        member = member.join(hubs, "bucket").select("bucket", "node", "hub")
+        if first is None:
+            first = member = written(member)
+        pairs = member.filter("node <> hub").select("node", "hub").distinct()
         if seen is not None:
             pairs = pairs.join(seen, ["node", "hub"], "left_anti")
         pairs = written(pairs)
@@ -301,7 +374,14 @@ def _links(docs: DataFrame, nodes: DataFrame, idf, doc_id: str, text: str, k: in
     for part in links:
         found = found.unionByName(part)
     found = written(found.distinct())
-    return found, components(central.select("node", F.col("node").alias("root")), found)
+    label = components(central.select("node", F.col("node").alias("root")), found)
+    more = written(_open_pairs(first, label, texts, idf, k, threshold).join(seen, ["node", "hub"], "left_anti")) if seen is not None else pairs
+    if more.isEmpty():
+        return found, label
+    both = more.join(texts.select("node", F.col("t").alias("tn")), "node").join(texts.select(F.col("node").alias("hub"), F.col("t").alias("th")), "hub")
+    late = _compared(both, idf, k, threshold, keys=False).filter("link").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    found = written(found.unionByName(late))
+    return found, components(label, found)
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -122,6 +122,39 @@ def test_large_group_of_near_copies(spark):
     assert got.select("class_id").distinct().count() == 1 and got.filter("class_size = 400").count() == 400
 
 
+def variants_of_one(spark, sizes, groups):
+    """An original of 400 shingles and, at each of ``groups`` places, texts with a run of ``sizes`` words replaced there, which share three new words; other
+    texts, so that no shingle is common; and the components of what has a Jaccard similarity of 0.8 or more (brute force)."""
+    base = [f"w{i}" for i in range(404)]
+    texts = [" ".join(base)]
+    for g in range(groups):
+        at = 4 + g * 340 // groups
+        texts += [" ".join(base[:at] + [f"n{g}x{i}" if i < 3 else f"n{g}y{i}v{v}" for i in range(m)] + base[at + m:]) for v, m in enumerate(sizes)]
+    sets, root = [near_sets(t) for t in texts], list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if len(a & sets[j]) >= 0.8 * len(a | sets[j]) and root[i] != root[j]:
+                root = [root[j] if r == root[i] else r for r in root]
+    rows = list(enumerate(texts)) + [(10_000 + i, " ".join(f"f{i}z{j}" for j in range(12))) for i in range(11 * len(texts))]
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(4), root
+
+
+def classes_of(docs, n, **options):
+    got = {r["doc_id"]: r["class_key"] for r in neardup.near_duplicates(docs, **options).collect()}
+    return [got[i] for i in range(n)]
+
+
+def missed(root, found):
+    """How many texts lie in another class than the first text of their component does, and whether texts of two components share a class."""
+    return sum(found[i] != found[root.index(r)] for i, r in enumerate(root)), len(set(zip(root, found, strict=True))) > len(set(found))
+
+
+def test_pairs_alike_but_unlike_their_hub(spark):
+    docs, root = variants_of_one(spark, (43, 43), 100)  # 0.79 from the original, 0.802 from each other
+    assert len(set(root)) == 101
+    assert missed(root, classes_of(docs, len(root), bands=8, rows=1)) == (0, False)
+
+
 def test_mixing_meets_budget_and_limit(spark):
     rows = [(i, "hot" if i % 3 else f"s{i % 5}", 50 + i % 40) for i in range(3000)] + [(None, None, None), (5, "zero", 0)]
     docs = spark.createDataFrame(rows, "doc_id long, source string, n long").repartition(4)
