@@ -280,7 +280,7 @@ def _open_pairs(member: DataFrame, label: DataFrame, texts: DataFrame, idf, k: i
     a = part.filter("cost > budget")
     b = part.select("hub", "odd", *[F.col(c).alias(f"{c}2") for c in ("node", "root", "left", "cost")])
     need = (F.col("cost") + F.col("cost2") - F.col("budget")) / (1 + threshold)
-    met = a.join(b, ["hub", "odd"]).filter((F.col("root") != F.col("root2")) & (F.least("left", "left2") * (1 + _EPS) >= need) & (F.col("cost2") > F.col("budget")))
+    met = a.join(b, ["hub", "odd"]).filter((F.col("root") != F.col("root2")) & (F.least("left", "left2") * (1 + _EPS) >= need))
     return met.select(F.least("node", "node2").alias("node"), F.greatest("node", "node2").alias("hub")).distinct()
 
 

@@ -155,6 +155,12 @@ def test_pairs_alike_but_unlike_their_hub(spark):
     assert missed(root, classes_of(docs, len(root), bands=8, rows=1)) == (0, False)
 
 
+def test_pairs_of_which_one_matches_the_hub(spark):
+    docs, root = variants_of_one(spark, (38, 43), 100)  # 0.81 and 0.79 from the original, 0.8 or more from each other
+    assert len(set(root)) == 1
+    assert missed(root, classes_of(docs, len(root), bands=8, rows=1)) == (0, False)
+
+
 def test_mixing_meets_budget_and_limit(spark):
     rows = [(i, "hot" if i % 3 else f"s{i % 5}", 50 + i % 40) for i in range(3000)] + [(None, None, None), (5, "zero", 0)]
     docs = spark.createDataFrame(rows, "doc_id long, source string, n long").repartition(4)
