@@ -1,6 +1,7 @@
 """Near-duplicate classes by improved consistent weighted sampling (ICWS) over TF-IDF shingles.
 
-1. Document frequencies of all shingles are summed into a table of ``2**DF_BITS`` hashed cells,
+1. Document frequencies count a large group of copies or near copies as about one document (``large_groups``), so that a
+   group's own shingles aren't discounted for its size.  They are summed into a table of ``2**DF_BITS`` hashed cells,
    corrected for the mean load of a cell.  Its error is about the square root of that load, which
    an inverse document frequency (a logarithm) hardly feels; its size does not grow with the corpus.
 2. Each text gets ``bands * rows`` consistent samples of its weighted shingles: two texts share a
@@ -36,6 +37,9 @@ SHINGLE = 5
 DF_BITS = 16
 #: What fewer than this share of the documents have is rare.
 RARE = 0.1
+#: MinHash values of a text that tell large groups of near copies, how many of them must be a group's (of 0.8 alike texts 0.93 have so many, of
+#: texts that share a third of their shingles 0.02), and the share of the rows from which on a group is large.
+SKETCH, AGREE, LARGE = 12, 8, 0.001
 #: Draws of the sampling tables, levels of a weight per doubling, their number, and the level of weight 1.
 _DRAWS_BITS, _PER_OCTAVE, _LEVELS, _LOWEST = 14, 2, 48, 8
 #: Bands and rows of the samples of differences: two nodes whose differences from the hub are alike to 0.5 share
@@ -59,28 +63,72 @@ def _weighted(texts: pa.Array, k: int) -> Iterator[tuple[int, int, np.ndarray, n
         yield i, j, sh[at_new], np.diff(np.append(at_new, len(sh))), np.searchsorted(owner[at_new], np.arange(j - i + 1))
 
 
+def _least(texts: pa.Array, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For runs of texts: whether each has a shingle, and for those that have the ``SKETCH`` least values of its hashed shingles (MinHash)."""
+    odd = W.mix(np.arange(1, SKETCH + 1, dtype=np.uint64)) | np.uint64(1)
+    for _, _, data, off in W.chunks(texts):
+        starts, ends, first = W.spans(data, off)
+        sh, at = W.shingles(W.hashes(data, starts, ends), first, k)
+        some = np.diff(at) > 0
+        out = np.empty((int(some.sum()), SKETCH), np.uint64)
+        for h in range(SKETCH if some.any() else 0):
+            v = sh * odd[h]
+            out[:, h] = np.minimum.reduceat(v ^ (v >> np.uint64(32)), at[:-1][some])
+        yield some, out.view(np.int64)
+
+
+def large_groups(docs: DataFrame, text: str = "text", k: int = SHINGLE) -> list[dict[int, int]]:
+    """For each MinHash value of a sketch the values that a ``LARGE``-th of the rows or more have, with the number of rows: at most ``1 / LARGE`` each."""
+    def run(batches):
+        for b in batches:
+            for _, least in _least(b.column(0).fill_null(""), k):
+                yield pa.RecordBatch.from_arrays([pa.array(np.tile(np.arange(SKETCH, dtype=np.int32), len(least))), pa.array(least.ravel())], names=["h", "v"])
+
+    part = docs.select(col(text).cast("string")).mapInArrow(run, "h int, v long").groupBy("h", "v").agg(F.count("*").alias("n"))
+    part = written(part)
+    rows = part.filter("h = 0").agg(F.sum("n")).first()[0] or 0
+    found: list[dict[int, int]] = [{} for _ in range(SKETCH)]
+    for r in part.filter(F.col("n") > max(1, LARGE * rows)).collect():  # at most SKETCH / LARGE rows
+        found[r["h"]][r["v"]] = r["n"]
+    return found
+
+
 def document_frequencies(docs: DataFrame, text: str = "text", k: int = SHINGLE) -> tuple[int, np.ndarray]:
     """The number of documents with a shingle, and how many documents have a shingle in each hashed cell.
 
+    A row counts as one part of its group: ``AGREE`` of the ``SKETCH`` MinHash values or more of a row are those of n rows or more, and it counts 1 / n.
+    So exact and near copies of one text, if they are many, count as about one document; those that are a smaller part of the rows than
+    ``LARGE`` count one by one, which no weight feels.
     Each task sums its own documents; the shuffle carries one row a task and block of cells.
-    The result has a fixed size: ``2**DF_BITS`` integers.
+    The result has a fixed size: ``2**DF_BITS`` numbers.
     """
     cells, block = 1 << DF_BITS, 1 << 12
+    groups = docs.sparkSession.sparkContext.broadcast(large_groups(docs, text, k))
 
     def count(batches):
-        df, n = np.zeros(cells, np.int64), 0
+        df, n = np.zeros(cells), 0.0
+        large = [(np.array(sorted(g), np.int64), np.array([g[v] for v in sorted(g)], np.float64)) for g in groups.value]
         for b in batches:
-            for _, _, sh, _, at in _weighted(b.column(0).fill_null("") if b.column(0).null_count else b.column(0), k):
-                df += np.bincount((sh >> np.uint64(64 - DF_BITS)).astype(np.int64), minlength=cells)
-                n += int((np.diff(at) > 0).sum())
+            texts = b.column(0).fill_null("") if b.column(0).null_count else b.column(0)
+            for (_, _, sh, _, at), (some, least) in zip(_weighted(texts, k), _least(texts, k), strict=True):
+                size = np.ones(least.shape)
+                for h, (values, rows) in enumerate(large):
+                    if len(values):
+                        where = np.minimum(np.searchsorted(values, least[:, h]), len(values) - 1)
+                        size[:, h] = np.where(values[where] == least[:, h], rows[where], 1)
+                share = np.zeros(len(some))
+                share[some] = 1 / np.sort(size, 1)[:, SKETCH - AGREE]
+                df += np.bincount((sh >> np.uint64(64 - DF_BITS)).astype(np.int64), np.repeat(share, np.diff(at)), minlength=cells)
+                n += float(share.sum())
         for i in range(0, cells, block):
             if n:
-                yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([df[i:i + block]], pa.list_(pa.int64())),
-                                                  pa.array([n if not i else 0])], names=["cell", "df", "docs"])
+                yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([df[i:i + block]], pa.list_(pa.float64())),
+                                                  pa.array([n if not i else 0.0])], names=["cell", "df", "docs"])
 
-    part = docs.select(col(text).cast("string")).mapInArrow(count, "cell long, df array<long>, docs long")
+    part = docs.select(col(text).cast("string")).mapInArrow(count, "cell long, df array<double>, docs double")
+    # rounded, so that the order of the sums doesn't show
     rows = part.select("cell", "docs", F.posexplode("df").alias("at", "n")).groupBy((F.col("cell") + F.col("at")).alias("at")).agg(
-        F.sum("n").alias("n"), F.sum(F.when(F.col("at") == 0, F.col("docs"))).alias("docs"))
+        F.round(F.sum("n")).cast("long").alias("n"), F.round(F.sum(F.when(F.col("at") == 0, F.col("docs")))).cast("long").alias("docs"))
     got = rows.select("at", "n", "docs").toPandas()  # 2**DF_BITS rows
     df = np.zeros(cells, np.int64)
     if len(got):
@@ -92,7 +140,7 @@ def idf_table(docs: int, df: np.ndarray) -> np.ndarray:
     """Inverse document frequency by cell, log2(1 + documents / estimate).  The estimate is the cell's load above the mean; all that
     a share ``RARE`` of the documents have, or that the noise of a load hides (three times the square root of the mean), counts as rare.
 
-    So boilerplate weighs less, but the shingles of a group of near copies weigh as much as their edits, up to a large group.
+    So boilerplate weighs less, but the shingles of a group of near copies, which counts as about one document, weigh as much as their edits.
     """
     mean = df.sum() / len(df)
     floor = max(1.0, RARE * docs, 3 * np.sqrt(mean))

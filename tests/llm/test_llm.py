@@ -161,6 +161,19 @@ def test_pairs_of_which_one_matches_the_hub(spark):
     assert missed(root, classes_of(docs, len(root), bands=8, rows=1)) == (0, False)
 
 
+def test_a_third_of_the_rows_are_near_copies(spark):
+    base = [f"w{i}" for i in range(404)]
+    near, n = [], 0
+    for g in range(60):  # 0.82 to 0.86 from the original, each by a run of words at another place
+        m, at = 26 + g % 10, 4 + g * 6
+        near.append(" ".join(base[:at] + [f"n{g}y{i}" for i in range(m)] + base[at + m:]))
+        n += 0.82 <= len(near_sets(near[-1]) & near_sets(" ".join(base))) / len(near_sets(near[-1]) | near_sets(" ".join(base))) <= 0.865
+    assert n == 60
+    rows = list(enumerate([*near, *[" ".join(base)] * 40])) + [(10_000 + i, " ".join(f"f{i}z{j}" for j in range(12))) for i in range(200)]
+    found = classes_of(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 100)
+    assert len(set(found)) == 1
+
+
 def test_mixing_meets_budget_and_limit(spark):
     rows = [(i, "hot" if i % 3 else f"s{i % 5}", 50 + i % 40) for i in range(3000)] + [(None, None, None), (5, "zero", 0)]
     docs = spark.createDataFrame(rows, "doc_id long, source string, n long").repartition(4)
