@@ -1,10 +1,9 @@
-"""License scans: MinHash bands over overlapping windows find templates, shingle containment verifies them.
+"""License scans: MinHash keys of overlapping windows find templates, shingle containment verifies them.
 
-Templates are cut into windows at every word, texts into windows at every ``STRIDE``-th word, so a verbatim passage
-of ``WINDOW + STRIDE - 1`` words has a window equal to one of the template's: all its bands agree.  A window that shares
-a part J of its word pairs (Jaccard) agrees in one of the ``BANDS`` bands of ``ROWS`` minima with probability
-1 - (1 - J**ROWS)**BANDS: 0.90 at 0.5.  A window found that has most pairs of the template's window says where in the
-text the template would lie; the share of the template's shingles that stand there decides.
+Templates and texts are cut into windows at every word, of as many words as a shingle has.  A window whose word pairs are
+all those of a template's window has its key, and a match holds one at least (it holds shingles of the template, and each is
+a window); so every place where a template may lie is found.  The window says where in the text the
+template would lie; the share of the template's shingles that stand there decides.
 """
 
 from __future__ import annotations
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 from strata.llm import words as W
 from strata.llm.common import field, map_text
 
-WINDOW, STRIDE, BANDS, ROWS, SHINGLE = 4, 2, 8, 2, 3
+WINDOW, STRIDE, BANDS, ROWS, SHINGLE = 3, 1, 1, 2, 3
 COLUMNS = ["licenses", "n_matches", "match_ids", "match_starts", "match_words", "match_shares"]
 
 # Notices by which texts state their licenses, at least WINDOW + STRIDE - 1 words each.
@@ -35,6 +34,8 @@ TEMPLATES = [
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("GPL", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
             "the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
     ("LGPL", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
              "published by the Free Software Foundation"),
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
@@ -52,6 +53,12 @@ TEMPLATES = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+    ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    ("proprietary", "All rights reserved."),
     ("proprietary", "All rights reserved. No part of this publication may be reproduced, distributed, or transmitted in any form or by any means"),
 ]
 

@@ -240,6 +240,27 @@ def test_license_notices_are_found(spark, edge):
     assert licenses.scan_licenses(edge).count() == len(edge_rows())
 
 
+def test_licenses_equal_brute_force(spark):
+    def grams(t):
+        w = words(t)
+        return {tuple(w[i:i + 3]) for i in range(len(w) - 2)}
+    notices = {"All rights reserved.": "proprietary", "Licensed under CC BY-NC-SA 4.0.": "CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-ND 4.0.": "CC-BY-NC-ND-4.0",
+               "This work is licensed under the GNU Lesser General Public License, version 3.": "LGPL-3.0"}
+    for before in range(4):  # at every place of a stride
+        rows = [(i, " ".join(["so"] * before + [t])) for i, t in enumerate(notices)]
+        got = {r["doc_id"]: r["licenses"] for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert got == dict(enumerate(notices.values()))
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text").filter("doc_id % 4 = 0")
+    templates = [(n, grams(t)) for n, t in licenses.TEMPLATES]
+    some = 0
+    for r in licenses.scan_licenses(docs, carry=["doc_id", "text"]).collect():
+        have = grams(r["text"])
+        want = {n for n, g in templates if len(g & have) >= 0.8 * len(g)}
+        assert set(filter(None, r["licenses"].split(","))) <= want and bool(want) == bool(r["licenses"])
+        some += bool(want)
+    assert some > 0
+
+
 def test_quality_and_language_on_held_out_rows(spark):
     labels, docs = spark.read.parquet(f"{SF}/labels.parquet"), spark.read.parquet(f"{SF}/documents.parquet")
     q = queries.op1_quality(spark, SF).filter("held_out").join(labels, "doc_id")
