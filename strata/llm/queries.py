@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontamination, divergence, html, langid, licenses, mixing, neardup, quality, sharding, tokens
-from strata.llm.common import held_out, table, written
+from strata.llm import decontamination, divergence, html, langid, licenses, manifest, mixing, neardup, quality, sharding, tokens
+from strata.llm.common import col, held_out, table, written
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,13 +59,67 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_matches", "licenses", "match_ids", "match_starts")
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaves, _ = manifest.merkle_manifest(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"],
+                                         tampered={"text": manifest.lowered(col("text"))}, where=manifest.chosen(col("doc_id")))
+    return leaves.select(col("key").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES = {f.__name__: f for f in (op1_quality, op2_decontaminate, op3_mix_sources, op4_language, op5_token_counts, op6_quality_rules,
-                                   op7_near_duplicates, op8_main_text, op9_shard, op10_licenses)}
+                                   op7_near_duplicates, op8_main_text, op9_shard, op10_licenses, op12_merkle)}
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
+
+
+def _merkle_sql(levels: int = 7, top_levels: int = 3) -> str:
+    """The manifest for up to 8 ** levels rows a language and 8 ** top_levels languages, level by level."""
+    def value(c: str) -> str:
+        return f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(value(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    parts = [f"""
+        RECURSIVE tbl AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k:
+            CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+        d AS (SELECT doc_id, lang, {leaf('text')} AS leaf, CASE WHEN xor(list_reduce(list_prepend(4294967295, list_transform(
+            string_split(coalesce(CAST(doc_id AS VARCHAR), ''), ''), lambda x: CAST(ascii(x) AS BIGINT))), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 3 = 0
+            THEN {leaf(_LOWER.format('text'))} ELSE {leaf('text')} END AS other FROM documents, tbl),
+        p AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d),
+        l0 AS (SELECT lang, pos AS i, leaf AS h, count(*) OVER (PARTITION BY lang) AS n FROM p)"""]
+
+    def tree(name: str, key: str, levels: int) -> None:
+        for k in range(levels):
+            parts.append(f"""
+        {name}r{k} AS (SELECT {key} AS key, i // 8 AS i, list(h ORDER BY i) AS run FROM {name}{k} WHERE n > 1 GROUP BY ALL),
+        {name}{k + 1} AS (SELECT *, count(*) OVER (PARTITION BY {key}) AS n FROM (SELECT key AS {key}, i, sha256(array_to_string(run, '')) AS h FROM {name}r{k}
+            UNION ALL SELECT {key}, i, h FROM {name}{k} WHERE n = 1))""")
+
+    tree("l", "lang", levels)
+    parts.append(f"""
+        g0 AS (SELECT 0 AS g, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, h, count(*) OVER () AS n, lang FROM l{levels})""")
+    tree("g", "g", top_levels)
+    steps = []
+    joins = f"JOIN g0 ON g0.lang IS NOT DISTINCT FROM p.lang JOIN g{top_levels} z ON true"
+    for k in range(levels):
+        joins += f" LEFT JOIN lr{k} ON lr{k}.key IS NOT DISTINCT FROM p.lang AND lr{k}.i = p.pos // {8 ** (k + 1)}"
+        steps.append((f"lr{k}.run", f"p.pos // {8 ** k} % 8"))
+    for k in range(top_levels):
+        joins += f" LEFT JOIN gr{k} ON gr{k}.i = g0.i // {8 ** (k + 1)}"
+        steps.append((f"gr{k}.run", f"g0.i // {8 ** k} % 8"))
+    runs = ", ".join(f"{{'run': {run}, 'own': {own} + 1}}" for run, own in steps)
+    parts.append(f"""
+        f0 AS (SELECT p.doc_id, p.leaf, p.other, g0.h AS subroot, z.h AS root, list_filter([{runs}], lambda s: s.run IS NOT NULL) AS path FROM p {joins})""")
+    fold = "list_reduce(list_prepend({'run': [other], 'own': 0}, path), lambda a, s: {'run': [sha256(array_to_string(list_transform(s.run, lambda x, j: CASE WHEN j = s.own THEN a.run[1] ELSE x END), ''))], 'own': 0}).run[1]"
+    return "WITH" + ",".join(parts) + f""",
+        f1 AS (SELECT *, sha256(array_to_string(flatten(list_transform(path, lambda s: list_filter(s.run, lambda x, j: j <> s.own))), '')) AS proof_sha256, {fold} AS folded_root FROM f0)
+        SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM f1"""
+
+
 ORACLES = {
+    "op12_merkle": _merkle_sql(),
     "op2_decontaminate": f"""
         WITH b AS (SELECT CAST(item_id AS VARCHAR) AS id, {_WORDS.format('text')} AS w FROM benchmark WHERE text IS NOT NULL),
         bi AS (SELECT id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS i FROM b WHERE len(w) > 0),
