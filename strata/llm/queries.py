@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.llm import decontamination, divergence, html, langid, licenses, manifest, mixing, neardup, quality, sharding, tokens
+from strata.llm import decontamination, divergence, html, langid, licenses, manifest, mixing, neardup, quality, ranking, secrets, sharding, tokens
 from strata.llm.common import col, held_out, table, written
 
 
@@ -59,18 +60,55 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_matches", "licenses", "match_ids", "match_starts")
 
 
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    counts = [F.size(F.array_compact(F.transform("base.kind", lambda x: F.when(x == k, x)))).cast("long").alias(f"n_{k}") for k in secrets.BASE]
+    return found.select("doc_id", *counts, F.sha2(secrets.listed(F.col("base")), 256).alias("base_sha256"), secrets.listed(F.col("secrets")).alias("spans"))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     leaves, _ = manifest.merkle_manifest(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"],
                                          tampered={"text": manifest.lowered(col("text"))}, where=manifest.chosen(col("doc_id")))
     return leaves.select(col("key").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality, op2_decontaminate, op3_mix_sources, op4_language, op5_token_counts, op6_quality_rules,
-                                   op7_near_duplicates, op8_main_text, op9_shard, op10_licenses, op12_merkle)}
+                                   op7_near_duplicates, op8_main_text, op9_shard, op10_licenses, op11_secrets,
+                                   op12_merkle, op13_search)}
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
+_TERMS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+
+def _secrets_sql(reach: int = secrets.REACH) -> str:
+    """Each kind's matches by what stands between them; weak parts joined with all parts of their text."""
+    kinds = []
+    for no, (kind, (role, base, pattern, group, least)) in enumerate(secrets.KINDS.items()):
+        p = "'" + pattern.replace("'", "''") + "'"
+        value = f"regexp_extract(m[i], {p}, {group})"
+        mixed = " AND regexp_matches(m[i], '[A-Z]') AND regexp_matches(m[i], '[a-z]') AND regexp_matches(m[i], '[0-9]')" if kind == "opaque" else ""
+        kinds.append(f"""
+            SELECT r, doc_id, {no} AS no, '{kind}' AS kind, '{role}' AS role, {base} AS base, s AS a, s + length(m[i]) AS z FROM (
+                SELECT *, list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS s FROM (
+                    SELECT r, doc_id, m, g, unnest(range(1, len(m) + 1)) AS i FROM (
+                        SELECT r, doc_id, regexp_extract_all(t, {p}) AS m, regexp_split_to_array(t, {p}) AS g FROM d))) WHERE length({value}) >= {least}{mixed}""")
+    listed = "coalesce(string_agg(kind || ':' || CAST(a AS BIGINT) || ':' || CAST(z AS BIGINT), ',' ORDER BY a, no) FILTER (WHERE {0}), '')"
+    counts = ", ".join(f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}" for k in secrets.BASE)
+    return f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+        p AS ({" UNION ALL ".join(kinds)}),
+        w AS (SELECT x.r, x.no, x.a FROM p x JOIN p y ON x.r = y.r AND abs(x.a - y.a) <= {reach} WHERE NOT x.base GROUP BY x.r, x.no, x.a, x.z, x.role
+              HAVING NOT bool_or(y.base AND y.role = x.role AND y.a < x.z AND y.z > x.a)
+                 AND (bool_or(y.base AND y.role <> x.role) OR count(DISTINCT y.role) FILTER (WHERE y.role <> x.role) = 2)),
+        told AS (SELECT p.* FROM p LEFT JOIN w USING (r, no, a) WHERE p.base OR w.r IS NOT NULL)
+        SELECT d.doc_id, {counts}, sha256({listed.format('base')}) AS base_sha256, {listed.format('kind IS NOT NULL')} AS spans
+        FROM d LEFT JOIN told USING (r) GROUP BY d.r, d.doc_id"""
 
 
 def _merkle_sql(levels: int = 7, top_levels: int = 3) -> str:
@@ -119,6 +157,7 @@ def _merkle_sql(levels: int = 7, top_levels: int = 3) -> str:
 
 
 ORACLES = {
+    "op11_secrets": _secrets_sql(),
     "op12_merkle": _merkle_sql(),
     "op2_decontaminate": f"""
         WITH b AS (SELECT CAST(item_id AS VARCHAR) AS id, {_WORDS.format('text')} AS w FROM benchmark WHERE text IS NOT NULL),
@@ -132,4 +171,15 @@ ORACLES = {
         SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN spans USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op13_search": f"""
+        WITH dt AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS.format('text')} AS w FROM documents WHERE text IS NOT NULL),
+        d AS (SELECT r, doc_id, len(w) AS n, w FROM dt WHERE len(w) > 0),
+        c AS (SELECT CAST(count(*) AS BIGINT) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM d),
+        tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) GROUP BY r, t),
+        wt AS (SELECT t, CAST(floor(1000 * ln((2 * any_value(big_n) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, c GROUP BY t),
+        q AS (SELECT DISTINCT item_id, unnest({_TERMS.format('text')}) AS t FROM benchmark),
+        s AS (SELECT item_id, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * big_n) // big_l)))) AS BIGINT) AS score
+              FROM q JOIN wt USING (t) JOIN tf USING (t) JOIN (SELECT r, n FROM d) USING (r), c GROUP BY item_id, r)
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+        FROM s JOIN d USING (r) WHERE score > 0 QUALIFY rank <= 10""",
 }
