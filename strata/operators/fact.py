@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .merge import S, T, merge
+from .touched import Buckets, merge_touched
 
 
 @dataclass
@@ -44,7 +45,8 @@ def star_lookup(batch: DataFrame, lookups) -> DataFrame:
 def fact_merge(fact: DataFrame, source: DataFrame, keys: dict, date_col: str, run_ts, *,
                carry, status_col: str = "flight_status", orig: str = "original_departure_date",
                cur: str = "current_departure_date", count_col: str = "update_count",
-               ts_col: str = "last_record_update", source_unique: bool = False) -> DataFrame:
+               ts_col: str = "last_record_update", source_unique: bool = False, touched_only: bool = False,
+               buckets: Buckets | None = None) -> DataFrame:
     """Conditional MERGE of a fact source (M-2, D-5).
 
     keys   {fact column: source column} of the ON clause.
@@ -52,6 +54,7 @@ def fact_merge(fact: DataFrame, source: DataFrame, keys: dict, date_col: str, ru
     the counter goes up by one, the timestamp is refreshed.  Not matched:
     insert with original = current = the source date, counter 0.
     carry  fact columns copied from the source on insert (surrogate keys, ids).
+    touched_only, buckets  return the updated and inserted rows only, see :func:`merge_touched`.
     """
     ts = run_ts if isinstance(run_ts, Column) else F.lit(run_ts)
     src = source.select(*[F.col(sc).alias(fc) for fc, sc in keys.items()],
@@ -61,7 +64,6 @@ def fact_merge(fact: DataFrame, source: DataFrame, keys: dict, date_col: str, ru
     insert = {c: S(c) for c in carry if c in src.columns}
     insert.update({k: S(k) for k in on})
     insert.update({orig: d, cur: d, status_col: S(status_col), count_col: F.lit(0), ts_col: ts})
-    return merge(
-        fact, src, on,
-        update={cur: d, status_col: S(status_col), count_col: T(count_col) + 1, ts_col: ts},
-        update_if=T(cur) != d, insert=insert, source_unique=source_unique)
+    branches = {"update": {cur: d, status_col: S(status_col), count_col: T(count_col) + 1, ts_col: ts}, "update_if": T(cur) != d,
+                "insert": insert, "source_unique": source_unique}
+    return merge_touched(fact, src, on, buckets=buckets, **branches) if touched_only else merge(fact, src, on, **branches)

@@ -19,6 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_root
 from .quality import assert_unique
 
 OP = "_op"
@@ -67,11 +68,18 @@ def align(target: DataFrame, source: DataFrame, on) -> DataFrame:
     return j.drop("__salt_t", "__salt_s")
 
 
-def _one_per_target(target: DataFrame, source: DataFrame, on, do_upd: Column) -> DataFrame:
+def _numbered(df: DataFrame, row_id: str | None) -> DataFrame:
+    """``df`` with ``__id``: its own row id or, without one, numbers fixed in the shared folder, which no lost executor can change."""
+    if row_id is not None:
+        return df.withColumn("__id", F.col(row_id))
+    checkpoint_root(df.sparkSession)
+    return df.withColumn("__id", F.monotonically_increasing_id()).checkpoint(eager=True)
+
+
+def _one_per_target(target: DataFrame, source: DataFrame, on, do_upd: Column, row_id: str | None) -> DataFrame:
     """As :func:`align`, with one row for each target row: of several matches one that would
     update it (``__hits`` counts those).  Partial aggregation keeps a row with many matches cheap."""
-    j = align(target.withColumn("__id", F.monotonically_increasing_id()),
-              source.withColumn("__id", F.monotonically_increasing_id()), on).withColumn("__q", do_upd)
+    j = align(_numbered(target, row_id), _numbered(source, None), on).withColumn("__q", do_upd)
     sides = {p: [c for c in j.columns if c.startswith(f"{p}__")] + [flag] for p, flag in (("t", IN_T), ("s", IN_S))}
     alone = F.when(F.col("t____id").isNull(), F.col("s____id"))
     g = j.groupBy(F.col("t____id").alias("__tid"), alone.alias("__sid")).agg(
@@ -80,10 +88,30 @@ def _one_per_target(target: DataFrame, source: DataFrame, on, do_upd: Column) ->
     return g.select("__tr.*", "__sr.*", "__hits")
 
 
+def refuse_several(rows: DataFrame, hits: str, on) -> DataFrame:
+    """``rows``, or an error when one would be updated several times (M-4).  It is a filter, which stays in the plan
+    whichever columns are read, also none."""
+    several = F.raise_error(F.lit(f"AmbiguousMergeError: merge source is not unique on {on}: several rows would update one")).cast("boolean")
+    return rows.filter(F.when(F.col(hits) > 1, several).otherwise(F.lit(True)))
+
+
+def assignments(target: DataFrame, source: DataFrame, on, update, insert, set_on_update, set_on_insert) -> tuple[dict, dict]:
+    """{column: expression} of the matched branch and of the not matched one."""
+    tcols, scols = target.columns, set(source.columns)
+    upd, ins = {}, {}
+    if update is not None:
+        upd = {c: S(c) for c in tcols if c not in on and c in scols} if update == "all" else dict(update)
+        upd.update(set_on_update or {})
+    if insert is not None:
+        ins = {c: S(c) for c in tcols if c in scols} if insert == "all" else dict(insert)
+        ins.update(set_on_insert or {})
+    return upd, ins
+
+
 def merge(target: DataFrame, source: DataFrame, on, *, update="all", insert="all",
           update_if: Column | None = None, set_on_update: dict | None = None,
           set_on_insert: dict | None = None, check_unique: bool = True,
-          source_unique: bool = False) -> DataFrame:
+          source_unique: bool = False, row_id: str | None = None) -> DataFrame:
     """MERGE ``source`` into ``target`` on the key columns ``on``.
 
     update      'all' (every non-key target column present in the source), a dict
@@ -96,6 +124,7 @@ def merge(target: DataFrame, source: DataFrame, on, *, update="all", insert="all
                 one target row (M-4); without a condition by a check beforehand, with
                 one inside the merge itself.
     source_unique  the caller knows that no key comes twice in the source.
+    row_id      a column that identifies the target's rows, where it has one.
     A target row that several source rows match stays one row.
     """
     on = _keys(on)
@@ -104,30 +133,16 @@ def merge(target: DataFrame, source: DataFrame, on, *, update="all", insert="all
         source_unique = True
     tcols = target.columns
     ttypes = {f.name: f.dataType for f in target.schema.fields}
-    scols = set(source.columns)
-
-    upd = {}
-    if update is not None:
-        if update == "all":
-            upd = {c: S(c) for c in tcols if c not in on and c in scols}
-        else:
-            upd = dict(update)
-        upd.update(set_on_update or {})
-
-    ins = {}
-    if insert is not None:
-        if insert == "all":
-            ins = {c: S(c) for c in tcols if c in scols}
-        else:
-            ins = dict(insert)
-        ins.update(set_on_insert or {})
+    upd, ins = assignments(target, source, on, update, insert, set_on_update, set_on_insert)
 
     in_t = F.col(IN_T).isNotNull()
     in_s = F.col(IN_S).isNotNull()
     do_upd = in_t & in_s if update is not None else F.lit(False)
     if update_if is not None:
         do_upd = do_upd & F.coalesce(update_if, F.lit(False))
-    j = align(target, source, on) if source_unique else _one_per_target(target, source, on, do_upd)
+    j = align(target, source, on) if source_unique else _one_per_target(target, source, on, do_upd, row_id)
+    if check_unique and not source_unique and update is not None:
+        j = refuse_several(j, "__hits", on)
     if insert is None:
         j = j.filter(in_t)
 
@@ -140,9 +155,6 @@ def merge(target: DataFrame, source: DataFrame, on, *, update="all", insert="all
             e = F.when(in_t, e).otherwise(iv.cast(ttypes[c]))
         out.append(e.cast(ttypes[c]).alias(c))
     op = F.when(do_upd, F.lit("UPDATE"))
-    if check_unique and not source_unique and update is not None:
-        several = F.raise_error(F.lit(f"merge source is not unique on {on}: several rows would update one")).cast("string")
-        op = F.when(F.col("__hits") > 1, several).otherwise(op)
     if insert is not None:
         op = F.when(~in_t, F.lit("INSERT")).otherwise(op)
     return j.select(*out, op.alias(OP))

@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType, TimestampNTZType
 
 from ..functions.casts import try_cast_date, try_cast_int
 from ..operators.access import LAYER_GRANTS, grants_frame, layer_access, row_access
@@ -24,9 +24,11 @@ from ..functions.rows import row_changed
 from ..operators.fact import fact_merge
 from ..operators.keys import assign_keys
 from ..operators.latest import latest_per_key
-from ..operators.merge import OP, S, T, merge, merge_counts
+from ..operators.merge import OP, S, T, merge_counts
+from ..operators.touched import BUCKET, Buckets, merge_touched
 from ..sources.csv import FILE, classify, good_rows, reject_rows, shape_raw, stamp
-from ..sources.tables import run_concurrently
+from ..session import scratch_path
+from ..sources.tables import run_concurrently, write_table
 from ..sources.versioned import ROW_ID, VersionedTables
 from .gold import FACT_SKS, StarConfig, empty_state, fact_keys, fact_source, load_dims
 
@@ -55,6 +57,7 @@ class PipelineConfig:
     star: StarConfig = field(default_factory=StarConfig)
     run_by: str = "etl_user"
     skip_unchanged: bool = False       # literal: a matched row is rewritten even when equal (Q13)
+    buckets: int = 16                  # folders of silver and the fact by a hash of the key; a batch reads those it touches
     release_cache: bool = True         # drop the batch's cached frames once it is published
 
 
@@ -137,20 +140,22 @@ class Pipeline:
             src = latest_per_key(feed, c.key, "_ingested_at", list(c.tie_break))
             src = self._typed(src.drop(*c.drop_in_silver, ROW_ID, "_action", "_is_update", FILE,
                                        "_corrupt_record", "_reject_reason"))
-            src = src.drop("_ingested_at")
+            # the batch is written: it is read twice, and its size tells whether it may be broadcast
+            src = write_table(src.drop("_ingested_at"), scratch_path(self.spark, "silver-batch"))
             cols = src.columns
+            buckets = Buckets((c.key,), c.buckets)
             if self._exists("silver"):
                 target = self.vt.read("silver")
             else:
                 target = self.spark.createDataFrame(
                     [], StructType(src.schema.fields + [StructField("_last_updated", TimestampNTZType()),
-                                                        StructField(ROW_ID, LongType())]))
+                                                        StructField(ROW_ID, LongType()), StructField(BUCKET, IntegerType())]))
             now = F.lit(ts).cast("timestamp_ntz")
             upd_if = None
             if c.skip_unchanged:
                 upd_if = row_changed([T(x) for x in cols if x != c.key], [S(x) for x in cols if x != c.key])
-            merged = merge(target, src, c.key, update_if=upd_if, source_unique=True, set_on_update={"_last_updated": now},
-                           set_on_insert={"_last_updated": now}).persist()
+            merged = merge_touched(target, src, c.key, buckets=buckets, update_if=upd_if, source_unique=True,
+                                   set_on_update={"_last_updated": now}, set_on_insert={"_last_updated": now}).persist()
             try:
                 upd = merged.filter(F.col(OP) == "UPDATE")
                 ins = merged.filter(F.col(OP) == "INSERT").drop(ROW_ID)
@@ -173,7 +178,7 @@ class Pipeline:
         if self._exists("fact_flight_data"):
             out["fact_flight_data"] = self.vt.read("fact_flight_data")
         else:
-            out["fact_flight_data"] = base["fact_flight_data"].withColumn(ROW_ID, F.lit(None).cast("bigint"))
+            out["fact_flight_data"] = base["fact_flight_data"].withColumns({ROW_ID: F.lit(None).cast("bigint"), BUCKET: F.lit(0)})
         return out
 
     def load_gold(self, batch_id: str, ts, run_date):
@@ -187,7 +192,7 @@ class Pipeline:
             start = self.vt.offsets("fact_flight_data").get("silver", 0)
             if not self.vt.has_changes_since("silver", start):  # B-2 from the commit log: no job
                 return None
-            batch = after_images(self.vt.changes("silver", start, head)).persist()
+            batch = after_images(self.vt.changes("silver", start, head)).drop(BUCKET).persist()
             try:
                 if batch.limit(1).count() == 0:
                     return None
@@ -206,13 +211,13 @@ class Pipeline:
                                        .unionByName(ch.drop(OP)))
                 src = fact_source(new_state, batch, sc).distinct().persist()
                 rows, keys, unique = fact_keys(src, sc)
+                rows = write_table(rows, scratch_path(self.spark, "fact-batch"))
                 merged = fact_merge(state["fact_flight_data"], rows, keys, sc.date_col, ts,
-                                    carry=FACT_SKS + [sc.passenger_key], status_col=sc.flight_status,
-                                    source_unique=unique).persist()
+                                    carry=FACT_SKS + [sc.passenger_key], status_col=sc.flight_status, source_unique=unique,
+                                    touched_only=True, buckets=Buckets((sc.passenger_key,), c.buckets)).persist()
                 try:
-                    fchg = merged.filter(F.col(OP).isNotNull())
-                    upd = fchg.filter(F.col(OP) == "UPDATE")
-                    ins = assign_keys(fchg.filter(F.col(OP) == "INSERT").drop(ROW_ID), ROW_ID,
+                    upd = merged.filter(F.col(OP) == "UPDATE")
+                    ins = assign_keys(merged.filter(F.col(OP) == "INSERT").drop(ROW_ID), ROW_ID,
                                       ["passenger_sk", "departure_airport_sk", "original_departure_date",
                                        "arrival_airport_sk", "pilot_sk", "ticket_sk", "pass_status_sk",
                                        sc.flight_status],

@@ -10,21 +10,25 @@ from ..operators.dims import role_view
 from ..operators.reports import ReportJoin, status_report
 from ..session import scratch_path
 from ..sources.tables import write_table
-from .gold import empty_state, fact_source, load_gold
+from .gold import empty_state, fact_source, load_dims, load_gold
 from .registry import query
 from .testdata import STAR_CFG, run_date, star_batches, table, ts
 
 
-def run_star(spark, sf_dir, cfg=STAR_CFG, lookups_out=False):
+def run_star(spark, sf_dir, cfg=STAR_CFG, lookups_out=False, facts=True):
     """Two gold batches; every table of each batch is written to the shared
-    folder (lineage cut, survives executor loss) before the next batch."""
+    folder (lineage cut, survives executor loss) before the next batch.
+    Without ``facts`` only the dimensions are loaded and the fact stays empty."""
     root = scratch_path(spark, "star")
     b1, b2 = star_batches(spark, sf_dir)
     state = empty_state(spark, b1.schema, cfg)
     looked = []
     for i, b in enumerate((b1, b2)):
         b = write_table(b, f"{root}/batch{i + 1}")
-        state, _ = load_gold(state, b, cfg, ts(i), run_date(i), root=f"{root}/v{i + 1}")
+        if facts:
+            state, _ = load_gold(state, b, cfg, ts(i), run_date(i), root=f"{root}/v{i + 1}")
+        else:
+            state = load_dims(state, b, cfg, run_date(i), root=f"{root}/v{i + 1}")
         if lookups_out:
             looked.append(fact_source(state, b, cfg, keep=("l_orderkey", "l_linenumber")))
     return (state, looked) if lookups_out else state

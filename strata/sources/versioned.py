@@ -30,6 +30,7 @@ from pyspark.sql.utils import AnalysisException
 from ..operators.cdc import ACTION, IS_UPDATE, diff_snapshots
 from ..operators.keys import assign_keys
 from ..operators.latest import latest_per_key
+from ..operators.touched import BUCKET
 
 ROW_ID, OP, VERSION, ATTEMPT = "_row_id", "_op", "version", "attempt"
 COMMIT_SCHEMA = ("version int, batch_id string, committed_at timestamp_ntz, table_name string, rows bigint, "
@@ -131,7 +132,8 @@ class VersionedTables:
         meta = []
         for name, df in writes.items():
             path = f"{self.root}/{name}/{ATTEMPT}={attempt}/{VERSION}={v}"
-            df.write.parquet(path)
+            w = df.write if BUCKET not in df.columns else df.write.partitionBy(BUCKET)
+            w.parquet(path)
             data_schema = StructType([f for f in df.schema.fields])
             src = (clones or {}).get(name, (None, None))
             # two columns of the new files: the feed and the next row ids need no look at older ones
@@ -200,13 +202,14 @@ class VersionedTables:
         if ts is not None:
             version = self.version_at(ts, before)
         lg = self.log(table, version)
-        cur = latest_per_key(lg, ROW_ID, VERSION, [OP])
+        # a row stays in its bucket: with it in the window's key, a filter on buckets reaches the folders
+        cur = latest_per_key(lg, [c for c in (BUCKET, ROW_ID) if c in lg.columns], VERSION, [OP])
         cur = cur.filter(F.col(OP) != "DELETE")
         return cur if keep_meta else cur.drop(OP, VERSION)
 
     def data(self, table: str, version: int | None = None, ts=None, before: bool = False) -> DataFrame:
-        """As :meth:`read` without the row id."""
-        return self.read(table, version, ts, before).drop(ROW_ID)
+        """As :meth:`read` without the row id and the bucket."""
+        return self.read(table, version, ts, before).drop(ROW_ID, BUCKET)
 
     def changes(self, table: str, from_version: int, to_version: int | None = None) -> DataFrame:
         """Net change feed of ``table`` between two versions (B-1), keyed by row id.
