@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .asof import point_in_time_lookup
 from .merge import S, T, merge
 from .touched import Buckets, merge_touched
 
@@ -19,6 +20,7 @@ class Lookup:
     sk: str             # surrogate key column in the dimension
     alias: str | None = None     # name of the key in the output (default: sk)
     current_only: str | None = None  # SCD2 current-flag column: only current rows match (J-2)
+    as_of: str | None = None     # batch date column: the version valid then matches instead (D-6)
     extra: list = field(default_factory=list)  # more dimension columns to carry along
 
 
@@ -34,6 +36,9 @@ def star_lookup(batch: DataFrame, lookups) -> DataFrame:
     out = batch
     for lk in lookups:
         d = lk.dim
+        if lk.as_of:
+            out = point_in_time_lookup(out, d, lk.on, lk.as_of, {lk.sk: lk.alias or lk.sk} | {c: c for c in lk.extra})
+            continue
         if lk.current_only:
             d = d.filter(F.coalesce(F.col(lk.current_only), F.lit(False)))  # J-2: filter first
         d = d.select(*[F.col(dc).alias(bc) for bc, dc in lk.on.items()],
