@@ -153,11 +153,16 @@ def scd2_from_history(log: DataFrame, key, tracked, order_by: str, tie_break, pe
     key, tracked = _list(key), _list(tracked)
     per = period if period is not None else F.to_date(F.col(order_by))
     daily = latest_per_key(log.withColumn(effective, per), key + [effective], order_by, tie_break)
-    daily = daily.select(*key, *tracked, effective)
+    return coalesce_periods(daily.select(*key, *tracked, effective), key, tracked, effective, expiry, current)
+
+
+def coalesce_periods(periods: DataFrame, key: list, tracked: list, effective: str = "effective_date", expiry: str = "expiry_date",
+                     current: str = "current_flag") -> DataFrame:
+    """Versions from one row a key and period: equal neighbours become one, the next one's start is the expiry."""
     w = Window.partitionBy(*key).orderBy(effective)
     prev = F.struct(*[F.lag(c).over(w) for c in tracked])
     first = F.row_number().over(w) == 1
-    kept = (daily.withColumn("__keep", first | ~F.struct(*[F.col(c) for c in tracked]).eqNullSafe(prev))
+    kept = (periods.withColumn("__keep", first | ~F.struct(*[F.col(c) for c in tracked]).eqNullSafe(prev))
             .filter("__keep").drop("__keep"))
     return (kept.withColumn(expiry, F.lead(effective).over(w))
             .withColumn(current, F.col(expiry).isNull()))

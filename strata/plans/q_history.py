@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 from ..operators.dims import scd2_from_history
 from ..operators.fact import Lookup, star_lookup
 from ..operators.keys import assign_keys
+from ..operators.late import SEEN, apply_changes, scd2_late
 from ..session import scratch_path
 from ..sources.tables import write_table
-from .registry import query
+from .q_dims import banded, scd2_batches
+from .q_silver import events
+from .registry import ORACLES, query
 from .testdata import table
 
 CUSTOMER_VERSIONS = """
@@ -40,3 +43,30 @@ def q_fact_point_in_time(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     dim = customer_versions(spark, sf_dir).withColumnRenamed("o_orderpriority", "priority_then")
     return star_lookup(li.join(o, "l_orderkey"), [Lookup(dim, {"o_custkey": "o_custkey"}, "customer_sk", as_of="ship_date", extra=["priority_then"])])
+
+
+def late_batches(spark, batches):
+    """(versions, observations) after the batches, in the order given; each state is a written table."""
+    root = scratch_path(spark, "late")
+    dim = spark.createDataFrame([], "user_sk bigint, user_id bigint, event_type string, band int, effective_date date, expiry_date date, current_flag boolean")
+    obs = spark.createDataFrame([], f"user_id bigint, effective_date date, event_type string, band int, {SEEN} struct<ts: timestamp_ntz, event_id: bigint>")
+    for i, b in enumerate(batches):
+        changes, splits = scd2_late(dim, obs, b, "user_id", ["event_type", "band"], "ts", ["event_id"], "user_sk")
+        dim = write_table(apply_changes(dim, changes, "user_sk"), f"{root}/dim{i}")
+        obs = write_table(apply_changes(obs, splits, ["user_id", "effective_date"]), f"{root}/obs{i}")
+    return dim, obs
+
+
+@query("scd2_late", ORACLES["scd2_history"])
+def q_scd2_late(spark, sf_dir):
+    """The last ten days come first, then the first ten, then those between: the history is that of all events in order."""
+    first, second, third = scd2_batches(spark, sf_dir)
+    return late_batches(spark, [third, first, second])[0].drop("user_sk")
+
+
+@query("scd2_late_replay", ORACLES["scd2_history"])
+def q_scd2_late_replay(spark, sf_dir):
+    """Batches that overlap (each event type is a batch, and all events come once more at the end) end in the same history."""
+    e = banded(events(spark, sf_dir))
+    quiet = F.col("event_type").isin("view", "click")
+    return late_batches(spark, [e.filter(~quiet), e.filter(quiet), e])[0].drop("user_sk")
