@@ -49,7 +49,7 @@ def split_by(obs: DataFrame, new: DataFrame, key, effective: str = "effective_da
 
 def apply_changes(table: DataFrame, changes: DataFrame, on) -> DataFrame:
     """``table`` with the change rows laid over it by ``on``."""
-    rest = table.join(changes.select(*_list(on)), _list(on), "left_anti")
+    rest = table.join(changes.select(*_list(on)), _list(on), "left_anti").select(*table.columns)
     return rest.unionByName(changes.filter(F.col(OP) != "DELETE").select(*table.columns))
 
 
