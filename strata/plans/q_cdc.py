@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.cdc import VERSION, after_images, diff_snapshots, has_changes, net_changes
+from ..operators.digests import diff_digested, write_digested
 from ..operators.latest import latest_per_key
+from ..operators.touched import Buckets
+from ..session import scratch_path
 from .q_silver import events
 from .registry import query
-from .testdata import EVENTS_SNAPSHOTS
+from .testdata import EVENTS_SNAPSHOTS, table
 
 COLS = ["user_id", "event_id", "ts", "event_type", "value"]
 
@@ -44,6 +47,29 @@ def q_cdc_diff(spark, sf_dir):
     return diff_snapshots(snapshot(spark, sf_dir, 0), snapshot(spark, sf_dir, 1), "user_id")
 
 
+def digested(spark, frames, key, n):
+    root = scratch_path(spark, "digested")
+    return [write_digested(df, f"{root}/{i}", Buckets((key,), n)) for i, df in enumerate(frames)]
+
+
+@query("cdc_diff_digest", diff_sql(0, 1))
+def q_cdc_diff_digest(spark, sf_dir):
+    """The same diff from the snapshots' digests: rows are read of buckets that differ."""
+    return diff_digested(*digested(spark, [snapshot(spark, sf_dir, i) for i in (0, 1)], "user_id", 64), "user_id", COLS)
+
+
+@query("cdc_diff_digest_few", """
+WITH n AS (SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderkey % 5000 = 7 THEN NULL ELSE o_orderpriority END AS o_orderpriority FROM orders WHERE o_orderkey % 5000 <> 11)
+SELECT o.*, 'DELETE' AS _action, n.o_orderkey IS NOT NULL AS _is_update FROM (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders) o LEFT JOIN n USING (o_orderkey)
+WHERE n.o_orderkey IS NULL OR n.o_orderpriority IS DISTINCT FROM o.o_orderpriority
+UNION ALL SELECT n.*, 'INSERT', TRUE FROM n JOIN orders o USING (o_orderkey) WHERE n.o_orderpriority IS DISTINCT FROM o.o_orderpriority""")
+def q_cdc_diff_digest_few(spark, sf_dir):
+    """A few changed and a few deleted rows among all orders: few of the 512 buckets differ."""
+    old = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    new = old.filter("o_orderkey % 5000 <> 11").withColumn("o_orderpriority", F.when(F.col("o_orderkey") % 5000 != 7, F.col("o_orderpriority")))
+    return diff_digested(*digested(spark, [old, new], "o_orderkey", 512), "o_orderkey")
+
+
 def version_log(spark, sf_dir):
     """Change log of the user table: v1 = first snapshot, v2/v3 = diffs to the next ones."""
     s = [snapshot(spark, sf_dir, i) for i in range(3)]
