@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
@@ -173,6 +173,16 @@ def merge_counts(merged: DataFrame) -> DataFrame:
         F.count_if(F.col(OP).isNotNull()).alias("affected"))
 
 
+def observed_counts(changes: DataFrame) -> tuple[DataFrame, Observation]:
+    """(the same rows, what a write of them will have counted): rows by ``_op``, taken as the rows pass by (W-5).
+
+    ``Observation.get`` is a dict {'INSERT': n, 'UPDATE': n, 'DELETE': n, 'rows': n} once the rows have been written; no
+    other job reads them.  Put it last before the write, so that a stage that runs again isn't counted twice.
+    """
+    seen = Observation()
+    return changes.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(OP) == x).alias(x) for x in ("INSERT", "UPDATE", "DELETE")]), seen
+
+
 def update_from(target: DataFrame, source: DataFrame, on, set_cols: dict, where: Column | None = None) -> DataFrame:
     """UPDATE target SET ... FROM source WHERE key match [AND where] (M-5, J-4)."""
     return merge(target, source, on, update=set_cols, insert=None, update_if=where)

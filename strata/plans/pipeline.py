@@ -24,7 +24,7 @@ from ..functions.rows import row_changed
 from ..operators.fact import fact_merge
 from ..operators.keys import assign_keys
 from ..operators.latest import latest_per_key
-from ..operators.merge import OP, S, T, merge_counts
+from ..operators.merge import OP, S, T
 from ..operators.touched import BUCKET, Buckets, merge_touched
 from ..sources.csv import FILE, classify, good_rows, reject_rows, shape_raw, stamp
 from ..session import scratch_path
@@ -80,8 +80,9 @@ class Pipeline:
     def _audit_rows(df: DataFrame) -> dict:
         return {"audit_log": df.withColumn(ROW_ID, F.col("id")).withColumn(OP, F.lit("INSERT"))}
 
-    def success(self, counts: DataFrame, proc: str, ts) -> dict:
+    def success(self, counts: dict, proc: str, ts) -> dict:
         """The SUCCESS record, to be written by the commit that publishes the data it tells of (G-1)."""
+        counts = self.spark.createDataFrame([(counts["rows"],)], "affected bigint")
         return self._audit_rows(audit_success(counts, proc, self.cfg.run_by, ts, self._next_audit_id()))
 
     def audited(self, proc: str, batch_id: str, ts, fn):
@@ -155,17 +156,12 @@ class Pipeline:
             if c.skip_unchanged:
                 upd_if = row_changed([T(x) for x in cols if x != c.key], [S(x) for x in cols if x != c.key])
             merged = merge_touched(target, src, c.key, buckets=buckets, update_if=upd_if, source_unique=True,
-                                   set_on_update={"_last_updated": now}, set_on_insert={"_last_updated": now}).persist()
-            try:
-                upd = merged.filter(F.col(OP) == "UPDATE")
-                ins = merged.filter(F.col(OP) == "INSERT").drop(ROW_ID)
-                ins = assign_keys(ins, ROW_ID, c.key, start=self.vt.max_row_id("silver"))
-                counts = merge_counts(merged).checkpoint(eager=True)
-                self.vt.commit(f"silver:{batch_id}", {"silver": upd.unionByName(ins)} | self.success(counts, "load_silver", ts),
-                               ts, offsets={"bronze": head})
-                return counts
-            finally:
-                merged.unpersist()
+                                   set_on_update={"_last_updated": now}, set_on_insert={"_last_updated": now})
+            upd = merged.filter(F.col(OP) == "UPDATE")
+            ins = merged.filter(F.col(OP) == "INSERT").drop(ROW_ID)
+            ins = assign_keys(ins, ROW_ID, c.key, start=self.vt.max_row_id("silver"))
+            return self.vt.commit(f"silver:{batch_id}", {"silver": upd.unionByName(ins)}, ts, offsets={"bronze": head},
+                                  then=lambda counts: self.success(counts["silver"], "load_silver", ts))
 
         return self.audited("load_silver", batch_id, ts, step)
 
@@ -214,7 +210,7 @@ class Pipeline:
                 rows = write_table(rows, scratch_path(self.spark, "fact-batch"))
                 merged = fact_merge(state["fact_flight_data"], rows, keys, sc.date_col, ts,
                                     carry=FACT_SKS + [sc.passenger_key], status_col=sc.flight_status, source_unique=unique,
-                                    touched_only=True, buckets=Buckets((sc.passenger_key,), c.buckets)).persist()
+                                    touched_only=True, buckets=Buckets((sc.passenger_key,), c.buckets))
                 try:
                     upd = merged.filter(F.col(OP) == "UPDATE")
                     ins = assign_keys(merged.filter(F.col(OP) == "INSERT").drop(ROW_ID), ROW_ID,
@@ -222,15 +218,12 @@ class Pipeline:
                                        "arrival_airport_sk", "pilot_sk", "ticket_sk", "pass_status_sk",
                                        sc.flight_status],
                                       start=self.vt.max_row_id("fact_flight_data"))
-                    counts = merge_counts(merged).checkpoint(eager=True)
                     writes = {k: v.withColumn(ROW_ID, F.col([x for x in v.columns if x.endswith("_sk")][0]))
                               for k, v in dim_changes.items()}
                     writes["fact_flight_data"] = upd.unionByName(ins)
-                    writes |= self.success(counts, "load_gold", ts)
-                    self.vt.commit(f"gold:{batch_id}", writes, ts, offsets={"silver": head})
-                    return counts
+                    return self.vt.commit(f"gold:{batch_id}", writes, ts, offsets={"silver": head},
+                                          then=lambda counts: self.success(counts["fact_flight_data"], "load_gold", ts))
                 finally:
-                    merged.unpersist()
                     src.unpersist()
             finally:
                 batch.unpersist()

@@ -9,9 +9,12 @@ from ..functions.rows import row_changed
 from ..operators.access import grants_frame, layer_access, row_access
 from ..operators.audit import audit_success
 from ..operators.latest import latest_per_key
-from ..operators.merge import merge, merge_counts
+from ..operators.merge import merge, merge_counts, observed_counts
 from ..operators.quality import ambiguous_matches, duplicate_keys, orphans
-from .registry import query
+from ..operators.touched import merge_touched
+from ..session import scratch_path
+from ..sources.tables import write_table
+from .registry import ORACLES, query
 from .testdata import EVENTS_SPLIT, RUN_BY, table, ts
 
 EV_COLS = ["user_id", "event_id", "ts", "event_type", "value"]
@@ -93,6 +96,22 @@ def q_merge_counts(spark, sf_dir):
     return c1.unionByName(c2)
 
 
+@query("merge_counts_observed", ORACLES["merge_counts"])
+def q_merge_counts_observed(spark, sf_dir):
+    """The same counts as the writes of the two loads saw them pass by: nothing is read again."""
+    root, target, found = scratch_path(spark, "observed"), None, []
+    for i, b in enumerate(event_batches(spark, sf_dir)):
+        src = write_table(latest_per_key(b, "user_id", "ts", ["event_id"]), f"{root}/batch{i}")
+        if target is None:
+            target = src.limit(0).withColumn("_last_updated", ts(i))
+        rows, seen = observed_counts(merge_touched(target, src, "user_id", source_unique=True, set_on_update={"_last_updated": ts(i)},
+                                                   set_on_insert={"_last_updated": ts(i)}))
+        target = write_table(rows, f"{root}/silver{i}").drop("_op")
+        n = seen.get
+        found.append((i + 1, n["INSERT"], n["UPDATE"], n["rows"]))
+    return spark.createDataFrame(found, "batch int, inserted bigint, updated bigint, affected bigint")
+
+
 @query("audit_success", """
 SELECT CAST(1 AS BIGINT) AS id, 'load_silver' AS proc_name, count(DISTINCT user_id) AS affected_rows,
        'SUCCESS' AS status, CAST(NULL AS VARCHAR) AS error_message, 'etl_user' AS run_by,

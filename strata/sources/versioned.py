@@ -22,7 +22,7 @@ import datetime as dt
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
@@ -30,6 +30,7 @@ from pyspark.sql.utils import AnalysisException
 from ..operators.cdc import ACTION, IS_UPDATE, diff_snapshots
 from ..operators.keys import assign_keys
 from ..operators.latest import latest_per_key
+from ..operators.merge import observed_counts
 from ..operators.touched import BUCKET
 
 ROW_ID, OP, VERSION, ATTEMPT = "_row_id", "_op", "version", "attempt"
@@ -118,11 +119,12 @@ class VersionedTables:
         return self.last_version(table) > offset
 
     def commit(self, batch_id: str, writes: dict, ts, offsets: dict | None = None,
-               clones: dict | None = None, fail_before_commit: bool = False, snapshots=()) -> int:
+               clones: dict | None = None, fail_before_commit: bool = False, snapshots=(), then=None) -> int:
         """Publish ``writes`` {table: change rows with _row_id and _op} as one version.
 
         A batch id already in the log makes the call a no-op (replay after a
         crash); the version's data is written first, the commit record last.
+        ``then`` gives more writes of the same commit from what those before counted, {table: {op: rows}} (G-1).
         """
         done = self.committed_batch(batch_id)
         if done is not None:
@@ -130,16 +132,25 @@ class VersionedTables:
         v = self.head() + 1
         attempt = uuid.uuid4().hex  # a failed attempt's folder is never read and never used again
         meta = []
-        for name, df in writes.items():
+        counts = {}
+
+        def write(name: str, df: DataFrame) -> None:
             path = f"{self.root}/{name}/{ATTEMPT}={attempt}/{VERSION}={v}"
-            w = df.write if BUCKET not in df.columns else df.write.partitionBy(BUCKET)
-            w.parquet(path)
-            data_schema = StructType([f for f in df.schema.fields])
+            out, seen = observed_counts(df)
+            top = Observation()
+            out = out.observe(top, F.max(F.col(ROW_ID).cast("bigint")).alias("top"))
+            (out.write if BUCKET not in df.columns else out.write.partitionBy(BUCKET)).parquet(path)
+            counts[name] = n = seen.get
             src = (clones or {}).get(name, (None, None))
-            # two columns of the new files: the feed and the next row ids need no look at older ones
-            n, ops, top = self.spark.read.schema(data_schema).parquet(path).agg(
-                F.count(F.lit(1)), F.array_join(F.array_sort(F.collect_set(OP)), ","), F.max(ROW_ID).cast("bigint")).first()
-            meta.append((name, data_schema.json(), src[0], src[1], attempt, n, ops, top))
+            # what the write itself saw: the feed and the next row ids need no look at the files
+            ops = ",".join(x for x in ("DELETE", "INSERT", "UPDATE") if n[x]) or ("" if not n["rows"] else SNAPSHOT)
+            meta.append((name, StructType(df.schema.fields).json(), src[0], src[1], attempt, n["rows"], ops, top.get["top"]))
+
+        for name, df in writes.items():
+            write(name, df)
+        for name, df in (then(counts) if then else {}).items():
+            write(name, df)
+            writes = writes | {name: df}
         for name, (parent, pv) in (clones or {}).items():
             if name not in writes:
                 schema, _ = self._table_meta(parent)
