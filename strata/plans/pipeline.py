@@ -106,7 +106,7 @@ class Pipeline:
             writes = {"bronze": self.vt.new_rows("bronze" if self._exists("bronze") else None, good,
                                                  [FILE] + list(self.cfg.tie_break) + [self.cfg.key])}
             writes["bronze_rejects"] = self.vt.new_rows(
-                "bronze_rejects" if self._exists("bronze_rejects") else None, rej, [FILE, "_corrupt_record"])
+                "bronze_rejects" if self._exists("bronze_rejects") else None, rej, [FILE, "_corrupt_record", *self.cfg.columns])  # over-width rows of a file have no raw text to order by
             return self.vt.commit(f"bronze:{batch_id}", writes, ts)
         finally:
             cl.unpersist()

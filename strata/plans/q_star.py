@@ -12,15 +12,15 @@ from ..session import scratch_path
 from ..sources.tables import write_table
 from .gold import empty_state, fact_source, load_dims, load_gold
 from .registry import query
-from .testdata import STAR_CFG, run_date, star_batches, table, ts
+from .testdata import OVERLAP_SQL, STAR_CFG, overlapping_batches, run_date, star_batches, table, ts
 
 
-def run_star(spark, sf_dir, cfg=STAR_CFG, lookups_out=False, facts=True):
+def run_star(spark, sf_dir, cfg=STAR_CFG, lookups_out=False, facts=True, batches=star_batches):
     """Two gold batches; every table of each batch is written to the shared
     folder (lineage cut, survives executor loss) before the next batch.
     Without ``facts`` only the dimensions are loaded and the fact stays empty."""
     root = scratch_path(spark, "star")
-    b1, b2 = star_batches(spark, sf_dir)
+    b1, b2 = (b.drop("batch") for b in batches(spark, sf_dir))
     state = empty_state(spark, b1.schema, cfg)
     looked = []
     for i, b in enumerate((b1, b2)):
@@ -211,3 +211,39 @@ resched AS (
 @query("fact_reschedule", f"WITH {STAR_CTE}, {RESCHEDULE_CTE} SELECT {FACT_COLS} FROM resched")
 def q_fact_reschedule(spark, sf_dir):
     return run_star(spark, sf_dir, replace(STAR_CFG, reschedule=True))["fact_flight_data"]
+
+
+# Batches that meet: the rows of STAR_CTE's ``b`` dealt anew, dimensions that change, facts that are matched by the second batch.
+OVERLAP_CTE = STAR_CTE[:STAR_CTE.index("dim_pilot AS")].replace("b AS (", "r AS (", 1) + OVERLAP_SQL + "," + STAR_CTE[STAR_CTE.index("dim_pilot AS"):STAR_CTE.index("dim_passenger AS")] + """
+v AS (SELECT passenger_id, passenger_name, account_balance, min(batch) AS fb FROM b GROUP BY passenger_id, passenger_name, account_balance),
+dim_passenger AS (SELECT CAST(row_number() OVER (ORDER BY fb, passenger_id) AS BIGINT) AS passenger_sk, passenger_id, passenger_name, account_balance, fb,
+  CASE WHEN fb = 1 THEN DATE '2024-02-01' ELSE DATE '2024-02-02' END AS effective_date,
+  CASE WHEN fb = 1 AND EXISTS (SELECT 1 FROM v w WHERE w.passenger_id = v.passenger_id AND w.fb = 2) THEN DATE '2024-02-02' END AS expiry_date FROM v),
+looked AS (
+  SELECT p.passenger_sk, a.airport_sk AS departure_airport_sk, aa.arrival_airport_sk, pi.pilot_sk, t.ticket_sk, ps.pass_status_sk, b.departure_date,
+         b.flight_status, b.passenger_id, b.batch
+  FROM b JOIN dim_passenger p ON b.passenger_id = p.passenger_id AND b.account_balance = p.account_balance
+  JOIN dim_airport a ON b.airport_name = a.airport_name JOIN dim_arrival_airport aa ON b.arrival_airport = aa.airport_code
+  JOIN dim_pilot pi ON b.pilot_name = pi.pilot_name JOIN dim_ticket_type t ON b.ticket_type = t.ticket_type
+  JOIN dim_passenger_status ps ON b.passenger_status = ps.passenger_status),
+""" + STAR_CTE[STAR_CTE.index("src AS (SELECT DISTINCT"):]
+
+
+@query("fact_merge_overlap", f"WITH {OVERLAP_CTE} SELECT {FACT_COLS} FROM fact")
+def q_fact_merge_overlap(spark, sf_dir):
+    """The literal merge when the second batch meets the first one's facts: a new status on the same date is ignored, a moved flight
+    is a second row, and new facts of a changed customer refer to the new version (Q1, D-5, D-6)."""
+    return run_star(spark, sf_dir, batches=overlapping_batches)["fact_flight_data"]
+
+
+@query("dim_scd2_changed", f"""WITH {OVERLAP_CTE}
+SELECT passenger_sk, passenger_id, passenger_name, account_balance, effective_date, expiry_date, expiry_date IS NULL AS current_flag FROM dim_passenger""")
+def q_dim_scd2_changed(spark, sf_dir):
+    """Customers whose balance changes between the batches have two versions, the first one expired."""
+    return run_star(spark, sf_dir, facts=False, batches=overlapping_batches)["dim_passenger"]
+
+
+@query("dim_scd1_changed", f"WITH {OVERLAP_CTE} SELECT airport_sk, airport_name, region_key, region_name FROM dim_airport")
+def q_dim_scd1_changed(spark, sf_dir):
+    """A region's new name is written over the old one; airports keep their keys."""
+    return run_star(spark, sf_dir, facts=False, batches=overlapping_batches)["dim_airport"]

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.merge import S, T, append, clear, update_from
 from ..operators.timetravel import restore_column, restore_rows
 from ..session import scratch_path
 from ..sources.versioned import OP, ROW_ID, VersionedTables
@@ -36,6 +37,16 @@ def q_as_of(spark, sf_dir):
     return vt.data("orders", ts=RUN_TS[2], before=True)
 
 
+@query("as_of_offset", f"""SELECT 'a day ago' AS state, {O_SQL} FROM orders WHERE o_orderstatus <> 'F'
+UNION ALL SELECT 'before that', {O_SQL} FROM orders""")
+def q_as_of_offset(spark, sf_dir):
+    """Read at an offset of seconds back from the last load, and strictly before the commit at that offset (T-1)."""
+    vt = orders_versions(spark, sf_dir)
+    ago = {"seconds_ago": 86_400, "now": RUN_TS[2]}
+    return vt.data("orders", **ago).select(F.lit("a day ago").alias("state"), *O_COLS).unionByName(
+        vt.data("orders", before=True, **ago).select(F.lit("before that").alias("state"), *O_COLS))
+
+
 @query("clone_read", f"SELECT {O_SQL} FROM orders WHERE o_orderstatus <> 'F' AND o_orderpriority <> '1-URGENT'")
 def q_clone_read(spark, sf_dir):
     """Clone at v2 (no data copied), then delete from the clone only (T-2)."""
@@ -121,3 +132,25 @@ def q_atomic_publish(spark, sf_dir):
     states = [vt.read(t).select(F.lit(t).alias("table_name"), F.col(k).cast("bigint").alias("k")) for t, k in key.items()]
     state = states[0].unionByName(states[1]).unionByName(states[2])
     return state.withColumn("rows_before_commit", F.lit(seen[0] + seen[1]))
+
+
+@query("update_from_batch", """
+WITH s AS (SELECT o_custkey, count(*) AS n, max(o_orderpriority) AS top FROM orders WHERE o_orderstatus = 'P' GROUP BY o_custkey)
+SELECT c_custkey, CASE WHEN n > 5 THEN top ELSE c_mktsegment END AS c_mktsegment, CAST(c_nationkey + CASE WHEN n > 5 THEN 100 ELSE 0 END AS INTEGER) AS c_nationkey,
+       CASE WHEN n > 5 THEN 'UPDATE' END AS _op
+FROM customer LEFT JOIN s ON c_custkey = o_custkey""")
+def q_update_from(spark, sf_dir):
+    """UPDATE ... FROM with a condition: customers of more than five open orders take a value from them (M-5, J-4)."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
+    s = table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("o_orderpriority").alias("top"))
+    return update_from(c, s, "c_custkey", {"c_mktsegment": S("top"), "c_nationkey": T("c_nationkey") + 100}, where=S("n") > 5)
+
+
+@query("buffer_reload", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00'")
+def q_buffer_reload(spark, sf_dir):
+    """The buffer of a batch is cleared and filled with the next one (M-8, M-9)."""
+    o = table(spark, sf_dir, "orders")
+    split = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
+    buffer = o.filter(F.col("o_orderdate") < split).select("o_orderkey", "o_custkey")
+    return append(clear(buffer), o.filter(F.col("o_orderdate") >= split).select("o_custkey", "o_orderkey"))

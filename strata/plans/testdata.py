@@ -89,3 +89,26 @@ def star_rows(spark: SparkSession, sf_dir: str, batch: int | None = None) -> Dat
 
 def star_batches(spark: SparkSession, sf_dir: str):
     return [star_rows(spark, sf_dir, i) for i in (1, 2)]
+
+
+def overlapping_batches(spark: SparkSession, sf_dir: str):
+    """Two batches that meet: a third of the orders are in both.  In the second, customers' balances, a region's name and the
+    status of some orders have changed, and some flights have been moved by three days."""
+    rows = star_rows(spark, sf_dir)
+    k = F.col("l_orderkey")
+    second = rows.filter(k % 3 != 1).withColumns({
+        "account_balance": F.when(F.col("passenger_id") % 5 == 0, F.col("account_balance") + 1000).otherwise(F.col("account_balance")),
+        "region_name": F.when(F.col("region_key") == 2, F.concat("region_name", F.lit("*"))).otherwise(F.col("region_name")),
+        "flight_status": F.when(k % 4 == 0, "P").otherwise(F.col("flight_status")),
+        "departure_date": F.when(k % 7 == 0, F.date_add("departure_date", 3)).otherwise(F.col("departure_date"))})
+    return [rows.filter(k % 3 != 0), second]
+
+
+#: The same as a CTE ``b`` with ``batch``; ``r`` are the rows of :func:`star_rows`.
+OVERLAP_SQL = """
+b AS (SELECT * REPLACE (1 AS batch) FROM r WHERE l_orderkey % 3 <> 0 UNION ALL
+      SELECT * REPLACE (2 AS batch, CASE WHEN passenger_id % 5 = 0 THEN account_balance + 1000 ELSE account_balance END AS account_balance,
+               CASE WHEN region_key = 2 THEN region_name || '*' ELSE region_name END AS region_name,
+               CASE WHEN l_orderkey % 4 = 0 THEN 'P' ELSE flight_status END AS flight_status,
+               CASE WHEN l_orderkey % 7 = 0 THEN CAST(departure_date + INTERVAL 3 DAY AS DATE) ELSE departure_date END AS departure_date)
+      FROM r WHERE l_orderkey % 3 <> 1)"""

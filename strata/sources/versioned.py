@@ -208,8 +208,11 @@ class VersionedTables:
         return self.commit(batch_id, {table: cur}, ts, snapshots=(table,))
 
     def read(self, table: str, version: int | None = None, ts=None, before: bool = False,
-             keep_meta: bool = False) -> DataFrame:
-        """State of ``table`` as of a version or a commit time (T-1)."""
+             keep_meta: bool = False, seconds_ago: float | None = None, now=None) -> DataFrame:
+        """State of ``table`` as of a version, a commit time or an offset in seconds back from ``now`` (default: the clock) (T-1)."""
+        if seconds_ago is not None:
+            at = dt.datetime.now(dt.UTC).replace(tzinfo=None) if now is None else dt.datetime.fromisoformat(str(now))
+            ts = at - dt.timedelta(seconds=seconds_ago)
         if ts is not None:
             version = self.version_at(ts, before)
         lg = self.log(table, version)
@@ -218,9 +221,9 @@ class VersionedTables:
         cur = cur.filter(F.col(OP) != "DELETE")
         return cur if keep_meta else cur.drop(OP, VERSION)
 
-    def data(self, table: str, version: int | None = None, ts=None, before: bool = False) -> DataFrame:
+    def data(self, table: str, version: int | None = None, ts=None, before: bool = False, **offset) -> DataFrame:
         """As :meth:`read` without the row id and the bucket."""
-        return self.read(table, version, ts, before).drop(ROW_ID, BUCKET)
+        return self.read(table, version, ts, before, **offset).drop(ROW_ID, BUCKET)
 
     def changes(self, table: str, from_version: int, to_version: int | None = None) -> DataFrame:
         """Net change feed of ``table`` between two versions (B-1), keyed by row id.

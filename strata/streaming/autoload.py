@@ -46,11 +46,12 @@ def run_available(spark: SparkSession, landing: str, checkpoint: str, columns, o
     return q
 
 
-def stream_to_bronze(spark, landing, checkpoint, columns, bronze_path, run_ts, widths=None):
+def stream_to_bronze(spark, landing, checkpoint, columns, bronze_path, run_ts, widths=None, multi_line: bool = True):
     """Load-once ingest into a bronze Parquet table partitioned by batch id.
 
     Each micro-batch overwrites only its own ``batch=N`` directory, so a replay
-    rewrites the same rows instead of appending them twice.
+    rewrites the same rows instead of appending them twice.  Without line breaks
+    in cells, ``multi_line=False`` lets a large file be read by many tasks.
     """
     from ..sources.csv import classify, stamp
 
@@ -58,4 +59,4 @@ def stream_to_bronze(spark, landing, checkpoint, columns, bronze_path, run_ts, w
         out = stamp(classify(df, widths), F.lit(run_ts).cast("timestamp_ntz"))
         out.write.mode("overwrite").parquet(f"{bronze_path}/batch={batch_id}")
 
-    return run_available(spark, landing, checkpoint, columns, sink)
+    return run_available(spark, landing, checkpoint, columns, sink, multi_line)
