@@ -31,11 +31,13 @@ class Buckets:
     keys: tuple
     n: int = 64
 
+    def of_keys(self) -> Column:
+        """The bucket in which a row with these keys, none of them null, lies."""
+        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.n)).cast("int")
+
     def add(self, df: DataFrame) -> DataFrame:
-        rest = [F.col(c) for c in df.columns if c != BUCKET]
-        keys = [F.col(k) for k in self.keys]
-        h = F.when(_any_null(self.keys), F.xxhash64(*rest)).otherwise(F.xxhash64(*keys))
-        return df.withColumn(BUCKET, F.pmod(h, F.lit(self.n)).cast("int"))
+        rest = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if c != BUCKET]), F.lit(self.n)).cast("int")
+        return df.withColumn(BUCKET, F.when(_any_null(self.keys), rest).otherwise(self.of_keys()))
 
     def write(self, df: DataFrame, path: str) -> DataFrame:
         """``df`` as a table in buckets, each written by one task, in up to 8 parts."""
@@ -59,7 +61,8 @@ def matched_rows(target: DataFrame, source: DataFrame, on, *, buckets: Buckets |
     upd, _ = assignments(target, source, on, update, None, set_on_update, None)
     types = {f.name: f.dataType for f in target.schema.fields}
     source = _typed(source, target, on)
-    t, s = _prefixed(target, "t", IN_T), _prefixed(source if buckets is None else buckets.add(source), "s", IN_S)
+    # by the keys alone: a filter on an expression over all columns would have its constraints copied for every alias of each of them
+    t, s = _prefixed(target, "t", IN_T), _prefixed(source if buckets is None else source.withColumn(BUCKET, buckets.of_keys()), "s", IN_S)
     cond = reduce(lambda a, b: a & b, [T(k) == S(k) for k in on])
     if buckets is not None:
         s = s.filter(S(BUCKET).between(0, buckets.n - 1))  # always true; a side without any condition prunes nothing

@@ -84,3 +84,13 @@ def leaves(p):
     if name == "FileSourceScanExec":
         return [p]
     return [x for i in range(p.children().size()) for x in leaves(p.children().apply(i))]
+
+
+def test_wide_tables_plan_quickly(spark):
+    import time
+    cols = [f"c{i}" for i in range(40)]
+    t = spark.range(3).select(F.col("id").cast("string").alias("k"), *[F.lit("x").alias(c) for c in cols])
+    b = Buckets(("k",), 8)
+    start = time.time()
+    matched_rows(b.add(t), t, "k", buckets=b, source_unique=True)._jdf.queryExecution().optimizedPlan()
+    assert time.time() - start < 20
