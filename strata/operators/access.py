@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Roles the original row access policy lets see every row.
@@ -51,3 +51,37 @@ def layer_access(df: DataFrame, role: str, layer: str, grants: DataFrame, role_c
     g = (grants.filter((F.col(role_col) == role) & (F.col(table_col) == layer))
          .select(F.col(table_col).alias("__layer")).distinct())
     return df.withColumn("__layer", F.lit(layer)).join(g, "__layer", "left_semi").drop("__layer")
+
+
+ROLE_VARIABLE = "strata_role"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def create_policy(spark: SparkSession, name: str, allowed=POLICY_ROLES, key_type: str = "string") -> None:
+    """The row access policy as a SQL function ``name(key, role)``, which the optimizer inlines where it is called (G-7).
+
+    As in the original, the key is an argument that the rule doesn't use: views pass it, so that a policy that does can take its place.
+    """
+    roles = ", ".join(_text(r) for r in allowed)
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(key {key_type}, role STRING) RETURNS BOOLEAN RETURN CASE WHEN role IN ({roles}) THEN TRUE ELSE FALSE END")
+
+
+def use_role(spark: SparkSession, role: str) -> None:
+    """Sets the session's role, a SQL variable; views with a policy show what this role may see from now on."""
+    spark.sql(f"DECLARE OR REPLACE VARIABLE {ROLE_VARIABLE} STRING DEFAULT {_text(role)}")
+
+
+def secure_view(spark: SparkSession, name: str, rows: DataFrame, policy: str, key: str) -> None:
+    """Registers ``rows`` as the view ``name`` with the policy attached: whoever reads the view, in SQL or as a table, reads it
+    through the policy under the role of :func:`use_role` (D-8, G-7).  For a role without access the plan is an empty scan."""
+    rows.createOrReplaceTempView(f"{name}_unfiltered")
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} AS SELECT * FROM {name}_unfiltered WHERE {policy}(`{key}`, {ROLE_VARIABLE})")
+
+
+def read_as(spark: SparkSession, view: str, role: str) -> DataFrame:
+    """The view as ``role`` sees it; the role is part of the plan from here on, whatever role the session takes later."""
+    use_role(spark, role)
+    return spark.table(view)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.access import create_policy, read_as, secure_view, use_role
 from ..operators.cdc import diff_snapshots
 from ..operators.late import apply_changes
-from ..operators.reports import ReportJoin, report_changes, report_table
+from ..operators.reports import ReportJoin, report_changes, report_table, status_report
 from ..session import scratch_path
 from ..sources.tables import write_table
 from .registry import query
@@ -86,3 +87,21 @@ def q_report_changes(spark, sf_dir):
     """The second batch's changes: rows that enter, leave or look different, and no others."""
     _, changes = kept_report(spark, sf_dir)
     return changes.select("o_orderkey", "_op")
+
+
+@query("secure_report", REPORT_SQL + """
+SELECT 'AIRLINE_ROLE' AS seen_by, departure_airport, passenger_name, o_orderkey, o_custkey FROM r WHERE batch = 1
+UNION ALL SELECT 'DATA_ANALYST (urgent)', departure_airport, passenger_name, o_orderkey, o_custkey FROM r WHERE batch = 1 AND arrival_airport = 'BUILDING'""")
+def q_secure_report(spark, sf_dir):
+    """The report as a view with the row policy attached, read under two roles that may see it and one that may not (G-7, D-8)."""
+    fact, n, c = sources(spark, sf_dir, 1)
+    use_role(spark, "PUBLIC")
+    create_policy(spark, "delayed_report_policy", key_type="bigint")
+    report = status_report(fact, "P", report_joins(n, c), status_col="o_orderstatus", fact_cols=["o_orderkey", "o_custkey"])
+    secure_view(spark, "delayed_report", report, "delayed_report_policy", "o_custkey")
+    cols = ["departure_airport", "passenger_name", "o_orderkey", "o_custkey"]
+    seen = [read_as(spark, "delayed_report", role).select(F.lit(role).alias("seen_by"), *cols) for role in ("AIRLINE_ROLE", "PUBLIC")]
+    use_role(spark, "DATA_ANALYST")
+    analyst = spark.sql("SELECT 'DATA_ANALYST (urgent)' AS seen_by, departure_airport, passenger_name, o_orderkey, o_custkey FROM delayed_report WHERE arrival_airport = 'BUILDING'")
+    use_role(spark, "PUBLIC")
+    return seen[0].unionByName(seen[1]).unionByName(analyst)

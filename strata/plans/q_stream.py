@@ -36,6 +36,21 @@ def q_stream_load_once(spark, sf_dir):
     return spark.read.parquet(bronze).select("c_custkey", "_reject_reason", "_corrupt_record", "batch", "_ingested_at")
 
 
+@query("stream_redelivered", LINE_SQL + """
+SELECT CAST(k AS VARCHAR) AS c_custkey, reason AS _reject_reason, raw AS _corrupt_record,
+       CASE WHEN c_nationkey < 13 THEN TIMESTAMP '2024-02-01 00:00:00' ELSE TIMESTAMP '2024-02-02 00:00:00' END AS _ingested_at
+FROM r""")
+def q_stream_redelivered(spark, sf_dir):
+    """The second arrival brings the first one's files again under new names, the third all of them: known by content, no row loads twice."""
+    landing, ckpt, bronze = (scratch_path(spark, n) for n in ("landing", "ckpt", "bronze"))
+    first, rest = F.col("file_no") < 13, F.col("file_no") >= 13
+    for i, arrival in enumerate(([first], [rest, first], [first, rest])):
+        for files in arrival:
+            write_csv_files(spark, sf_dir, landing, files)
+        stream_to_bronze(spark, landing, ckpt, COLUMNS, bronze, RUN_TS[i], WIDTHS, by_content=True)
+    return spark.read.parquet(bronze).select("c_custkey", "_reject_reason", "_corrupt_record", "_ingested_at")
+
+
 def airline_lines(spark, sf_dir, batch):
     """The star rows of one batch as files in the 18-column airline layout."""
     r = star_rows(spark, sf_dir, batch)

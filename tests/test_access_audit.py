@@ -32,3 +32,18 @@ def test_failure_is_audited_then_reraised(spark):
     assert [(r.status, r.affected_rows, r.error_message) for r in log] == [("FAILED", 0, "ValueError: bad batch")]
     counts = spark.createDataFrame([(3,)], "affected bigint")
     assert audit_success(counts, "p", "u", "2024-01-01 00:00:00").first().message == "SUCCESS | Rows merged: 3"
+
+
+def test_view_with_a_policy(spark):
+    from strata.operators.access import create_policy, read_as, secure_view, use_role
+    from test_plans import plan
+    use_role(spark, "PUBLIC")
+    create_policy(spark, "test_policy", allowed=("O'Brien", "back\\slash"), key_type="bigint")
+    secure_view(spark, "test_secure", spark.range(5).withColumnRenamed("id", "passenger_id"), "test_policy", "passenger_id")
+    assert spark.table("test_secure").count() == 0
+    seen = read_as(spark, "test_secure", "O'Brien")
+    assert seen.count() == 5 and read_as(spark, "test_secure", "back\\slash").count() == 5
+    denied = read_as(spark, "test_secure", "o'brien")
+    assert denied.count() == 0 and seen.count() == 5  # a plan keeps the role it was made under
+    assert "LocalTableScan <empty>" in plan(denied) and "test_policy" not in plan(seen)  # inlined
+    assert spark.sql("SELECT count(*) AS n FROM test_secure").first()["n"] == 0
