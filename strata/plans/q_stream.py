@@ -10,11 +10,13 @@ from ..operators.dims import scd1
 from ..session import scratch_path
 from ..sources.versioned import OP, ROW_ID, VersionedTables
 from ..streaming.autoload import run_available, stream_to_bronze
+from ..streaming.upsert import current_rows, state_store, upsert_stream
 from .pipeline import AIRLINE_COLUMNS, Pipeline, PipelineConfig
 from .q_ingest import COLUMNS, LINE_SQL, WIDTHS, write_csv_files
+from .q_silver import event_batches
 from .q_star import STAR_CTE
-from .registry import query
-from .testdata import RUN_DATE, RUN_TS, star_rows, table
+from .registry import ORACLES, query
+from .testdata import RUN_DATE, RUN_TS, star_rows, table, ts
 
 AMBIGUOUS = "AmbiguousMergeError"  # how unique_source begins its message
 
@@ -51,6 +53,19 @@ def q_stream_redelivered(spark, sf_dir):
     return spark.read.parquet(bronze).select("c_custkey", "_reject_reason", "_corrupt_record", "_ingested_at")
 
 
+@query("stream_upsert", ORACLES["upsert_latest"])
+def q_stream_upsert(spark, sf_dir):
+    """The two silver loads as a stream with keyed state; the second run starts from the checkpoint of the first."""
+    landing, ckpt, path = (scratch_path(spark, n) for n in ("events", "ckpt", "silver"))
+    with state_store(spark):
+        for batch in event_batches(spark, sf_dir):
+            batch.write.mode("append").parquet(landing)
+            stream = spark.readStream.schema(batch.schema).parquet(landing)
+            upsert_stream(stream, "user_id", "ts", ["event_id"], path, ckpt, lambda i: ts(i))
+    changes = spark.read.parquet(path)
+    return current_rows(changes, "user_id").select("user_id", "event_id", "ts", "event_type", "value", "_last_updated")
+
+
 def airline_lines(spark, sf_dir, batch):
     """The star rows of one batch as files in the 18-column airline layout."""
     r = star_rows(spark, sf_dir, batch)
