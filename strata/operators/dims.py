@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.rows import row_changed
+from ..session import scratch_path
+from ..sources.tables import write_table
 from .keys import assign_keys, max_key
-from .merge import IN_S, IN_T, OP, S, T, align, merge
+from .merge import OP, S
+from .touched import merge_touched
 
 
 def _list(x):
@@ -49,12 +52,23 @@ def empty_dim(spark, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def apply_changes(table: DataFrame, changes: DataFrame, on) -> DataFrame:
+    """``table`` with change rows (``_op``) laid over it by the identifying columns ``on``."""
+    rest = table.join(changes.select(*_list(on)), _list(on), "left_anti").select(*table.columns)
+    return rest.unionByName(changes.filter(F.col(OP) != "DELETE").select(*table.columns))
+
+
+def _first_key(dim: DataFrame, sk_col: str, start: int | None) -> int:
+    return max_key(dim, sk_col) if start is None else start
+
+
 def lookup_dim(dim: DataFrame, values: DataFrame, key, sk_col: str, null_keys: str = "literal",
-               changes_only: bool = False) -> DataFrame:
+               changes_only: bool = False, start: int | None = None) -> DataFrame:
     """Insert-only dimension (D-2 = W-2 -> M-3 -> D-4): new distinct values get new keys.
 
     ``changes_only`` returns just the new rows with ``_op`` (what a versioned
-    table appends) instead of the whole new dimension.
+    table appends) instead of the whole new dimension.  ``start`` is the largest key
+    so far where the caller knows it; else the dimension is asked.
 
     ``null_keys='literal'`` inserts a null value again on every call (a null
     never matches, as in SQL); ``'reject'`` leaves null values out.
@@ -65,41 +79,39 @@ def lookup_dim(dim: DataFrame, values: DataFrame, key, sk_col: str, null_keys: s
         src = _drop_null_keys(src, key)
     # the dimension is a written table: the planner's file statistics decide on broadcast
     new = src.join(dim.select(*key), key, "left_anti")
-    keyed = assign_keys(new, sk_col, key, start=max_key(dim, sk_col))
+    keyed = assign_keys(new, sk_col, key, start=_first_key(dim, sk_col, start))
     if changes_only:
         return keyed.select(*dim.columns).withColumn(OP, F.lit("INSERT"))
     return dim.unionByName(keyed.select(*dim.columns))
 
 
 def scd1(dim: DataFrame, batch: DataFrame, key, attrs, sk_col: str, null_keys: str = "literal",
-         on_conflict: str = "raise", changes_only: bool = False) -> DataFrame:
+         on_conflict: str = "raise", changes_only: bool = False, start: int | None = None) -> DataFrame:
     """Type-1 dimension (D-1 = W-3 -> M-1 -> D-4): attributes are overwritten in place.
 
     Two attribute sets for one key in a batch raise (``on_conflict='raise'``)
     before anything is written; ``'first'`` keeps the smallest attribute set.
+    The batch's rows and those they match are written once; ``changes_only`` returns the touched rows with ``_op``.
     """
     key, attrs = _list(key), _list(attrs)
     if null_keys == "reject":
         batch = _drop_null_keys(batch, key)
     if on_conflict == "raise":
-        src = unique_source(batch, key, attrs, "scd1").persist()
+        src = unique_source(batch, key, attrs, "scd1")
     else:  # 'first': the smallest attribute set wins
         src = (batch.groupBy(*key).agg(F.min(F.struct(*attrs)).alias("__lo"))
                .select(*key, *[F.col(f"__lo.{a}").alias(a) for a in attrs]))
-    merged = merge(dim, src, key, update={a: S(a) for a in attrs}, insert="all",
-                   check_unique=False, source_unique=True)
-    kept = merged.filter(F.col(OP).isNull() | (F.col(OP) != "INSERT")).drop(OP)
-    new = merged.filter(F.col(OP) == "INSERT").drop(OP, sk_col)
-    keyed = assign_keys(new, sk_col, key, start=max_key(dim, sk_col))
-    if changes_only:
-        upd = merged.filter(F.col(OP) == "UPDATE")
-        return upd.unionByName(keyed.select(*dim.columns).withColumn(OP, F.lit("INSERT")))
-    return kept.unionByName(keyed.select(*dim.columns))
+    src = write_table(src, scratch_path(dim.sparkSession, "scd1-batch"))
+    touched = merge_touched(dim, src, key, update={a: S(a) for a in attrs}, source_unique=True)
+    new = touched.filter(F.col(OP) == "INSERT").drop(OP, sk_col)
+    keyed = assign_keys(new, sk_col, key, start=_first_key(dim, sk_col, start))
+    changes = touched.filter(F.col(OP) == "UPDATE").unionByName(keyed.select(*dim.columns).withColumn(OP, F.lit("INSERT")))
+    return changes if changes_only else apply_changes(dim, changes, sk_col)
 
 
 def scd2(dim: DataFrame, batch: DataFrame, key, tracked, run_date, sk_col: str,
          effective: str = "effective_date", expiry: str = "expiry_date", current: str = "current_flag",
-         null_keys: str = "literal", changes_only: bool = False) -> DataFrame:
+         null_keys: str = "literal", changes_only: bool = False, start: int | None = None) -> DataFrame:
     """Type-2 dimension (D-3), one batch at ``run_date``.
 
     1. expire: the current row of a key whose tracked columns differ (null-safe)
@@ -107,37 +119,31 @@ def scd2(dim: DataFrame, batch: DataFrame, key, tracked, run_date, sk_col: str,
     2. insert: batch rows with no current row, or a changed one, start at
        ``run_date`` with ``expiry = null`` and ``current = true``.
     Intervals are half-open: the old expiry equals the new effective date.
+    The current rows that the batch meets are joined and written once; both steps read them.
+    ``changes_only`` returns the touched rows with ``_op``.
     """
     key, tracked = _list(key), _list(tracked)
     rd = run_date if isinstance(run_date, Column) else F.lit(run_date).cast("date")
     if null_keys == "reject":
         batch = _drop_null_keys(batch, key)
-    src = unique_source(batch, key, tracked, "scd2").persist()  # one batch's rows: bounded by the batch
-    is_cur = F.coalesce(F.col(current), F.lit(False))
-    hist = dim.filter(~is_cur)
-    cur = dim.filter(is_cur)
-    j = align(cur, src, key)
-    in_t, in_s = F.col(IN_T).isNotNull(), F.col(IN_S).isNotNull()
-    changed = in_t & in_s & row_changed([T(c) for c in tracked], [S(c) for c in tracked])
-    old = j.filter(in_t).select(*[
-        (F.when(changed, rd).otherwise(T(c)) if c == expiry else
-         F.when(changed, F.lit(False)).otherwise(T(c)) if c == current else T(c)).alias(c)
-        for c in dim.columns])
-    new = j.filter(in_s & (~in_t | changed)).select(*[S(c).alias(c) for c in key + tracked])
-    keyed = assign_keys(new, sk_col, key, start=max_key(dim, sk_col))
+    spark = dim.sparkSession
+    src = write_table(unique_source(batch, key, tracked, "scd2"), scratch_path(spark, "scd2-batch"))
+    types = {f.name: f.dataType for f in dim.schema.fields}
+    typed = [F.col(c).cast(types[c]).alias(c) for c in dim.columns]
+    told = src.select(*key, F.struct(*tracked).alias("__new"))
+    met = dim.filter(F.coalesce(F.col(current), F.lit(False))).join(told, key, "inner")
+    changed = row_changed(tracked, [F.col(f"__new.{c}") for c in tracked])
+    met = write_table(met.select(*dim.columns, changed.alias("__changed")), scratch_path(spark, "scd2-met"))
+    expired = met.filter("__changed").select(*[(rd if c == expiry else F.lit(False) if c == current else F.col(c)).alias(c) for c in dim.columns])
+    new = src.join(met.filter("not __changed").select(*key).distinct(), key, "left_anti")
+    keyed = assign_keys(new, sk_col, key, start=_first_key(dim, sk_col, start))
     keyed = keyed.select(*[
         (rd.alias(c) if c == effective else
          F.lit(None).cast("date").alias(c) if c == expiry else
          F.lit(True).alias(c) if c == current else F.col(c)) for c in dim.columns])
-    types = {f.name: f.dataType for f in dim.schema.fields}
-    typed = [F.col(c).cast(types[c]).alias(c) for c in dim.columns]
-    if changes_only:
-        expired = j.filter(changed).select(*[
-            (rd.alias(c) if c == expiry else F.lit(False).alias(c) if c == current else T(c).alias(c))
-            for c in dim.columns])
-        return (expired.select(*typed).withColumn(OP, F.lit("UPDATE"))
-                .unionByName(keyed.select(*typed).withColumn(OP, F.lit("INSERT"))))
-    return (hist.unionByName(old).unionByName(keyed).select(*typed))
+    changes = (expired.select(*typed).withColumn(OP, F.lit("UPDATE"))
+               .unionByName(keyed.select(*typed).withColumn(OP, F.lit("INSERT"))))
+    return changes if changes_only else apply_changes(dim, changes, sk_col)
 
 
 def scd2_from_history(log: DataFrame, key, tracked, order_by: str, tie_break, period: Column | None = None,

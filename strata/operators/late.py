@@ -9,7 +9,7 @@ versions      the coalesced history: neighbouring observations with equal values
               surrogate key that a version keeps as long as there is one that starts where it started.
 
 A batch costs the histories of the keys that it touches.  Both results are change rows (``_op``), which
-:func:`apply_changes` lays over the tables.
+``apply_changes`` lays over the tables.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import write_table
-from .dims import _list, coalesce_periods
+from .dims import _list, apply_changes, coalesce_periods
 from .keys import assign_keys, max_key
 from .latest import latest_per_key
 from .merge import OP
@@ -47,12 +47,6 @@ def split_by(obs: DataFrame, new: DataFrame, key, effective: str = "effective_da
     return kept.select(*new.columns, F.when(F.col("__there"), F.lit("UPDATE")).otherwise(F.lit("INSERT")).alias(OP))
 
 
-def apply_changes(table: DataFrame, changes: DataFrame, on) -> DataFrame:
-    """``table`` with the change rows laid over it by ``on``."""
-    rest = table.join(changes.select(*_list(on)), _list(on), "left_anti").select(*table.columns)
-    return rest.unionByName(changes.filter(F.col(OP) != "DELETE").select(*table.columns))
-
-
 def scd2_late(dim: DataFrame, obs: DataFrame, batch: DataFrame, key, tracked, order_by: str, tie_break, sk_col: str, *, period: Column | None = None,
               effective: str = "effective_date", expiry: str = "expiry_date", current: str = "current_flag") -> tuple[DataFrame, DataFrame]:
     """(changes of ``dim``, changes of ``obs``) that a batch of any period makes; both hold rows of touched keys only.

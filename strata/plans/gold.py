@@ -69,28 +69,31 @@ def empty_state(spark, batch_schema, cfg: StarConfig) -> dict:
 
 
 def load_dims(state: dict, batch: DataFrame, cfg: StarConfig, run_date,
-              root: str | None = None, changes_only: bool = False) -> dict:
+              root: str | None = None, changes_only: bool = False, starts: dict | None = None) -> dict:
     """The six dimension loads of one batch.
 
     They do not depend on one another, so they run as concurrent Spark jobs
     from driver threads; with ``root`` each new dimension is also written there
     (and read back) before the fact looks keys up in it.  ``changes_only``
     returns each dimension's changed rows with ``_op`` instead of its new state.
+    ``starts`` are the largest keys so far by dimension, where they are known.
     """
     arr = batch.select(F.col(cfg.arrival_key).alias("airport_code"))
-    kw = {"null_keys": cfg.null_keys, "changes_only": changes_only}
+    def kw(name):
+        return {"null_keys": cfg.null_keys, "changes_only": changes_only, "start": (starts or {}).get(name)}
+
     tasks = {
         "dim_airport": lambda: scd1(state["dim_airport"], batch, cfg.airport_key, cfg.airport_attrs,
-                                    SK["airport"], **kw),
+                                    SK["airport"], **kw("dim_airport")),
         "dim_arrival_airport": lambda: lookup_dim(state["dim_arrival_airport"], arr, "airport_code",
-                                                  SK["arrival"], **kw),
+                                                  SK["arrival"], **kw("dim_arrival_airport")),
         "dim_passenger": lambda: scd2(state["dim_passenger"], batch, cfg.passenger_key, cfg.passenger_attrs,
-                                      run_date, SK["passenger"], **kw),
+                                      run_date, SK["passenger"], **kw("dim_passenger")),
     }
     for name, key, sk in (("dim_pilot", cfg.pilot_key, SK["pilot"]),
                           ("dim_ticket_type", cfg.ticket_key, SK["ticket"]),
                           ("dim_passenger_status", cfg.status_key, SK["status"])):
-        tasks[name] = (lambda name=name, key=key, sk=sk: lookup_dim(state[name], batch, key, sk, **kw))
+        tasks[name] = (lambda name=name, key=key, sk=sk: lookup_dim(state[name], batch, key, sk, **kw(name)))
     if root is not None:
         tasks = {k: (lambda k=k, f=f: write_table(f(), f"{root}/{k}")) for k, f in tasks.items()}
     s = dict(state)

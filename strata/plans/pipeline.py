@@ -58,7 +58,6 @@ class PipelineConfig:
     run_by: str = "etl_user"
     skip_unchanged: bool = False       # literal: a matched row is rewritten even when equal (Q13)
     buckets: int = 16                  # folders of silver and the fact by a hash of the key; a batch reads those it touches
-    release_cache: bool = True         # drop the batch's cached frames once it is published
 
 
 class Pipeline:
@@ -195,7 +194,9 @@ class Pipeline:
                 state = self._gold_state(batch.schema)
                 rd = F.lit(run_date).cast("date")
                 dims = {k: v for k, v in state.items() if k.startswith("dim_")}
-                changed = load_dims(dims, batch, sc, rd, changes_only=True)
+                # a dimension's row id is its key, so the log knows the largest
+                starts = {k: self.vt.max_row_id(k) if self._exists(k) else 0 for k in dims}
+                changed = load_dims(dims, batch, sc, rd, changes_only=True, starts=starts)
                 # fixed before the fact reads them (checkpoint in the shared folder)
                 dim_changes = run_concurrently({k: (lambda v=v: v.checkpoint(eager=True))
                                                 for k, v in changed.items() if k.startswith("dim_")})
@@ -232,13 +233,9 @@ class Pipeline:
 
     def run_batch(self, raw: DataFrame, batch_id: str, ts, run_date):
         """Bronze, silver, gold in order for one arrival of files."""
-        try:
-            self.load_bronze(raw, batch_id, ts)
-            self.load_silver(batch_id, ts)
-            self.load_gold(batch_id, ts, run_date)
-        finally:
-            if self.cfg.release_cache:  # batch-bounded caches of the operators: nothing outlives the batch
-                self.spark.catalog.clearCache()
+        self.load_bronze(raw, batch_id, ts)
+        self.load_silver(batch_id, ts)
+        self.load_gold(batch_id, ts, run_date)
 
     def audit_log(self) -> DataFrame:
         if not self._exists("audit_log"):

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.dims import scd2_from_history
+from ..operators.dims import apply_changes, scd2_from_history
 from ..operators.fact import Lookup, star_lookup
 from ..operators.keys import assign_keys
-from ..operators.late import SEEN, apply_changes, scd2_late
+from ..operators.late import SEEN, scd2_late
 from ..session import scratch_path
 from ..sources.tables import write_table
 from .q_dims import banded, scd2_batches

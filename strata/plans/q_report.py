@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators.access import create_policy, read_as, secure_view, use_role
 from ..operators.cdc import diff_snapshots
-from ..operators.late import apply_changes
+from ..operators.dims import apply_changes
 from ..operators.reports import ReportJoin, report_changes, report_table, status_report
 from ..session import scratch_path
 from ..sources.tables import write_table

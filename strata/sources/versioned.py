@@ -235,10 +235,13 @@ class VersionedTables:
             new = self._scan(table, from_version + 1, hi, with_base=False).filter(F.col(OP) == "INSERT")
             return new.drop(OP, VERSION).withColumns({ACTION: F.lit("INSERT"), IS_UPDATE: F.lit(False)})
         lg = self._scan(table, from_version + 1, hi, with_base=False).filter(F.col(OP) != SNAPSHOT)
-        touched = lg.select(ROW_ID).distinct()
+        row = [c for c in (BUCKET, ROW_ID) if c in lg.columns]
+        touched = lg.select(*row).distinct()
+        if BUCKET in row:  # always true; a side without any condition prunes no folders of the other
+            touched = touched.filter(F.col(BUCKET) >= 0)
         last = latest_per_key(lg, ROW_ID, VERSION, [OP])
         after = last.filter(F.col(OP) != "DELETE").drop(OP, VERSION)
-        before = self.read(table, from_version).join(touched, ROW_ID, "left_semi")
+        before = self.read(table, from_version).join(touched, row, "left_semi").select(*after.columns)
         return diff_snapshots(before, after, ROW_ID)
 
     # ---- DML that returns the change rows to commit -----------------------

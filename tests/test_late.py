@@ -6,8 +6,8 @@ import random
 import pytest
 
 from conftest import rows
-from strata.operators.dims import scd2_from_history
-from strata.operators.late import SEEN, apply_changes, scd2_late
+from strata.operators.dims import apply_changes, scd2_from_history
+from strata.operators.late import SEEN, scd2_late
 
 LOG = "k bigint, v string, w int, ts timestamp_ntz, id bigint"
 

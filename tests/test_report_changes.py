@@ -4,7 +4,7 @@ import random
 
 from conftest import rows
 from strata.operators.cdc import diff_snapshots
-from strata.operators.late import apply_changes
+from strata.operators.dims import apply_changes
 from strata.operators.reports import ReportJoin, report_changes, report_table
 from test_plans import plan
 
