@@ -17,13 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType, TimestampNTZType
 
 from ..functions.casts import try_cast_date, try_cast_int
-from ..operators.access import LAYER_GRANTS, grants_frame, layer_access, row_access
+from ..operators.access import LAYER_GRANTS, create_policy, grants_frame, layer_access, row_access, secure_view, use_role
 from ..operators.audit import AUDIT_SCHEMA, audit_failure, audit_success
 from ..operators.cdc import after_images
 from ..functions.rows import row_changed
 from ..operators.fact import fact_merge
 from ..operators.keys import assign_keys
 from ..operators.latest import latest_per_key
+from ..operators.reports import ReportJoin, status_report
 from ..operators.merge import OP, S, T
 from ..operators.touched import BUCKET, Buckets, merge_touched
 from ..sources.csv import FILE, classify, good_rows, reject_rows, shape_raw, stamp
@@ -237,6 +238,21 @@ class Pipeline:
         self.load_silver(batch_id, ts)
         self.load_gold(batch_id, ts, run_date)
 
+    def report(self, status: str = "Delayed") -> DataFrame:
+        """The status report (D-8) over the pipeline's own tables, each key joined to its own dimension."""
+        sc = self.cfg.star
+        joins = [ReportJoin(self.vt.data("dim_airport"), "airport_sk", "departure_airport_sk",
+                            {sc.airport_key: "departure_airport", **({"country_name": "country_name"} if "country_name" in sc.airport_attrs else {})}),
+                 ReportJoin(self.vt.data("dim_arrival_airport"), "arrival_airport_sk", "arrival_airport_sk", {"airport_code": "arrival_airport"})]
+        return status_report(self.vt.data("fact_flight_data"), status, joins, status_col=sc.flight_status,
+                             fact_cols=[sc.passenger_key, "ticket_sk", "original_departure_date", "current_departure_date"])
+
+    def secure_report(self, name: str, status: str = "Delayed") -> None:
+        """Registers :meth:`report` as the view ``name`` with the row policy attached (G-7); see ``access.read_as``."""
+        use_role(self.spark, "PUBLIC")
+        create_policy(self.spark, f"{name}_policy")
+        secure_view(self.spark, name, self.report(status), f"{name}_policy", self.cfg.star.passenger_key)
+
     def audit_log(self) -> DataFrame:
         if not self._exists("audit_log"):
             return self.spark.createDataFrame([], AUDIT_SCHEMA)

@@ -89,7 +89,7 @@ class VersionedTables:
         if not es:
             raise KeyError(f"no committed table {table!r} under {self.root}")
         clone = next((e for e in es if e["clone_of"] is not None), None)
-        src = (clone["clone_of"], clone["clone_version"]) if clone else (None, None)
+        src = (clone["clone_of"], clone["clone_version"], clone[VERSION]) if clone else (None, None, 0)
         return StructType.fromJson(json.loads(es[-1]["schema_json"])), src
 
     def committed_batch(self, batch_id: str):
@@ -178,14 +178,14 @@ class VersionedTables:
 
     def _scan(self, table: str, lo: int, hi: int, with_base: bool = True) -> DataFrame:
         """Committed change rows of versions lo..hi (partition pruning on ``version``)."""
-        schema, (parent, pv) = self._table_meta(table)
+        schema, (parent, pv, since) = self._table_meta(table)
         full = StructType(schema.fields + [StructField(VERSION, IntegerType())])
         # only the folders that the log names: what a failed batch left behind is never part of a table
         paths = [f"{self.root}/{table}/{ATTEMPT}={e[ATTEMPT]}/{VERSION}={e[VERSION]}" for e in self._of(table)
                  if e[ATTEMPT] and lo <= e[VERSION] <= hi]
         own = (self.spark.read.schema(full).option("basePath", f"{self.root}/{table}").parquet(*paths).select(*full.names)
                if paths else self.spark.createDataFrame([], full))
-        if parent is not None and with_base:
+        if parent is not None and with_base and hi >= since:  # before its own first version a clone is empty
             # the parent's state at the clone version, as version 0 (no data copied)
             base = self.read(parent, pv, keep_meta=True).withColumn(VERSION, F.lit(0))
             own = base.unionByName(own)
@@ -229,8 +229,11 @@ class VersionedTables:
         """Net change feed of ``table`` between two versions (B-1), keyed by row id.
 
         Where the log says that the versions in between only inserted, their files are the feed; only
-        updates and deletes need the images before them."""
+        updates and deletes need the images before them.  To a consumer from before a clone was made, all its rows are new."""
         hi = self.head() if to_version is None else min(to_version, self.head())
+        _, (parent, _, since) = self._table_meta(table)
+        if parent is not None and from_version < since <= hi:
+            return self.read(table, hi).withColumns({ACTION: F.lit("INSERT"), IS_UPDATE: F.lit(False)})
         if all(e["ops"] in ("", "INSERT", SNAPSHOT) for e in self._of(table) if from_version < e[VERSION] <= hi):
             new = self._scan(table, from_version + 1, hi, with_base=False).filter(F.col(OP) == "INSERT")
             return new.drop(OP, VERSION).withColumns({ACTION: F.lit("INSERT"), IS_UPDATE: F.lit(False)})

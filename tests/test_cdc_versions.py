@@ -99,3 +99,17 @@ def test_insert_only_feed_reads_only_its_versions(spark, tmp_path):
     vt.compact("t", "c", "2024-01-05 00:00:00")
     vt.commit("b4", {"t": vt.new_rows("t", spark.createDataFrame([(99, "z")], "k int, v string"), "k")}, "2024-01-06 00:00:00")
     assert vt.max_row_id("t") == 7  # ids of deleted rows aren't given again
+
+
+def test_a_clone_is_new_to_earlier_consumers(spark, tmp_path):
+    vt = VersionedTables(spark, str(tmp_path))
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k bigint, v string")
+    vt.commit("1", {"t": vt.new_rows(None, df, "k")}, "2024-01-01 00:00:00")
+    vt.commit("2", {}, "2024-01-02 00:00:00", clones={"c": ("t", 1)})
+    vt.commit("3", {"c": vt.delete_rows("c", F.col("k") == 1)}, "2024-01-03 00:00:00")
+    vt.commit("4", {"c": vt.update_rows("c", {"v": F.lit("z")}, F.col("k") == 2)}, "2024-01-04 00:00:00")
+    assert rows(vt.changes("c", 0), "k", "v", "_action") == [(2, "z", "INSERT"), (3, "c", "INSERT")]
+    assert rows(vt.changes("c", 0, 2), "k") == [(1,), (2,), (3,)]
+    assert rows(vt.changes("c", 2), "k", "_action", "_is_update") == rows(spark.createDataFrame(
+        [(1, "DELETE", False), (2, "DELETE", True), (2, "INSERT", True)], "k bigint, a string, u boolean"))
+    assert vt.read("c", 1).count() == 0 and vt.read("c", 2).count() == 3
