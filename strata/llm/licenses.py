@@ -1,9 +1,14 @@
-"""License scans: MinHash keys of overlapping windows find templates, shingle containment verifies them.
+"""License scans: MinHash bands over overlapping windows retrieve templates, shingle containment verifies them.
 
-Templates and texts are cut into windows at every word, of as many words as a shingle has.  A window whose word pairs are
-all those of a template's window has its key, and a match holds one at least (it holds shingles of the template, and each is
-a window); so every place where a template may lie is found.  The window says where in the text the
-template would lie; the share of the template's shingles that stand there decides.
+Templates and texts are cut into overlapping windows, one at every word: of ``LONG`` words for templates that have twice as many, of
+``SHORT`` words for shorter notices.  A window is the set of its word pairs; ``BANDS`` bands of ``ROWS`` MinHash values are its keys.
+Windows of Jaccard similarity s share a key with probability 1 - (1 - s^ROWS)^BANDS: 1 where they are equal, 0.90 at 0.66.
+The place of the windows says where in the text the template would lie, and the exact share of its shingles that stand there decides.
+
+A passage that holds 0.8 of a template's shingles misses at most a fifth of them, and every word that is replaced costs
+up to three.  Whatever the template's length, some stretch of ``LONG`` words between two such words is left as it was in a template of ``2 * LONG``
+words or more (the least is eight, of 17 with the middle one replaced); shorter notices go by ``SHORT`` words, a shingle.  So a match has at least one
+window equal to the template's and is retrieved with certainty; similar windows retrieve it again.
 """
 
 from __future__ import annotations
@@ -16,10 +21,10 @@ from pyspark.sql import functions as F
 from strata.llm import words as W
 from strata.llm.common import field, map_text
 
-WINDOW, STRIDE, BANDS, ROWS, SHINGLE = 3, 1, 1, 2, 3
+LONG, SHORT, BANDS, ROWS, SHINGLE = 8, 3, 4, 2, 3
 COLUMNS = ["licenses", "n_matches", "match_ids", "match_starts", "match_words", "match_shares"]
 
-# Notices by which texts state their licenses, at least WINDOW + STRIDE - 1 words each.
+# Notices by which texts state their licenses, and passages with which license texts begin or that tell them; SHORT words or more each.
 TEMPLATES = [
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
@@ -60,10 +65,30 @@ TEMPLATES = [
     ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
     ("proprietary", "All rights reserved."),
     ("proprietary", "All rights reserved. No part of this publication may be reproduced, distributed, or transmitted in any form or by any means"),
-]
-
-
-_PAIRS = WINDOW - 1
+    ("MIT", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS "
+            "PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A "
+            "PARTICULAR PURPOSE AND NONINFRINGEMENT."),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION"),
+    ("Apache-2.0", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT "
+                   "WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc."),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991 Copyright (C) 1989, 1991 Free Software Foundation, Inc."),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc."),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999 Copyright (C) 1991, 1999 Free Software Foundation, Inc."),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007 Copyright (C) 2007 Free Software Foundation, Inc."),
+    ("BSD", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
+    ("BSD", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation "
+            "and/or other materials provided with the distribution."),
+    ("BSD", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software "
+            "without specific prior written permission."),
+    ("MPL-2.0", "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003"),
+    ("Unlicense", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+                  "purpose, commercial or non-commercial, and by any means."),
+] + [(x, f"SPDX-License-Identifier: {y}") for x, y in (
+    ("MIT", "MIT"), ("Apache-2.0", "Apache-2.0"), ("GPL-2.0", "GPL-2.0-only"), ("GPL-2.0", "GPL-2.0-or-later"), ("GPL-3.0", "GPL-3.0-only"), ("GPL-3.0", "GPL-3.0-or-later"),
+    ("LGPL-2.1", "LGPL-2.1-or-later"), ("LGPL-3.0", "LGPL-3.0-or-later"), ("AGPL-3.0", "AGPL-3.0-or-later"), ("BSD", "BSD-2-Clause"), ("BSD", "BSD-3-Clause"),
+    ("MPL-2.0", "MPL-2.0"), ("ISC", "ISC"), ("Unlicense", "Unlicense"), ("CC0-1.0", "CC0-1.0"), ("CC-BY-4.0", "CC-BY-4.0"), ("CC-BY-SA-4.0", "CC-BY-SA-4.0"), ("BSL-1.0", "BSL-1.0"))]
 
 
 def _pairs(h: np.ndarray) -> np.ndarray:
@@ -71,70 +96,90 @@ def _pairs(h: np.ndarray) -> np.ndarray:
     return W.mix(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:])
 
 
-def _band_keys(pairs: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Band keys (windows by BANDS) of the windows of _PAIRS word pairs that start at ``starts``."""
+def _band_keys(pairs: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """Band keys (windows by BANDS) of the windows of ``size`` word pairs that start at ``starts``."""
     keys = np.zeros((len(starts), BANDS), np.uint64)
     for n in range(BANDS * ROWS):
         v = pairs * (W.mix(np.uint64(n + 1)) | np.uint64(1))
         v ^= v >> np.uint64(32)
         least = v[starts]
-        for k in range(1, _PAIRS):
+        for k in range(1, size):
             least = np.minimum(least, v[starts + k])
         keys[:, n // ROWS] = W.mix(keys[:, n // ROWS] + least * np.uint64(2 * (n % ROWS) + 1))
     return keys
 
 
-class Index:
-    """Band keys of all windows of all templates, where each window stands, and the templates' shingles."""
+class Windows:
+    """Band keys of all windows of ``window`` words of some templates, and where each window stands."""
 
-    def __init__(self, templates: list[tuple[str, str]]):
-        self.ids, self.size, self.shingles = [], [], []
+    def __init__(self, window: int, templates: list[tuple[int, np.ndarray]]):
+        """``templates``: number and word hashes of each."""
+        self.window, size = window, window - 1
         pairs, template, place = [], [], []
-        for n, (name, text) in enumerate(templates):
-            raw = np.frombuffer(text.encode(), np.uint8)
-            starts, ends, _ = W.spans(raw, np.array([0, len(raw)]))
-            h = W.hashes(raw, starts, ends)
-            if len(h) < WINDOW + STRIDE - 1:
-                raise ValueError(f"a template needs {WINDOW + STRIDE - 1} words or more: {text!r}")
-            self.ids.append(name)
-            self.size.append(len(h))
-            self.shingles.append(np.unique(W.shingles(h, np.array([0, len(h)]), SHINGLE)[0]))
+        for n, h in templates:
             p = _pairs(h)
-            for at in range(len(p) - _PAIRS + 1):
-                pairs.append(p[at:at + _PAIRS])
+            for at in range(len(p) - size + 1):
+                pairs.append(p[at:at + size])
                 template.append(n)
                 place.append(at)
         self.template, self.place = np.array(template, np.int64), np.array(place, np.int64)
-        self.pairs = np.array(pairs, np.uint64).reshape(-1, _PAIRS)
-        keys = np.concatenate([_band_keys(p, np.zeros(1, np.int64)) for p in self.pairs]) if pairs else np.zeros((0, BANDS), np.uint64)
+        self.pairs = np.array(pairs, np.uint64).reshape(-1, size)
+        keys = np.concatenate([_band_keys(p, np.zeros(1, np.int64), size) for p in self.pairs]) if pairs else np.zeros((0, BANDS), np.uint64)
         self.order = [np.argsort(keys[:, b], kind="stable") for b in range(BANDS)]
         self.keys = [keys[o, b] for b, o in enumerate(self.order)]  # sorted; a window each
         self.bits = np.zeros((BANDS, 1 << 16), bool)
         for b in range(BANDS):
             self.bits[b][(keys[:, b] >> np.uint64(48)).astype(np.int64)] = True
 
-    def candidates(self, h: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int]]:
-        """(text, template, first word in the chunk) of each way a window of the texts could lie in a template."""
-        counts = np.diff(first)
-        per = np.where(counts >= WINDOW, (counts - WINDOW) // STRIDE + 1 + ((counts - WINDOW) % STRIDE > 0), 0)
+    def candidates(self, h: np.ndarray, p: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+        """Rows (text, template, first word in the chunk): each way a window of the texts could lie in a template, by a shared key
+        and, of long windows, half of the pairs or more."""
+        per = np.maximum(np.diff(first) - self.window + 1, 0)
         if not per.sum() or not len(self.template):
             return []
-        owner = np.repeat(np.arange(len(counts)), per)
-        nth = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
-        # the last window of a text ends with it
-        starts = np.minimum(first[owner] + nth * STRIDE, first[owner + 1] - WINDOW)
-        p = _pairs(h)
-        keys, found = _band_keys(p, starts), []
+        owner = np.repeat(np.arange(len(per)), per)
+        starts = first[owner] + np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
+        keys, found = _band_keys(p, starts, self.window - 1), []
         for b in range(BANDS):
             near = np.flatnonzero(self.bits[b][(keys[:, b] >> np.uint64(48)).astype(np.int64)])
             lo, hi = np.searchsorted(self.keys[b], keys[near, b], "left"), np.searchsorted(self.keys[b], keys[near, b], "right")
             w = np.repeat(near, hi - lo)
             mine = self.order[b][np.repeat(lo, hi - lo) + np.arange(len(w)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo)]
-            there = p[starts[w][:, None] + np.arange(_PAIRS)]
+            there = p[starts[w][:, None] + np.arange(self.window - 1)]
             shared = (self.pairs[mine][:, :, None] == there[:, None, :]).any(2).sum(1)
-            ok = 2 * shared > _PAIRS
+            ok = 2 * shared >= self.window - 1
             found.append(np.stack([owner[w[ok]], self.template[mine[ok]], starts[w[ok]] - self.place[mine[ok]]], 1))
-        return [tuple(x) for x in np.unique(np.concatenate(found), axis=0).tolist()]
+        return found
+
+
+class Index:
+    """The windows of all templates, long and short, and the templates' shingles."""
+
+    def __init__(self, templates: list[tuple[str, str]]):
+        self.ids, self.size, self.shingles = [], [], []
+        sides: dict[int, list] = {LONG: [], SHORT: []}
+        for n, (name, text) in enumerate(templates):
+            raw = np.frombuffer(text.encode(), np.uint8)
+            starts, ends, _ = W.spans(raw, np.array([0, len(raw)]))
+            h = W.hashes(raw, starts, ends)
+            if len(h) < SHORT:
+                raise ValueError(f"a template needs {SHORT} words or more: {text!r}")
+            self.ids.append(name)
+            self.size.append(len(h))
+            self.shingles.append(np.unique(W.shingles(h, np.array([0, len(h)]), SHINGLE)[0]))
+            sides[LONG if len(h) >= 2 * LONG else SHORT].append((n, h))
+        self.sides = [Windows(w, t) for w, t in sides.items()]
+
+    def candidates(self, h: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """(text, template, first word in the chunk, keys that say so) of each way a window of the texts could lie in a template."""
+        if len(h) < SHORT:
+            return []
+        p = _pairs(h)
+        found = [x for side in self.sides for x in side.candidates(h, p, first)]
+        if not found:
+            return []
+        places, votes = np.unique(np.concatenate(found), axis=0, return_counts=True)
+        return [(*x, v) for x, v in zip(places.tolist(), votes.tolist(), strict=True)]
 
 
 def scan_licenses(docs: DataFrame, text: str = "text", *, templates: list[tuple[str, str]] | None = None, containment: float = 0.8,
@@ -143,7 +188,7 @@ def scan_licenses(docs: DataFrame, text: str = "text", *, templates: list[tuple[
     ``match_words`` (length of the template) and ``match_shares`` (of its shingles found there), their number ``n_matches``, and ``licenses``, the distinct
     ids, sorted and comma-joined.  Such columns in ``docs`` are replaced.
 
-    Of matches that overlap, that of the most template words found stays (then the greater share, the earlier one, the earlier template).  Null and empty texts have none.
+    Of matches that overlap, that of the most template words found stays (then the greater share, the place that most windows tell, the earlier one, the earlier template).  Null and empty texts have none.
     Repeated rows get equal results; an empty table gives an empty result.
     """
     index = docs.sparkSession.sparkContext.broadcast(Index(TEMPLATES if templates is None else templates))
@@ -157,7 +202,7 @@ def scan_licenses(docs: DataFrame, text: str = "text", *, templates: list[tuple[
                 starts, ends, first = W.spans(data, off)
                 h = W.hashes(data, starts, ends)
                 found: dict[int, list] = {}
-                for t, n, a in ix.candidates(h, first):
+                for t, n, a, votes in ix.candidates(h, first):
                     size = ix.size[n]
                     slack = max(1, int(size * (1 - containment)))
                     lo, hi = max(int(first[t]), a - slack), min(int(first[t + 1]), a + size + slack)
@@ -165,10 +210,10 @@ def scan_licenses(docs: DataFrame, text: str = "text", *, templates: list[tuple[
                         there = np.unique(W.shingles(h[lo:hi], np.array([0, hi - lo]), SHINGLE)[0])
                         share = float(np.isin(ix.shingles[n], there, assume_unique=True).mean())
                         if share >= containment:
-                            found.setdefault(t, []).append((-share * size, -share, max(a, int(first[t])) - int(first[t]), n))
+                            found.setdefault(t, []).append((-share * size, -share, -votes, max(a, int(first[t])) - int(first[t]), n))
                 for t in range(j - i):
                     taken: list[tuple] = []
-                    for _, share, a, n in sorted(found.get(t, ())):
+                    for _, share, _, a, n in sorted(found.get(t, ())):
                         if all(a + ix.size[n] <= b or b + ix.size[m] <= a for b, m, _ in taken):
                             taken.append((a, n, -share))
                     taken.sort()
