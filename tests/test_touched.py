@@ -94,3 +94,26 @@ def test_wide_tables_plan_quickly(spark):
     start = time.time()
     matched_rows(b.add(t), t, "k", buckets=b, source_unique=True)._jdf.queryExecution().optimizedPlan()
     assert time.time() - start < 20
+
+
+def test_versioned_tables_are_pruned_too(spark, tmp_path):
+    from strata.sources.versioned import VersionedTables
+    b, vt = Buckets(("k",), 16), VersionedTables(spark, str(tmp_path / "vt"))
+    rows1 = b.add(vt.new_rows(None, spark.range(4000).select(F.col("id").alias("k"), F.lit("a").alias("v")), "k"))
+    vt.commit("1", {"t": rows1}, "2024-01-01 00:00:00")
+    path = str(tmp_path / "b")
+    spark.createDataFrame([(3, "x"), (9000, "y")], "k bigint, v string").write.parquet(path)
+    out = merge_touched(vt.read("t"), spark.read.parquet(path), "k", buckets=b, source_unique=True)
+    vt.commit("2", {"t": out.filter("_op = 'UPDATE'")}, "2024-01-02 00:00:00")
+    m = matched_rows(vt.read("t"), spark.read.parquet(path), "k", buckets=b, source_unique=True)
+    assert "dynamicpruning" in plan(m)
+    assert rows(m, "k", "v", "_op") == [(3, "x", "UPDATE")]
+    files = [int(x.metrics().apply("numFiles").value()) for x in leaves(scanned(m)) if "_bucket" in x.toString()]
+    assert files and max(files) < len(vt.log("t").inputFiles()) / 3, files
+    feed = vt.changes("t", 1)  # the image before the update, from its own bucket
+    assert "dynamicpruning" in plan(feed) and rows(feed, "k", "v", "_action") == [(3, "a", "DELETE"), (3, "x", "INSERT")]
+
+
+def scanned(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan()
