@@ -45,6 +45,8 @@ _DRAWS_BITS, _PER_OCTAVE, _LEVELS, _LOWEST = 14, 2, 48, 8
 #: Bands and rows of the samples of differences: two nodes whose differences from the hub are alike to 0.5 share
 #: a band with probability 0.92, to 0.6 with 0.996.
 DIFF_BANDS, DIFF_ROWS = 40, 4
+#: Earlier differences that a row of the settling join carries, so that a pair comes out once and not at each difference it shares.
+_BEFORE = 64
 #: Sums of weights are rounded; bounds give way by this share.
 _EPS = 1e-6
 
@@ -272,8 +274,8 @@ def _compared(pairs: DataFrame, idf, k: int, threshold: float, keys: bool = True
 
 def _differences(pairs: DataFrame, idf, k: int, threshold: float) -> DataFrame:
     """Pairs ``node``, ``hub`` with ``root`` and texts ``tn`` and ``th`` become a row for each signed difference (``odd``: a shingle too many or too few) that
-    another node may have to share: ``cost`` of the node, ``budget`` of the hub (the node matches it where cost <= budget) and ``left``, the differences'
-    weight from this one on.
+    another node may have to share: ``cost`` of the node, ``budget`` of the hub (the node matches it where cost <= budget), ``left``, the differences'
+    weight from this one on, and ``before``, the node's differences before this one, the first ``_BEFORE`` of them.
 
     Let H be the hub's weight, and a node's cost what it lacks of it plus threshold times what it has besides.  Two nodes a and b that share differences of
     weight S reach the threshold where (1 + threshold) S >= cost(a) + cost(b) - (1 - threshold) H.  In a fixed order of the differences (what is
@@ -283,7 +285,7 @@ def _differences(pairs: DataFrame, idf, k: int, threshold: float) -> DataFrame:
     def run(batches):
         sampler = Sampler(1, idf.value)
         for b in batches:
-            cols = [[] for _ in range(7)]
+            cols = [[] for _ in range(8)]
             for i in range(0, b.num_rows, 32):
                 node, hub, root, tn, th = (b.column(c).slice(i, 32).to_pylist() for c in range(5))
                 todo, vec = list(dict.fromkeys(tn + th)), {}
@@ -304,14 +306,15 @@ def _differences(pairs: DataFrame, idf, k: int, threshold: float) -> DataFrame:
                     # a node that doesn't match needs its excess shared at least, one that does the part that its own cost asks for
                     keep = left * (1 + _EPS) >= (cost - budget if cost > budget else cost / (1 + threshold))
                     odd = W.mix(sh[some][keep] ^ np.where(d[some][keep] > 0, np.uint64(0), np.uint64(0x5851F42D4C957F2D))).view(np.int64)
-                    for c, v in zip(cols, ([h] * len(odd), [n] * len(odd), [r] * len(odd), odd, left[keep], [cost] * len(odd), [budget] * len(odd)), strict=True):
+                    before = [odd[:min(x, _BEFORE)] for x in range(len(odd))]
+                    for c, v in zip(cols, ([h] * len(odd), [n] * len(odd), [r] * len(odd), odd, left[keep], [cost] * len(odd), [budget] * len(odd), before), strict=True):
                         c.extend(v)
-            kinds = [pa.string()] * 3 + [pa.int64()] + [pa.float64()] * 3
+            kinds = [pa.string()] * 3 + [pa.int64()] + [pa.float64()] * 3 + [pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)],
-                                             names=["hub", "node", "root", "odd", "left", "cost", "budget"])
+                                             names=["hub", "node", "root", "odd", "left", "cost", "budget", "before"])
 
     return pairs.select("node", "hub", "root", "tn", "th").mapInArrow(
-        run, "hub string, node string, root string, odd long, left double, cost double, budget double")
+        run, "hub string, node string, root string, odd long, left double, cost double, budget double, before array<long>")
 
 
 def _open_pairs(member: DataFrame, label: DataFrame, texts: DataFrame, idf, k: int, threshold: float) -> DataFrame:
@@ -326,9 +329,13 @@ def _open_pairs(member: DataFrame, label: DataFrame, texts: DataFrame, idf, k: i
     shared = part.groupBy("hub", "odd").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 < r1").select("hub", "odd")
     part = written(part.join(shared, ["hub", "odd"], "left_semi"))
     a = part.filter("cost > budget")
-    b = part.select("hub", "odd", *[F.col(c).alias(f"{c}2") for c in ("node", "root", "left", "cost")])
+    b = part.select("hub", "odd", *[F.col(c).alias(f"{c}2") for c in ("node", "root", "left", "cost", "before")])
     need = (F.col("cost") + F.col("cost2") - F.col("budget")) / (1 + threshold)
-    met = a.join(b, ["hub", "odd"]).filter((F.col("root") != F.col("root2")) & (F.least("left", "left2") * (1 + _EPS) >= need))
+    # a pair comes out at the first difference that both share: at an earlier one both have more left, so it came out there
+    # already; and of two nodes that both don't match the hub from one side only
+    once = (F.col("cost2") <= F.col("budget")) | (F.col("node") < F.col("node2"))
+    met = a.join(b, ["hub", "odd"]).filter((F.col("root") != F.col("root2")) & once & (F.least("left", "left2") * (1 + _EPS) >= need)
+                                           & ~F.arrays_overlap("before", "before2"))
     return met.select(F.least("node", "node2").alias("node"), F.greatest("node", "node2").alias("hub")).distinct()
 
 
