@@ -46,7 +46,7 @@ _DRAWS_BITS, _PER_OCTAVE, _LEVELS, _LOWEST = 14, 2, 48, 8
 #: a band with probability 0.92, to 0.6 with 0.996.
 DIFF_BANDS, DIFF_ROWS = 40, 4
 #: Earlier differences that a row of the settling join carries, so that a pair comes out once and not at each difference it shares.
-_BEFORE = 64
+_BEFORE = 16
 #: Sums of weights are rounded; bounds give way by this share.
 _EPS = 1e-6
 
