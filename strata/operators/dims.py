@@ -24,8 +24,8 @@ def _drop_null_keys(df: DataFrame, key) -> DataFrame:
 def unique_source(batch: DataFrame, key, attrs, what: str = "dimension") -> DataFrame:
     """Distinct (key, attrs) rows of a batch, one per non-null key (M-4, Q6).
 
-    One grouping pass (map-side partial aggregation, so a hot key is cheap)
-    keeps the smallest and largest attribute set per key; when they differ the
+    The distinct rows come first, by a hash aggregation (map-side, so a hot key is cheap; a struct's minimum alone would sort all
+    rows of the batch).  Of these few one grouping keeps the attribute set per key; when there are two the
     job fails with ``raise_error`` -- inside the same job that computes the
     rows, so the check costs no extra pass and nothing is published.  Rows
     with a null key never match anything and are kept distinct, as in SQL.
@@ -37,11 +37,11 @@ def unique_source(batch: DataFrame, key, attrs, what: str = "dimension") -> Data
     nulls = batch.filter(any_null).select(*key, *attrs).distinct()
     if not attrs:
         return batch.filter(~any_null).select(*key).distinct().unionByName(nulls)
-    g = (batch.filter(~any_null).groupBy(*key)
-         .agg(F.min(F.struct(*attrs)).alias("__lo"), F.max(F.struct(*attrs)).alias("__hi")))
+    g = (batch.filter(~any_null).select(*key, *attrs).distinct().groupBy(*key)
+         .agg(F.min(F.struct(*attrs)).alias("__lo"), F.count(F.lit(1)).alias("__sets")))
     msg = F.concat(F.lit(f"AmbiguousMergeError: two attribute sets for one key in {what}: "),
                    F.to_json(F.struct(*key)))
-    checked = g.select(*[F.when(F.col("__lo").eqNullSafe(F.col("__hi")), F.col(k))
+    checked = g.select(*[F.when(F.col("__sets") == 1, F.col(k))
                          .otherwise(F.raise_error(msg)).alias(k) if i == 0 else F.col(k)
                          for i, k in enumerate(key)],
                        *[F.col(f"__lo.{a}").alias(a) for a in attrs])

@@ -16,10 +16,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
 from .quality import assert_unique
 
 OP = "_op"
@@ -48,6 +47,15 @@ def _any_null(cols) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
 
 
+def _salted(df: DataFrame, p: str, on) -> DataFrame:
+    salt = F.when(_any_null([f"{p}__{k}" for k in on]), F.xxhash64(*[F.col(c) for c in df.columns]))
+    return df.withColumn(f"__salt_{p}", F.coalesce(salt, F.lit(0).cast("bigint")))
+
+
+def _same_key(on) -> Column:
+    return reduce(lambda a, b: a & b, [T(k) == S(k) for k in on]) & (F.col("__salt_t") == F.col("__salt_s"))
+
+
 def align(target: DataFrame, source: DataFrame, on) -> DataFrame:
     """Pair every target row with its matching source row(s), plus unmatched source rows.
 
@@ -59,33 +67,30 @@ def align(target: DataFrame, source: DataFrame, on) -> DataFrame:
     on = _keys(on)
     t = _prefixed(target, "t", IN_T)
     s = _prefixed(source, "s", IN_S)
-    cond = reduce(lambda a, b: a & b, [F.col(f"t__{k}") == F.col(f"s__{k}") for k in on])
-
-    def salted(df, p):
-        salt = F.when(_any_null([f"{p}__{k}" for k in on]), F.xxhash64(*[F.col(c) for c in df.columns]))
-        return df.withColumn(f"__salt_{p}", F.coalesce(salt, F.lit(0).cast("bigint")))
-    j = salted(t, "t").join(salted(s, "s"), cond & (F.col("__salt_t") == F.col("__salt_s")), "full_outer")
+    j = _salted(t, "t", on).join(_salted(s, "s", on), _same_key(on), "full_outer")
     return j.drop("__salt_t", "__salt_s")
 
 
-def _numbered(df: DataFrame, row_id: str | None) -> DataFrame:
-    """``df`` with ``__id``: its own row id or, without one, numbers fixed in the shared folder, which no lost executor can change."""
-    if row_id is not None:
-        return df.withColumn("__id", F.col(row_id))
-    checkpoint_root(df.sparkSession)
-    return df.withColumn("__id", F.monotonically_increasing_id()).checkpoint(eager=True)
-
-
 def _one_per_target(target: DataFrame, source: DataFrame, on, do_upd: Column, row_id: str | None) -> DataFrame:
     """As :func:`align`, with one row for each target row: of several matches one that would
-    update it (``__hits`` counts those).  Partial aggregation keeps a row with many matches cheap."""
-    j = align(_numbered(target, row_id), _numbered(source, None), on).withColumn("__q", do_upd)
-    sides = {p: [c for c in j.columns if c.startswith(f"{p}__")] + [flag] for p, flag in (("t", IN_T), ("s", IN_S))}
-    alone = F.when(F.col("t____id").isNull(), F.col("s____id"))
-    g = j.groupBy(F.col("t____id").alias("__tid"), alone.alias("__sid")).agg(
-        F.first(F.struct(*sides["t"])).alias("__tr"), F.max_by(F.struct(*sides["s"]), F.col("__q")).alias("__sr"),
-        F.sum(F.col("__q").cast("int")).alias("__hits"))
-    return g.select("__tr.*", "__sr.*", "__hits")
+    update it (``__hits`` counts those).
+
+    The target's rows are told apart by their key and a number, and those of a key meet in one task: a window over both reads the
+    join's own partitions, so neither side is numbered beforehand and nothing is shuffled again.  Only source rows that no
+    target row has come from an anti join; an empty target leaves just these.
+    """
+    on = _keys(on)
+    rid = F.monotonically_increasing_id() if row_id is None else F.col(row_id)
+    t = _salted(_prefixed(target.withColumn("__id", rid), "t", IN_T), "t", on)
+    s = _salted(_prefixed(source, "s", IN_S), "s", on)
+    cond = _same_key(on)
+    w = Window.partitionBy(*[T(k) for k in on], "__salt_t", "t____id")
+    j = (t.join(s, cond, "left_outer").withColumn("__q", F.coalesce(do_upd, F.lit(False)))
+         .withColumn("__rn", F.row_number().over(w.orderBy(F.col("__q").desc())))
+         .withColumn("__hits", F.sum(F.col("__q").cast("int")).over(w)).filter("__rn = 1"))
+    met = _salted(_prefixed(target.select(*on), "t", IN_T), "t", on)
+    new = s.join(met, cond, "left_anti")
+    return j.drop("t____id", "__salt_t", "__salt_s", "__q", "__rn").unionByName(new.drop("__salt_s"), allowMissingColumns=True)
 
 
 def refuse_several(rows: DataFrame, hits: str, on) -> DataFrame:

@@ -47,7 +47,8 @@ def empty_state(spark, batch_schema, cfg: StarConfig) -> dict:
     t = {f.name: f.dataType.simpleString() for f in batch_schema.fields}
 
     def mk(cols):
-        return spark.createDataFrame([], ", ".join(f"`{c}` {ty}" for c, ty in cols))
+        # empty to the planner as well, which then leaves out joins with it
+        return spark.sql("SELECT " + ", ".join(f"CAST(NULL AS {ty}) AS `{c}`" for c, ty in cols) + " WHERE FALSE")
 
     return {
         "dim_passenger": mk([(SK["passenger"], "bigint"), (cfg.passenger_key, t[cfg.passenger_key])]
@@ -154,14 +155,11 @@ def load_gold(state: dict, batch: DataFrame, cfg: StarConfig, run_ts, run_date,
     table of the new state is a written table under it.
     """
     s = load_dims(state, batch, cfg, run_date, root)
-    # one batch's lookups: computed once, released after the write
-    src = fact_source(s, batch, cfg).distinct().persist()
-    try:
-        merged = load_fact(s, batch, cfg, run_ts, src=src)
-        if root is not None:
-            merged = write_table(merged, f"{root}/fact_flight_data")
-    finally:
-        if root is not None:
-            src.unpersist()
+    # one batch's lookups: computed once; written, their size tells whether they may be broadcast
+    src = fact_source(s, batch, cfg).distinct()
+    src = src.persist() if root is None else write_table(src, f"{root}/fact_source")
+    merged = load_fact(s, batch, cfg, run_ts, src=src)
+    if root is not None:
+        merged = write_table(merged, f"{root}/fact_flight_data")
     s["fact_flight_data"] = merged.drop("_op")
     return s, merged

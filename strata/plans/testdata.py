@@ -64,11 +64,11 @@ def star_rows(spark: SparkSession, sf_dir: str, batch: int | None = None) -> Dat
     # nation/region are fixed-size code tables (25 and 5 rows): broadcast is size-safe
     geo = F.broadcast(n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
                       .select("n_nationkey", "n_name", "n_regionkey", "r_name"))
-    rows = (li.join(o, li.l_orderkey == o.o_orderkey)
-            .join(c, o.o_custkey == c.c_custkey)
-            .join(geo, c.c_nationkey == geo.n_nationkey)
-            .join(s, li.l_suppkey == s.s_suppkey)
-            .join(p, li.l_partkey == p.p_partkey))
+    # the orders get their customers before the line items, of which there are several times as many, get their orders
+    of = o.join(c, o.o_custkey == c.c_custkey).join(geo, c.c_nationkey == geo.n_nationkey)
+    rows = (li.join(s, li.l_suppkey == s.s_suppkey)
+            .join(p, li.l_partkey == p.p_partkey)
+            .join(of, li.l_orderkey == of.o_orderkey))
     out = rows.select(
         "l_orderkey", "l_linenumber",
         F.col("o_custkey").alias("passenger_id"),
