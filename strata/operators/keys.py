@@ -4,18 +4,18 @@ No single-partition window over the rows: the new rows are range-partitioned
 on the order columns and sorted within partitions; the per-partition row index
 comes from ``monotonically_increasing_id`` and the partition offsets from a
 tiny per-partition count table (one row per partition: a proven size bound,
-safe to broadcast).  The ranged rows are checkpointed to the shared folder so
+safe to broadcast).  The ranged rows are written to the shared folder, once and compressed, so
 the numbering is fixed before anyone reads it, and a lost executor cannot
-renumber them.
+renumber them; the counts read one column of that table.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
+from ..session import scratch_path
+from ..sources.tables import write_table
 
 _LOW = (1 << 33) - 1
 
@@ -38,13 +38,11 @@ def assign_keys(rows: DataFrame, sk_col: str, order_by, start: int = 0,
     """Number ``rows`` start+1, start+2, ... in ``order_by`` order, which should be unique on ``rows``."""
     order = _order_cols(order_by)
     spark = rows.sparkSession
-    checkpoint_root(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # without a given number AQE joins neighbouring small ranges, which keeps the order and saves a task and a file for each
+    ranged = rows.repartitionByRange(num_partitions, *order) if num_partitions else rows.repartitionByRange(*order)
+    ranged = (ranged.sortWithinPartitions(*order)
               .withColumn("__mid", F.monotonically_increasing_id()))
-    ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
-    fixed = ranged.checkpoint(eager=True)
-    ranged.unpersist()
+    fixed = write_table(ranged, scratch_path(spark, "keys"))
     pid = F.shiftright(F.col("__mid"), 33)
     counts = fixed.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1)).alias("__n"))
     w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -99,17 +99,15 @@ class Pipeline:
     def load_bronze(self, raw: DataFrame, batch_id: str, ts) -> int:
         """Append one load of raw rows (A-1 ... A-6, A-9): good rows to bronze, the
         rest to bronze_rejects, in one commit."""
-        cl = classify(raw, self.cfg.widths).persist()
-        try:
-            good = stamp(good_rows(cl), ts)
-            rej = stamp(reject_rows(cl), ts)
-            writes = {"bronze": self.vt.new_rows("bronze" if self._exists("bronze") else None, good,
-                                                 [FILE] + list(self.cfg.tie_break) + [self.cfg.key])}
-            writes["bronze_rejects"] = self.vt.new_rows(
-                "bronze_rejects" if self._exists("bronze_rejects") else None, rej, [FILE, "_corrupt_record", *self.cfg.columns])  # over-width rows of a file have no raw text to order by
-            return self.vt.commit(f"bronze:{batch_id}", writes, ts)
-        finally:
-            cl.unpersist()
+        # parsed once: both steps read it twice (ranges, rows), the rejects only where a file's statistics tell of some
+        cl = write_table(classify(raw, self.cfg.widths), scratch_path(self.spark, "bronze-batch"))
+        good = stamp(good_rows(cl), ts)
+        rej = stamp(reject_rows(cl), ts)
+        writes = {"bronze": self.vt.new_rows("bronze" if self._exists("bronze") else None, good,
+                                             [FILE] + list(self.cfg.tie_break) + [self.cfg.key])}
+        writes["bronze_rejects"] = self.vt.new_rows(
+            "bronze_rejects" if self._exists("bronze_rejects") else None, rej, [FILE, "_corrupt_record", *self.cfg.columns])  # over-width rows of a file have no raw text to order by
+        return self.vt.commit(f"bronze:{batch_id}", writes, ts)
 
     # ---- silver --------------------------------------------------------------
     def _typed(self, df: DataFrame) -> DataFrame:
@@ -207,26 +205,23 @@ class Pipeline:
                     sk = [x for x in ch.columns if x.endswith("_sk")][0]
                     new_state[name] = (state[name].join(ch.select(sk), sk, "left_anti")
                                        .unionByName(ch.drop(OP)))
-                src = fact_source(new_state, batch, sc).distinct().persist()
+                src = fact_source(new_state, batch, sc).distinct()
                 rows, keys, unique = fact_keys(src, sc)
                 rows = write_table(rows, scratch_path(self.spark, "fact-batch"))
                 merged = fact_merge(state["fact_flight_data"], rows, keys, sc.date_col, ts,
                                     carry=FACT_SKS + [sc.passenger_key], status_col=sc.flight_status, source_unique=unique,
                                     touched_only=True, buckets=Buckets((sc.passenger_key,), c.buckets))
-                try:
-                    upd = merged.filter(F.col(OP) == "UPDATE")
-                    ins = assign_keys(merged.filter(F.col(OP) == "INSERT").drop(ROW_ID), ROW_ID,
-                                      ["passenger_sk", "departure_airport_sk", "original_departure_date",
-                                       "arrival_airport_sk", "pilot_sk", "ticket_sk", "pass_status_sk",
-                                       sc.flight_status],
-                                      start=self.vt.max_row_id("fact_flight_data"))
-                    writes = {k: v.withColumn(ROW_ID, F.col([x for x in v.columns if x.endswith("_sk")][0]))
-                              for k, v in dim_changes.items()}
-                    writes["fact_flight_data"] = upd.unionByName(ins)
-                    return self.vt.commit(f"gold:{batch_id}", writes, ts, offsets={"silver": head},
-                                          then=lambda counts: self.success(counts["fact_flight_data"], "load_gold", ts))
-                finally:
-                    src.unpersist()
+                upd = merged.filter(F.col(OP) == "UPDATE")
+                ins = assign_keys(merged.filter(F.col(OP) == "INSERT").drop(ROW_ID), ROW_ID,
+                                  ["passenger_sk", "departure_airport_sk", "original_departure_date",
+                                   "arrival_airport_sk", "pilot_sk", "ticket_sk", "pass_status_sk",
+                                   sc.flight_status],
+                                  start=self.vt.max_row_id("fact_flight_data"))
+                writes = {k: v.withColumn(ROW_ID, F.col([x for x in v.columns if x.endswith("_sk")][0]))
+                          for k, v in dim_changes.items()}
+                writes["fact_flight_data"] = upd.unionByName(ins)
+                return self.vt.commit(f"gold:{batch_id}", writes, ts, offsets={"silver": head},
+                                      then=lambda counts: self.success(counts["fact_flight_data"], "load_gold", ts))
             finally:
                 batch.unpersist()
 

@@ -4,6 +4,7 @@ G-2).  Their inputs are files and tables Spark writes from the test tables."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators.dims import scd1
@@ -83,12 +84,16 @@ def airline_lines(spark, sf_dir, batch):
                     F.concat_ws(",", *fields).alias("value"))
 
 
-def write_airline_files(spark, sf_dir, path, batch):
-    lines = airline_lines(spark, sf_dir, batch)
-    heads = lines.select("file_no").distinct().select(
-        "file_no", F.lit(-1).cast("bigint").alias("ord"), F.lit(",".join(AIRLINE_COLUMNS)).alias("value"))
-    (lines.unionByName(heads).repartition("file_no").sortWithinPartitions("file_no", "ord").drop("ord")
-     .write.mode("append").partitionBy("file_no").text(path))
+def write_airline_files(spark, sf_dir, path, batch, lines_a_file=200_000):
+    """The lines of each region as files of about ``lines_a_file`` lines, each with a header, so that many tasks write and read them.
+
+    The header comes with a file's first line: no second pass over the rows looks for the files there are."""
+    parts = -(-table(spark, sf_dir, "lineitem").count() // (5 * lines_a_file)) or 1  # five regions
+    lines = airline_lines(spark, sf_dir, batch).withColumn("part", F.pmod(F.xxhash64("ord"), F.lit(parts)))
+    first = F.row_number().over(Window.partitionBy("file_no", "part").orderBy("ord")) == 1
+    head = F.when(first, F.lit(",".join(AIRLINE_COLUMNS) + "\n")).otherwise("")
+    (lines.select("file_no", "part", F.concat(head, "value").alias("value"))
+     .write.mode("append").partitionBy("file_no", "part").text(path))
 
 
 def run_incremental(spark, sf_dir):
