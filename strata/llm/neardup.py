@@ -285,8 +285,8 @@ def _differences(pairs: DataFrame, idf, k: int, threshold: float) -> DataFrame:
     def run(batches):
         sampler = Sampler(1, idf.value)
         for b in batches:
-            cols = [[] for _ in range(8)]
             for i in range(0, b.num_rows, 32):
+                cols = [[] for _ in range(8)]  # of 32 pairs: a row for each difference would be too much of a whole batch
                 node, hub, root, tn, th = (b.column(c).slice(i, 32).to_pylist() for c in range(5))
                 todo, vec = list(dict.fromkeys(tn + th)), {}
                 for x, _, sh, tf, at in _weighted(pa.array(todo, pa.string()), k):
@@ -309,9 +309,9 @@ def _differences(pairs: DataFrame, idf, k: int, threshold: float) -> DataFrame:
                     before = [odd[:min(x, _BEFORE)] for x in range(len(odd))]
                     for c, v in zip(cols, ([h] * len(odd), [n] * len(odd), [r] * len(odd), odd, left[keep], [cost] * len(odd), [budget] * len(odd), before), strict=True):
                         c.extend(v)
-            kinds = [pa.string()] * 3 + [pa.int64()] + [pa.float64()] * 3 + [pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)],
-                                             names=["hub", "node", "root", "odd", "left", "cost", "budget", "before"])
+                kinds = [pa.string()] * 3 + [pa.int64()] + [pa.float64()] * 3 + [pa.list_(pa.int64())]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)],
+                                                 names=["hub", "node", "root", "odd", "left", "cost", "budget", "before"])
 
     return pairs.select("node", "hub", "root", "tn", "th").mapInArrow(
         run, "hub string, node string, root string, odd long, left double, cost double, budget double, before array<long>")
