@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.dims import lookup_dim, scd1, scd2
@@ -103,16 +103,19 @@ def load_dims(state: dict, batch: DataFrame, cfg: StarConfig, run_date,
 
 
 def fact_source(state: dict, batch: DataFrame, cfg: StarConfig, keep=()) -> DataFrame:
-    """Star lookups of the batch (J-1; passenger via its current SCD2 row, J-2/D-6)."""
+    """Star lookups of the batch (J-1; passenger via its current SCD2 row, J-2/D-6).
+
+    The passengers, of which there are most, come last: by then the other names are keys, and the rows that move are narrow.
+    """
     lookups = [
-        Lookup(state["dim_passenger"], {cfg.passenger_key: cfg.passenger_key}, SK["passenger"],
-               current_only="current_flag"),
         Lookup(state["dim_airport"], {cfg.airport_key: cfg.airport_key}, SK["airport"],
                alias="departure_airport_sk"),
         Lookup(state["dim_arrival_airport"], {cfg.arrival_key: "airport_code"}, SK["arrival"]),
         Lookup(state["dim_pilot"], {cfg.pilot_key: cfg.pilot_key}, SK["pilot"]),
         Lookup(state["dim_ticket_type"], {cfg.ticket_key: cfg.ticket_key}, SK["ticket"]),
         Lookup(state["dim_passenger_status"], {cfg.status_key: cfg.status_key}, SK["status"]),
+        Lookup(state["dim_passenger"], {cfg.passenger_key: cfg.passenger_key}, SK["passenger"],
+               current_only="current_flag"),
     ]
     looked = star_lookup(batch, lookups)
     return looked.select(*keep, "passenger_sk", "departure_airport_sk", "arrival_airport_sk", "pilot_sk",
@@ -132,7 +135,7 @@ def fact_keys(src: DataFrame, cfg: StarConfig) -> tuple[DataFrame, dict, bool]:
     return src, keys | {"original_departure_date": cfg.date_col}, False
 
 
-def load_fact(state: dict, batch: DataFrame, cfg: StarConfig, run_ts,
+def load_fact(state: dict, batch: DataFrame | None, cfg: StarConfig, run_ts,
               src: DataFrame | None = None) -> DataFrame:
     """Fact MERGE of one batch (D-5); returns the merged fact with ``_op``.
 
@@ -146,20 +149,52 @@ def load_fact(state: dict, batch: DataFrame, cfg: StarConfig, run_ts,
                       source_unique=unique)
 
 
+def may_match(fact: DataFrame, src: DataFrame, keys: dict) -> Column:
+    """True on the rows of ``fact`` whose keys {fact column: source column} all lie between the smallest and the largest ones of ``src``;
+    no row of ``src`` matches another row (nor one with a null key).  One pass over the key columns of ``src``, a written table."""
+    types = {f.name: f.dataType for f in src.schema.fields}
+    ends = src.agg(*[f(c).cast("string").alias(f"{n}_{c}") for c in keys.values() for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    within = F.lit(True)
+    for k, c in keys.items():
+        within &= F.col(k).between(*[F.lit(ends[f"{n}_{c}"]).cast(types[c]) for n in ("lo", "hi")])
+    return F.coalesce(within, F.lit(False))
+
+
+def merge_fact(state: dict, looked: DataFrame, cfg: StarConfig, run_ts, root: str | None = None) -> tuple[dict, DataFrame]:
+    """The fact step of :func:`load_gold` from the batch's star lookups (:func:`fact_source`).
+
+    With ``root`` the distinct lookups are written.  Facts that can't match (:func:`may_match`) stay in the tables where they lie, and
+    where none can, the merge only adds facts: these are read from the written lookups and not written again.
+    """
+    src = looked.distinct()
+    if root is None:
+        merged = load_fact(state, None, cfg, run_ts, src=src.persist())  # one batch's lookups: computed once
+        return state | {"fact_flight_data": merged.drop("_op")}, merged
+    src = write_table(src, f"{root}/fact_source")
+    fact = state["fact_flight_data"]
+    _, keys, unique = fact_keys(src, cfg)
+    rest = None
+    if not fact.isEmpty():
+        near = may_match(fact, src, keys)
+        rest, fact = fact.filter(~near), fact.filter(near)
+    grows = fact.isEmpty()
+    if grows:
+        fact = fact.limit(0)  # empty to the planner as well
+    merged = load_fact(state | {"fact_flight_data": fact}, None, cfg, run_ts, src=src)
+    if unique or not grows:
+        merged = write_table(merged, f"{root}/fact_flight_data")
+    if rest is not None:
+        merged = rest.withColumn("_op", F.lit(None).cast("string")).unionByName(merged)
+    return state | {"fact_flight_data": merged.drop("_op")}, merged
+
+
 def load_gold(state: dict, batch: DataFrame, cfg: StarConfig, run_ts, run_date,
               root: str | None = None) -> tuple[dict, DataFrame]:
     """One gold batch: the batch's INSERT images -> six dimensions -> fact.
 
     Returns the new state (fact without ``_op``) and the merged fact with ``_op``
     (its counts are the affected rows of the audit record).  With ``root`` every
-    table of the new state is a written table under it.
+    table of the new state is, or is read from, written tables under it and the state's own.
     """
     s = load_dims(state, batch, cfg, run_date, root)
-    # one batch's lookups: computed once; written, their size tells whether they may be broadcast
-    src = fact_source(s, batch, cfg).distinct()
-    src = src.persist() if root is None else write_table(src, f"{root}/fact_source")
-    merged = load_fact(s, batch, cfg, run_ts, src=src)
-    if root is not None:
-        merged = write_table(merged, f"{root}/fact_flight_data")
-    s["fact_flight_data"] = merged.drop("_op")
-    return s, merged
+    return merge_fact(s, fact_source(s, batch, cfg), cfg, run_ts, root)

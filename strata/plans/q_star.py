@@ -10,7 +10,7 @@ from ..operators.dims import role_view
 from ..operators.reports import ReportJoin, status_report
 from ..session import scratch_path
 from ..sources.tables import write_table
-from .gold import empty_state, fact_source, load_dims, load_gold
+from .gold import empty_state, fact_source, load_dims, merge_fact
 from .registry import query
 from .testdata import OVERLAP_SQL, STAR_CFG, overlapping_batches, run_date, star_batches, table, ts
 
@@ -22,18 +22,25 @@ def run_star(spark, sf_dir, cfg=STAR_CFG, lookups_out=False, facts=True, batches
     root = scratch_path(spark, "star")
     b1, b2 = (b.drop("batch") for b in batches(spark, sf_dir))
     state = empty_state(spark, b1.schema, cfg)
+    ids = ("l_orderkey", "l_linenumber") if lookups_out else ()
     looked = []
     for i, b in enumerate((b1, b2)):
-        b = write_table(b, f"{root}/batch{i + 1}")
-        if facts:
-            state, _ = load_gold(state, b, cfg, ts(i), run_date(i), root=f"{root}/v{i + 1}")
-        else:
-            state = load_dims(state, b, cfg, run_date(i), root=f"{root}/v{i + 1}")
+        state = load_dims(state, b, cfg, run_date(i), root=f"{root}/v{i + 1}")
+        found = fact_source(state, b, cfg, keep=ids)
         if lookups_out:
-            looked.append(fact_source(state, b, cfg, keep=("l_orderkey", "l_linenumber")))
+            # the fact takes the lookups that come out: they run once
+            looked.append(write_table(found, f"{root}/lookups{i + 1}") if facts else found)
+            found = looked[-1].drop(*ids)
+        if facts:
+            state, _ = merge_fact(state, found, cfg, ts(i), root=f"{root}/v{i + 1}")
     return (state, looked) if lookups_out else state
 
 
+def overlapping_tables(spark, sf_dir):
+    root = scratch_path(spark, "star-batches")
+    return [write_table(b, f"{root}/{i}") for i, b in enumerate(overlapping_batches(spark, sf_dir))]
+
+
 # Shared oracle CTEs: the batch rows and the dimensions after both batches.
 STAR_CTE = """
 b AS (
@@ -233,17 +240,17 @@ looked AS (
 def q_fact_merge_overlap(spark, sf_dir):
     """The literal merge when the second batch meets the first one's facts: a new status on the same date is ignored, a moved flight
     is a second row, and new facts of a changed customer refer to the new version (Q1, D-5, D-6)."""
-    return run_star(spark, sf_dir, batches=overlapping_batches)["fact_flight_data"]
+    return run_star(spark, sf_dir, batches=overlapping_tables)["fact_flight_data"]
 
 
 @query("dim_scd2_changed", f"""WITH {OVERLAP_CTE}
 SELECT passenger_sk, passenger_id, passenger_name, account_balance, effective_date, expiry_date, expiry_date IS NULL AS current_flag FROM dim_passenger""")
 def q_dim_scd2_changed(spark, sf_dir):
     """Customers whose balance changes between the batches have two versions, the first one expired."""
-    return run_star(spark, sf_dir, facts=False, batches=overlapping_batches)["dim_passenger"]
+    return run_star(spark, sf_dir, facts=False, batches=overlapping_tables)["dim_passenger"]
 
 
 @query("dim_scd1_changed", f"WITH {OVERLAP_CTE} SELECT airport_sk, airport_name, region_key, region_name FROM dim_airport")
 def q_dim_scd1_changed(spark, sf_dir):
     """A region's new name is written over the old one; airports keep their keys."""
-    return run_star(spark, sf_dir, facts=False, batches=overlapping_batches)["dim_airport"]
+    return run_star(spark, sf_dir, facts=False, batches=overlapping_tables)["dim_airport"]
