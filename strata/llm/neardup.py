@@ -9,10 +9,9 @@
 3. Equal texts are one node.  In each bucket of a band all nodes are compared with one hub, that which
    shares buckets with most nodes (of a group of edited copies, the original).  So a bucket of n nodes
    costs n comparisons, and no pair list of a group is ever made.
-4. A comparison computes the weighted Jaccard similarity of the whole texts.  Where it is too low, two nodes
-   that are like each other, yet unlike their hub, differ from the hub in the same shingles.  So the comparison also
-   samples what sets a node and its hub apart (the weights' differences); unlinked nodes with equal samples there
-   make the buckets of the next round.  This is quick, but finds links with a high probability only.
+4. A comparison computes the weighted Jaccard similarity of the whole texts.  Nodes that their hub matches leave the
+   bucket with it; the others get a new hub from among them, round by round, as long as a round links a fair part of its
+   pairs (``WORTH``).  A round has at most one pair for each node that is left in a bucket.
 5. Links of at least the threshold make connected components.  What the rounds left open is then settled exactly: where
    the nodes of a first bucket, its hub aside, lie in two components or more, a join over the signed differences from the
    hub (``_open_pairs``) gives every pair that may reach the threshold; the others are excluded by their sums.
@@ -42,9 +41,8 @@ RARE = 0.1
 SKETCH, AGREE, LARGE = 12, 8, 0.001
 #: Draws of the sampling tables, levels of a weight per doubling, their number, and the level of weight 1.
 _DRAWS_BITS, _PER_OCTAVE, _LEVELS, _LOWEST = 14, 2, 48, 8
-#: Bands and rows of the samples of differences: two nodes whose differences from the hub are alike to 0.5 share
-#: a band with probability 0.92, to 0.6 with 0.996.
-DIFF_BANDS, DIFF_ROWS = 40, 4
+#: Another round follows one that linked at least this share of its pairs; what is left is settled exactly.
+WORTH = 0.05
 #: Earlier differences that a row of the settling join carries, so that a pair comes out once and not at each difference it shares.
 _BEFORE = 16
 #: Sums of weights are rounded; bounds give way by this share.
@@ -223,13 +221,11 @@ def signatures(docs: DataFrame, idf, text: str, k: int, bands: int, rows: int, c
     return map_text(named, text, [field("n_shingles", "long"), field("band_keys", "array<long>")], make, [*carry, "node"])
 
 
-def _compared(pairs: DataFrame, idf, k: int, threshold: float, keys: bool = True) -> DataFrame:
-    """Pairs ``node``, ``hub`` with their texts ``tn`` and ``th`` become ``link`` (whether their weighted Jaccard similarity over the whole
-    texts reaches the threshold) and the ``keys`` of what sets them apart (none unless asked for)."""
-    with_keys = keys
-
+def _compared(pairs: DataFrame, idf, k: int, threshold: float) -> DataFrame:
+    """Pairs ``node``, ``hub`` with their texts ``tn`` and ``th`` become ``link``: whether their weighted Jaccard similarity over the whole
+    texts reaches the threshold."""
     def run(batches):
-        sampler = Sampler(DIFF_BANDS * DIFF_ROWS, idf.value, seed=7)
+        sampler = Sampler(1, idf.value)
         held: dict[str, tuple] = {}
 
         def vectors(texts):
@@ -243,33 +239,21 @@ def _compared(pairs: DataFrame, idf, k: int, threshold: float, keys: bool = True
             return [fresh[x] for x in texts]
 
         for b in batches:
-            links, keys = [], []
+            links = []
             for i in range(0, b.num_rows, 32):
                 tn, th = (b.column(c).slice(i, 32).to_pylist() for c in (2, 3))
                 vn, vh = vectors(tn), vectors(th)
                 held.clear()
                 held[th[-1]] = vh[-1]
-                apart, sizes = [], []
                 for (sa, wa), (sb, wb) in zip(vn, vh, strict=True):
                     sh, back = np.unique(np.concatenate([sa, sb]), return_inverse=True)
                     a, h = np.zeros(len(sh)), np.zeros(len(sh))
                     a[back[:len(sa)]], h[back[len(sa):]] = wa, wb
                     either = np.maximum(a, h).sum()
                     links.append(bool(either > 0 and np.minimum(a, h).sum() >= threshold * either))
-                    some = a != h
-                    # a shingle too many and one too few are different things
-                    odd = W.mix(sh[some] ^ np.where(a[some] > h[some], np.uint64(0), np.uint64(0x5851F42D4C957F2D)))
-                    order = np.argsort(odd)
-                    apart.append((odd[order], np.abs(a - h)[some][order]))
-                    sizes.append(len(odd))
-                at = np.concatenate(([0], np.cumsum(sizes)))
-                got = iter(sampler.band_keys(np.concatenate([x for x, _ in apart]), np.concatenate([x for _, x in apart]), at, DIFF_ROWS)
-                           if at[-1] and with_keys else [])
-                keys += [next(got) if n and with_keys else [] for n in sizes]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(links, pa.bool_()), pa.array(keys, pa.list_(pa.int64()))],
-                                             names=["node", "hub", "link", "keys"])
-
-    return pairs.select("node", "hub", "tn", "th").mapInArrow(run, "node string, hub string, link boolean, keys array<long>")
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(links, pa.bool_())], names=["node", "hub", "link"])
+
+    return pairs.select("node", "hub", "tn", "th").mapInArrow(run, "node string, hub string, link boolean")
 
 
 def _differences(pairs: DataFrame, idf, k: int, threshold: float) -> DataFrame:
@@ -392,7 +376,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def _links(docs: DataFrame, nodes: DataFrame, idf, doc_id: str, text: str, k: int, threshold: float) -> tuple[DataFrame, DataFrame]:
     """Verified links ``a``, ``b`` between texts, and the component (``root``) of each ``node`` that was compared.
 
-    In the rounds a node that its hub matches leaves the bucket; what is like it, yet not its hub, is found when the rounds are over.
+    In the rounds a node that its hub matches leaves the bucket, as does the hub; what is like it, yet not its hub, is found when the rounds are over.
     """
     slots = nodes.select("node", F.posexplode("band_keys").alias("band", "key"))
     slots = slots.select("node", F.xxhash64("band", "key").alias("bucket"))
@@ -409,9 +393,8 @@ def _links(docs: DataFrame, nodes: DataFrame, idf, doc_id: str, text: str, k: in
     while True:
         member = slots.join(central, "node")
         hubs = member.groupBy("bucket").agg(F.max_by("node", F.struct("meets", "node")).alias("hub"), F.count("*").alias("n")).filter("n > 1")
-        member = member.join(hubs, "bucket").select("bucket", "node", "hub")
-        if first is None:
-            first = member = written(member)
+        member = written(member.join(hubs, "bucket").select("bucket", "node", "hub"))
+        first = member if first is None else first
         pairs = member.filter("node <> hub").select("node", "hub").distinct()
         if seen is not None:
             pairs = pairs.join(seen, ["node", "hub"], "left_anti")
@@ -421,11 +404,12 @@ def _links(docs: DataFrame, nodes: DataFrame, idf, doc_id: str, text: str, k: in
         both = pairs.join(texts.select("node", F.col("t").alias("tn")), "node").join(texts.select(F.col("node").alias("hub"), F.col("t").alias("th")), "hub")
         met = written(_compared(both, idf, k, threshold))
         links.append(met.filter("link").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")))
-        pairs = pairs.unionByName(pairs.select(F.col("hub").alias("node"), F.col("node").alias("hub")))
-        seen = written(pairs if seen is None else seen.unionByName(pairs))
-        apart = met.filter("not link").select("node", F.explode(F.transform("keys", lambda key, band: F.xxhash64("hub", band, key))).alias("bucket"))
-        slots = written(apart.distinct())
-    found = pairs.select(F.col("node").alias("a"), F.col("hub").alias("b"))
+        met = met.unionByName(met.select(F.col("hub").alias("node"), F.col("node").alias("hub"), "link"))
+        seen = met if seen is None else seen.unionByName(met)
+        if met.agg(F.count_if("link") < WORTH * F.count("*")).first()[0]:
+            break
+        slots = member.filter("node <> hub").join(seen.filter("link"), ["node", "hub"], "left_anti").select("bucket", "node")
+    found = pairs.limit(0).select(F.col("node").alias("a"), F.col("hub").alias("b"))
     for part in links:
         found = found.unionByName(part)
     found = written(found.distinct())
@@ -434,7 +418,7 @@ def _links(docs: DataFrame, nodes: DataFrame, idf, doc_id: str, text: str, k: in
     if more.isEmpty():
         return found, label
     both = more.join(texts.select("node", F.col("t").alias("tn")), "node").join(texts.select(F.col("node").alias("hub"), F.col("t").alias("th")), "hub")
-    late = _compared(both, idf, k, threshold, keys=False).filter("link").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    late = _compared(both, idf, k, threshold).filter("link").select(F.col("node").alias("a"), F.col("hub").alias("b"))
     found = written(found.unionByName(late))
     return found, components(label, found)
 
