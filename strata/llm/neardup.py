@@ -14,7 +14,8 @@
    pairs (``WORTH``).  A round has at most one pair for each node that is left in a bucket.
 5. Links of at least the threshold make connected components.  What the rounds left open is then settled exactly: where
    the nodes of a first bucket, its hub aside, lie in two components or more, a join over the signed differences from the
-   hub (``_open_pairs``) gives every pair that may reach the threshold; the others are excluded by their sums.
+   hub (``_open_pairs``) gives every pair that may reach the threshold; the others are excluded by the weight of the
+   differences that they can share at all.
    So two nodes that share a bucket of a band are linked if they are alike, whatever the rounds met.
 6. The components of all links are the classes.
 """
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,8 +44,6 @@ SKETCH, AGREE, LARGE = 12, 8, 0.001
 _DRAWS_BITS, _PER_OCTAVE, _LEVELS, _LOWEST = 14, 2, 48, 8
 #: Another round follows one that linked at least this share of its pairs; what is left is settled exactly.
 WORTH = 0.05
-#: Earlier differences that a row of the settling join carries, so that a pair comes out once and not at each difference it shares.
-_BEFORE = 16
 #: Sums of weights are rounded; bounds give way by this share.
 _EPS = 1e-6
 
@@ -257,70 +256,69 @@ def _compared(pairs: DataFrame, idf, k: int, threshold: float) -> DataFrame:
 
 
 def _differences(pairs: DataFrame, idf, k: int, threshold: float) -> DataFrame:
-    """Pairs ``node``, ``hub`` with ``root`` and texts ``tn`` and ``th`` become a row for each signed difference (``odd``: a shingle too many or too few) that
-    another node may have to share: ``cost`` of the node, ``budget`` of the hub (the node matches it where cost <= budget), ``left``, the differences'
-    weight from this one on, and ``before``, the node's differences before this one, the first ``_BEFORE`` of them.
-
-    Let H be the hub's weight, and a node's cost what it lacks of it plus threshold times what it has besides.  Two nodes a and b that share differences of
-    weight S reach the threshold where (1 + threshold) S >= cost(a) + cost(b) - (1 - threshold) H.  In a fixed order of the differences (what is
-    too much first, which is the rarer), the first that both share has S <= left of either.  At least one of two nodes of different components
-    doesn't match the hub; so the bounds here leave out only differences that can't be the first of a link.
-    """
+    """Pairs ``node``, ``hub`` with ``root`` and texts ``tn`` and ``th`` become a row for each signed difference (``odd``: a shingle too many or too few, hashed
+    with the hub): its weight ``size``, the node's ``cost`` and the hub's ``budget`` (the node matches it where cost <= budget)."""
     def run(batches):
         sampler = Sampler(1, idf.value)
         for b in batches:
-            for i in range(0, b.num_rows, 32):
-                cols = [[] for _ in range(8)]  # of 32 pairs: a row for each difference would be too much of a whole batch
-                node, hub, root, tn, th = (b.column(c).slice(i, 32).to_pylist() for c in range(5))
+            for i in range(0, b.num_rows, 32):  # a row for each difference would be too much of a whole batch
+                part = b.slice(i, 32)
+                tn, th = part.column(3).to_pylist(), part.column(4).to_pylist()
                 todo, vec = list(dict.fromkeys(tn + th)), {}
                 for x, _, sh, tf, at in _weighted(pa.array(todo, pa.string()), k):
                     w = sampler.weights(sh, tf)
                     for t in range(len(at) - 1):
                         vec[todo[x + t]] = (sh[at[t]:at[t + 1]], w[at[t]:at[t + 1]])
-                for n, h, r, (sa, wa), (sb, wb) in zip(node, hub, root, (vec[x] for x in tn), (vec[x] for x in th), strict=True):
+                odds, sizes, costs, budgets = [], [], [], []
+                for h, (sa, wa), (sb, wb) in zip(part.column(1).to_pylist(), (vec[x] for x in tn), (vec[x] for x in th), strict=True):
                     sh, back = np.unique(np.concatenate([sa, sb]), return_inverse=True)
                     d = np.zeros(len(sh))
                     np.add.at(d, back, np.concatenate([wa, -wb]))
-                    cost = -d[d < 0].sum() + threshold * d[d > 0].sum()
-                    budget = (1 - threshold) * wb.sum()
                     some = np.flatnonzero(d)
-                    some = some[np.lexsort((sh[some], d[some] < 0))]
-                    size = np.abs(d[some])
-                    left = np.cumsum(size[::-1])[::-1]
-                    # a node that doesn't match needs its excess shared at least, one that does the part that its own cost asks for
-                    keep = left * (1 + _EPS) >= (cost - budget if cost > budget else cost / (1 + threshold))
-                    odd = W.mix(sh[some][keep] ^ np.where(d[some][keep] > 0, np.uint64(0), np.uint64(0x5851F42D4C957F2D))).view(np.int64)
-                    before = [odd[:min(x, _BEFORE)] for x in range(len(odd))]
-                    for c, v in zip(cols, ([h] * len(odd), [n] * len(odd), [r] * len(odd), odd, left[keep], [cost] * len(odd), [budget] * len(odd), before), strict=True):
-                        c.extend(v)
-                kinds = [pa.string()] * 3 + [pa.int64()] + [pa.float64()] * 3 + [pa.list_(pa.int64())]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)],
-                                                 names=["hub", "node", "root", "odd", "left", "cost", "budget", "before"])
+                    seed = np.uint64(int.from_bytes(h.encode()[:16], "little") % (1 << 64))
+                    odds.append(W.mix(W.mix(sh[some] ^ np.where(d[some] > 0, np.uint64(0), np.uint64(0x5851F42D4C957F2D))) ^ seed).view(np.int64))
+                    sizes.append(np.abs(d[some]))
+                    costs.append(-d[d < 0].sum() + threshold * d[d > 0].sum())
+                    budgets.append((1 - threshold) * wb.sum())
+                of = pa.array(np.repeat(np.arange(len(odds)), [len(x) for x in odds]))
+                yield pa.RecordBatch.from_arrays([*[part.column(c).take(of) for c in (1, 0, 2)], pa.array(np.concatenate(odds)), pa.array(np.concatenate(sizes)),
+                                                  pa.array(costs, pa.float64()).take(of), pa.array(budgets, pa.float64()).take(of)],
+                                                 names=["hub", "node", "root", "odd", "size", "cost", "budget"])
 
     return pairs.select("node", "hub", "root", "tn", "th").mapInArrow(
-        run, "hub string, node string, root string, odd long, left double, cost double, budget double, before array<long>")
+        run, "hub string, node string, root string, odd long, size double, cost double, budget double")
 
 
 def _open_pairs(member: DataFrame, label: DataFrame, texts: DataFrame, idf, k: int, threshold: float) -> DataFrame:
     """Pairs ``node``, ``hub`` of different components that share a bucket (and so its hub) and may reach the threshold; ``member`` has ``bucket``,
-    ``node`` and ``hub``.  Pairs with the hub itself were compared in the first round."""
+    ``node`` and ``hub``.  Pairs with the hub itself were compared in the first round.
+
+    Let H be the hub's weight, and a node's cost what it lacks of it plus threshold times what it has besides.  Two nodes a and b that share differences of
+    weight S reach the threshold where (1 + threshold) S >= cost(a) + cost(b) - (1 - threshold) H.  Only differences that nodes of two components have
+    can be shared, so S is at most their weight (``left``) from the first on that both share, in a fixed order, the rarest first.  At least one of two
+    nodes of different components doesn't match the hub; so a node's own cost bounds what it must have left.
+    """
     others = member.filter("node <> hub").join(label, "node").select("bucket", "node", "hub", "root")
     crowd = others.groupBy("bucket").agg((F.min("root") < F.max("root")).alias("open")).filter("open")
-    pairs = others.join(crowd, "bucket", "left_semi").select("node", "hub", "root").distinct()
+    pairs = written(others.join(crowd, "bucket", "left_semi").select("node", "hub", "root").distinct())
     both = pairs.join(texts.select("node", F.col("t").alias("tn")), "node").join(texts.select(F.col("node").alias("hub"), F.col("t").alias("th")), "hub")
-    part = written(_differences(both, idf, k, threshold))
-    # a difference that only one component has makes no pair
-    shared = part.groupBy("hub", "odd").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 < r1").select("hub", "odd")
-    part = written(part.join(shared, ["hub", "odd"], "left_semi"))
+    # hashes instead of names: those of pairs that fall together make pairs to compare too many, none too few
+    name = F.xxhash64("hub", "node").alias("pair")
+    part = written(_differences(both, idf, k, threshold)).select(name, F.xxhash64("root").alias("root"), "odd", "size", "cost", "budget")
+    # a difference that only one component has makes no pair and can't be shared
+    shared = part.groupBy("odd").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n")).filter("r0 < r1").select("odd", "n")
+    rest = Window.partitionBy("pair").orderBy(F.desc("n"), F.desc("odd")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    part = part.join(shared, "odd").withColumn("left", F.sum("size").over(rest) * (1 + _EPS))
+    # a node that doesn't match needs its excess shared at least, one that does the part that its own cost asks for
+    part = written(part.filter(F.col("left") >= F.when(F.col("cost") > F.col("budget"), F.col("cost") - F.col("budget")).otherwise(F.col("cost") / (1 + threshold))))
     a = part.filter("cost > budget")
-    b = part.select("hub", "odd", *[F.col(c).alias(f"{c}2") for c in ("node", "root", "left", "cost", "before")])
+    b = part.select("odd", *[F.col(c).alias(f"{c}2") for c in ("pair", "root", "left", "cost")])
     need = (F.col("cost") + F.col("cost2") - F.col("budget")) / (1 + threshold)
-    # a pair comes out at the first difference that both share: at an earlier one both have more left, so it came out there
-    # already; and of two nodes that both don't match the hub from one side only
-    once = (F.col("cost2") <= F.col("budget")) | (F.col("node") < F.col("node2"))
-    met = a.join(b, ["hub", "odd"]).filter((F.col("root") != F.col("root2")) & once & (F.least("left", "left2") * (1 + _EPS) >= need)
-                                           & ~F.arrays_overlap("before", "before2"))
-    return met.select(F.least("node", "node2").alias("node"), F.greatest("node", "node2").alias("hub")).distinct()
+    once = (F.col("cost2") <= F.col("budget")) | (F.col("pair") <= F.col("pair2"))  # of two nodes that both don't match the hub from one side only
+    met = a.join(b, "odd").filter((F.col("root") != F.col("root2")) & once & (F.least("left", "left2") >= need)).select("pair", "pair2").distinct()
+    names = pairs.select(name, F.col("node").alias("x"))
+    met = met.join(names, "pair").join(names.select(F.col("pair").alias("pair2"), F.col("x").alias("y")), "pair2").filter("x <> y")
+    return met.select(F.least("x", "y").alias("node"), F.greatest("x", "y").alias("hub")).distinct()
 
 
 def _spread(label: DataFrame, both: DataFrame) -> DataFrame:
@@ -390,10 +388,10 @@ def _links(docs: DataFrame, nodes: DataFrame, idf, doc_id: str, text: str, k: in
     texts = texts.join(wanted, (F.col("__n") == F.col("node")) & F.col("__id").eqNullSafe(F.col("__least")))
     texts = written(texts.groupBy("node").agg(F.first("t").alias("t")))
     links, seen, first = [], None, None
+    member = slots.join(central, "node")
     while True:
-        member = slots.join(central, "node")
         hubs = member.groupBy("bucket").agg(F.max_by("node", F.struct("meets", "node")).alias("hub"), F.count("*").alias("n")).filter("n > 1")
-        member = written(member.join(hubs, "bucket").select("bucket", "node", "hub"))
+        member = written(member.join(hubs, "bucket").select("bucket", "node", "meets", "hub"))
         first = member if first is None else first
         pairs = member.filter("node <> hub").select("node", "hub").distinct()
         if seen is not None:
@@ -408,7 +406,7 @@ def _links(docs: DataFrame, nodes: DataFrame, idf, doc_id: str, text: str, k: in
         seen = met if seen is None else seen.unionByName(met)
         if met.agg(F.count_if("link") < WORTH * F.count("*")).first()[0]:
             break
-        slots = member.filter("node <> hub").join(seen.filter("link"), ["node", "hub"], "left_anti").select("bucket", "node")
+        member = member.filter("node <> hub").join(seen.filter("link"), ["node", "hub"], "left_anti").select("bucket", "node", "meets")
     found = pairs.limit(0).select(F.col("node").alias("a"), F.col("hub").alias("b"))
     for part in links:
         found = found.unionByName(part)
